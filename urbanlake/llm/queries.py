@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import substrings
+from . import near_dup, substrings
 
-QUERIES = {"op9_substring_dedup": substrings.op9_substring_dedup}
+QUERIES = {
+    "op6_minhash_near_dedup": near_dup.op6_minhash_near_dedup,
+    "op9_substring_dedup": substrings.op9_substring_dedup,
+}
 ORACLES = {"op9_substring_dedup": substrings.ORACLE_OP9}
