@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from . import near_dup, substrings
+from . import decontaminate, near_dup, substrings, toxicity
 
 QUERIES = {
     "op6_minhash_near_dedup": near_dup.op6_minhash_near_dedup,
+    "op7_decontamination": decontaminate.op7_decontamination,
     "op9_substring_dedup": substrings.op9_substring_dedup,
+    "op10_toxicity": toxicity.op10_toxicity,
+}
+ORACLES = {
+    "op7_decontamination": decontaminate.ORACLE_OP7,
+    "op9_substring_dedup": substrings.ORACLE_OP9,
 }
-ORACLES = {"op9_substring_dedup": substrings.ORACLE_OP9}
