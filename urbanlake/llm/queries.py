@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, near_dup, substrings, toxicity
+from . import decontaminate, near_dup, pieces, substrings, toxicity
 
 QUERIES = {
+    "op3_sentencepiece": pieces.op3_sentencepiece,
     "op6_minhash_near_dedup": near_dup.op6_minhash_near_dedup,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op9_substring_dedup": substrings.op9_substring_dedup,

@@ -12,7 +12,7 @@ places they came from, before anything is shuffled; a place takes 12 bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -110,18 +110,21 @@ def _count(frame: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.DataFrame({"id": ids[new], "start": at[new], "stop": at[np.concatenate((new[1:], [len(at)])) - 1] + k})
 
 
-def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _cut(frames: Iterator[pd.DataFrame], normalise: bool) -> Iterator[pd.DataFrame]:
     for frame in frames:
         n_words, n_removed, kept = [], [], []
-        for text, runs in zip(frame["text"], frame["runs"], strict=True):
+        for text, runs in zip(frame.pop("_text"), frame.pop("_runs"), strict=True):
             words = canonical(text).split()
             gone = np.zeros(len(words), bool)
             for run in runs if runs is not None else ():
                 gone[run["start"] : run["stop"]] = True
             n_words.append(len(words))
             n_removed.append(int(gone.sum()))
-            kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words).decode("utf-8", "replace"))
-        yield pd.DataFrame({"id": frame["id"], "n_words": n_words, "n_removed": n_removed, "kept_text": kept})
+            if not normalise and not n_removed[-1]:
+                kept.append(text)
+            else:
+                kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words).decode("utf-8", "replace"))
+        yield frame.assign(n_words=n_words, n_removed=n_removed, kept_text=pd.Series(kept, dtype=object, index=frame.index))
 
 
 def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 13, m: int = 2) -> DataFrame:
@@ -134,17 +137,21 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k
     return packed.groupBy("bucket").applyInPandas(lambda frame: _count(frame, k), "id long, start long, stop long")
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 13, m: int = 2) -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 13, m: int = 2, carry: Sequence[str] = (), normalise: bool = True) -> DataFrame:
     """Remove each word covered by a window of ``k`` words that also starts in a document with a smaller id.
 
-    Returns (doc_id, n_words, n_removed, kept_text); kept words are joined by one space. Windows are judged
-    on the input. Null and empty texts have no words; texts under ``k`` words lose none; a row with a null
-    id loses none and counts for none; rows that repeat one id count as one document, so they must repeat
-    its text too. Other columns are ignored, whatever their names.
+    Returns (doc_id, the columns of ``carry``, n_words, n_removed, kept_text); kept words are joined by one
+    space (with ``normalise=False`` a text that loses nothing stays as it is, null included). Windows are
+    judged on the input. Null and empty texts have no words; texts under ``k`` words lose none; a row with
+    a null id loses none and counts for none; rows that repeat one id count as one document, so they must
+    repeat its text too. Other columns are ignored, whatever their names.
     """
-    runs = repeated_runs(docs, doc_id, text, k, m).groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return rows.join(runs, "id", "left").mapInPandas(_cut, "id long, n_words long, n_removed long, kept_text string").withColumnRenamed("id", doc_id)
+    runs = repeated_runs(docs, doc_id, text, k, m).groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("_runs"))
+    rows = docs.select(F.col(doc_id), F.col(text).alias("_text"), *carry)
+    joined = rows.join(runs, rows[doc_id].cast("long") == runs["id"], "left").drop("id")
+    fields = [f for f in rows.schema.fields if f.name != "_text"]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "n_words long, n_removed long, kept_text string"])
+    return joined.mapInPandas(lambda it: _cut(it, normalise), schema)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
