@@ -37,7 +37,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITY = float("inf")
 #: Encoded chunks that a worker remembers.
-REMEMBER = 600_000
+REMEMBER = 300_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:

@@ -24,7 +24,9 @@ from .store import small_batches, table
 from .words import Words, canonical, mix, sequence_hash, slices
 
 #: Bytes of packed strings that a bucket should hold.
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 8 << 20
+#: Bytes of packed strings that a map task gathers before it ships them.
+GATHER_BYTES = 16 << 20
 
 
 def _super_kmers(words: Words, k: int, m: int):
@@ -45,28 +47,40 @@ def _super_kmers(words: Words, k: int, m: int):
 
 
 def _pack(frames: Iterator[pd.DataFrame], k: int, m: int, buckets: int) -> Iterator[pd.DataFrame]:
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+    gathered, size = [], 0
     for frame in frames:
         texts = [canonical(t) for t in frame["text"]]
         ids = frame["id"].to_numpy(dtype=np.int64)
-        for lo, hi in slices(texts, 4 << 20):
+        for lo, hi in slices(texts):
             words = Words(texts[lo:hi])
             first, n, low = _super_kmers(words, k, m)
             if not len(first):
                 continue
-            bucket = (mix(low) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
             doc = words.doc[first]
-            left, right = words.start[first].tolist(), words.end[first + n + k - 2].tolist()
-            place = (first - words.first[doc]).astype(np.int32)
-            owner = ids[lo:hi][doc]
-            cut = np.flatnonzero(np.concatenate(([True], np.diff(bucket[order]) != 0)))
-            rows = []
-            for a, b in zip(cut, [*cut[1:], len(order)], strict=True):
-                mine, seen = order[a:b], {}
-                which = np.fromiter((seen.setdefault(words.data[left[i] : right[i]], len(seen)) for i in mine.tolist()), dtype=np.int32, count=b - a)
-                rows.append((int(bucket[mine[0]]), squeeze(b"\n".join(seen)), squeeze(which.tobytes()), squeeze(owner[mine].tobytes()), squeeze(place[mine].tobytes())))
-            yield pd.DataFrame(rows, columns=["bucket", "strings", "which", "docs", "places"])
+            left, right = words.start[first], words.end[first + n + k - 2]
+            strings = [words.data[a:b] for a, b in zip(left.tolist(), right.tolist(), strict=True)]
+            gathered.append((mix(low) % np.uint64(buckets), strings, ids[lo:hi][doc], (first - words.first[doc]).astype(np.int32)))
+            size += int((right - left).sum())
+            if size > GATHER_BYTES:
+                yield _blocks(gathered)
+                gathered, size = [], 0
+    if gathered:
+        yield _blocks(gathered)
+
+
+def _blocks(gathered: list) -> pd.DataFrame:
+    """One row per bucket: its distinct strings, and number of string, document and place of each super-k-mer."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    bucket, docs, places = (np.concatenate([g[i] for g in gathered]) for i in (0, 2, 3))
+    strings = [s for g in gathered for s in g[1]]
+    order = np.argsort(bucket, kind="stable")
+    cut = np.flatnonzero(np.concatenate(([True], np.diff(bucket[order]) != 0)))
+    rows = []
+    for a, b in zip(cut, [*cut[1:], len(order)], strict=True):
+        mine, seen = order[a:b], {}
+        which = np.fromiter((seen.setdefault(strings[i], len(seen)) for i in mine.tolist()), dtype=np.int32, count=b - a)
+        rows.append((int(bucket[mine[0]]), squeeze(b"\n".join(seen)), squeeze(which.tobytes()), squeeze(docs[mine].tobytes()), squeeze(places[mine].tobytes())))
+    return pd.DataFrame(rows, columns=["bucket", "strings", "which", "docs", "places"])
 
 
 def _count(frame: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -82,22 +96,23 @@ def _count(frame: pd.DataFrame, k: int) -> pd.DataFrame:
     which, docs, places = np.concatenate(which), np.concatenate(docs), np.concatenate(places)
     least = np.full(len(known), np.iinfo(np.int64).max)
     np.minimum.at(least, which, docs)
-    words = Words(list(known))
-    at, low = words.windows(k, 1)
-    high = sequence_hash([words.hash[at + j] for j in range(k)], 2)
-    string = words.doc[at]
+    texts, parts = list(known), []
+    del known
+    for lo, hi in slices(texts):
+        words = Words(texts[lo:hi])
+        at, low = words.windows(k, 1)
+        parts.append((low, sequence_hash([words.hash[at + j] for j in range(k)], 2), words.doc[at] + lo))
+    low, high, string = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((high, low))
     same = np.concatenate(([True], (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])))
     group = np.cumsum(same) - 1
     first = np.minimum.reduceat(least[string[order]], np.flatnonzero(same))
-    smallest = np.empty(len(at), np.int64)
+    smallest = np.empty(len(low), np.int64)
     smallest[order] = first[group]
-    counts = np.bincount(string, minlength=len(known))
-    begin = np.concatenate(([0], np.cumsum(counts)[:-1]))
-    some = np.minimum.reduceat(smallest, begin) < np.iinfo(np.int64).max if len(at) else np.zeros(len(known), bool)
+    counts = np.bincount(string, minlength=len(texts))  # every string has a window
+    begin = np.cumsum(counts) - counts
     # the places whose string has a window that starts in a smaller document
-    low_of = np.minimum.reduceat(smallest, begin) if len(at) else least
-    keep = np.flatnonzero(some[which] & (low_of[which] < docs))
+    keep = np.flatnonzero(np.minimum.reduceat(smallest, begin)[which] < docs)
     n = counts[which[keep]]
     offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     dup = smallest[np.repeat(begin[which[keep]], n) + offset] < np.repeat(docs[keep], n)

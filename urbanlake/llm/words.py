@@ -24,7 +24,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
         have = np.full(max(n, 1 << 16), base, dtype=np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if n <= 1 << 23:
+        if n <= 1 << 21:
             _POWERS[base] = have
     return have[:n]
 
@@ -75,7 +75,7 @@ def sequence_hash(parts: Sequence[np.ndarray], seed: int = 0) -> np.ndarray:
     return h
 
 
-def slices(texts: Sequence[bytes], size: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def slices(texts: Sequence[bytes], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of about ``size`` bytes each (a longer text is alone)."""
     begin, total = 0, 0
     for i, t in enumerate(texts):
