@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, near_dup, pieces, substrings, toxicity
+from . import decontaminate, language_model, near_dup, pieces, substrings, toxicity
 
 QUERIES = {
     "op3_sentencepiece": pieces.op3_sentencepiece,
+    "op4_language_model": language_model.op4_language_model,
     "op6_minhash_near_dedup": near_dup.op6_minhash_near_dedup,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op9_substring_dedup": substrings.op9_substring_dedup,
