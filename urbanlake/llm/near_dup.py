@@ -4,9 +4,10 @@
    whose smallest document stands for it; from here on only these representatives travel.
 2. Band keys of a representative are hashes of ``rows`` of its MinHash values each. In every bucket the
    members are linked to the bucket's smallest member; those that a confirmed link already joins to it
-   need no further comparison, so a bucket of copies costs as many pairs as it has members.
-3. Bucket members that are not joined to their bucket's smallest member are then compared with all
-   members of that bucket, so no candidate pair of different components is left out.
+   need no further comparison, so a bucket of copies costs as many pairs as it has members. Twice more,
+   the smallest member of another component leads the members outside of it.
+3. Bucket members of different components that are left are then all compared by sketch, in blocks, so no
+   candidate pair of different components is left out.
 4. A candidate pair's odd sketches (parity bitmaps of the MinHash samples) estimate its similarity from
    the population count of their XOR; pairs far below the threshold go. The others are confirmed by
    intersecting the full sets.
@@ -28,6 +29,7 @@ from .store import small_batches, table, written
 from .words import Words, canonical, mix, sequence_hash, slices
 
 BANDS, ROWS, SKETCH_BITS = 32, 8, 1024
+LEADER_ROUNDS, BLOCK = 2, 1024
 _FACTORS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 _SHIFTS = mix(np.arange(5001, 5001 + BANDS * ROWS, dtype=np.uint64)).astype(np.uint32)
 _SET = "id long, n_shingles long, low long, high long, bands array<long>, sketch binary"
@@ -125,6 +127,41 @@ def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percen
     return written(full.mapInPandas(lambda it: _confirmed(it, percent), "a long, b long"), "links")
 
 
+def _placed(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """Bucket members with the component that the links so far give them."""
+    joined = components(links, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("own"))
+    return written(shared.select("key", "id").join(joined, "id", "left").select("key", "id", F.coalesce("own", "id").alias("own")), "placed")
+
+
+def _compared(frame: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Likely pairs of different components in one bucket, or between two of its blocks."""
+    left, right = frame[frame["side"] == 0], frame[frame["side"] == (1 if frame["cross"].any() else 0)]
+    pick = lambda f: (f["id"].to_numpy(np.int64), f["own"].to_numpy(np.int64), np.frombuffer(b"".join(f["sketch"]), np.uint64).reshape(len(f), -1))
+    (i, p, x), (j, q, y) = pick(left), pick(right)
+    out = [np.zeros((0, 2), np.int64)]
+    limit = SKETCH_BITS / 2 * (1 - np.exp(-4 * BANDS * ROWS * (1 - least + 0.1) / SKETCH_BITS))
+    for at in range(0, len(i), 64):
+        odd = np.bitwise_count(x[at : at + 64, None] ^ y[None]).sum(axis=2, dtype=np.int32) if len(y) else np.zeros((len(x[at : at + 64]), 0))
+        a, b = np.nonzero((odd <= limit) & (p[at : at + 64, None] != q[None]))
+        both = np.stack((i[at : at + 64][a], j[b]), axis=1)
+        out.append(both if frame["cross"].any() else both[both[:, 0] < both[:, 1]])
+    both = np.sort(np.concatenate(out), axis=1)
+    return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
+
+
+def _left_pairs(placed: DataFrame, reps: DataFrame, least: float) -> DataFrame:
+    """Pairs of bucket members that are still in different components and whose sketches are close.
+
+    Comparing is done in blocks of bit maps; a large bucket is dealt out as pairs of its blocks.
+    """
+    apart = placed.groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k")).filter("low < high")
+    rows = placed.join(apart.select("key", "k"), "key").join(reps.select("id", "sketch"), "id")
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("k")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    rows = rows.select("key", "id", "own", "sketch", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), "mine")
+    rows = rows.withColumns({"side": (F.col("mine") != F.col("i")).cast("int"), "cross": F.col("i") != F.col("j")}).drop("mine")
+    return rows.groupBy("key", "i", "j").applyInPandas(lambda f: _compared(f, least), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 85) -> DataFrame:
     """Link documents whose shingle sets have 100 * intersection >= percent * union; percent is 85 or more
     for the stated recall (at 80 a pair at the threshold is missed with probability 0.003).
@@ -146,14 +183,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     buckets = entries.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "leader")
     shared = written(entries.join(buckets, "key"), "shared")
     texts = rows.filter("id is not null")
-    first = _links(shared.filter("id > leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), reps, texts, size, percent)
-    joined = written(components(first, "a", "b"), "joined")
-    placed = shared.join(joined.select(F.col("node").alias("id"), F.col("component").alias("own")), "id", "left").join(joined.select(F.col("node").alias("leader"), F.col("component").alias("led")), "leader", "left")
-    placed = written(placed.select("key", "id", "leader", F.coalesce("own", "id").alias("own"), F.coalesce("led", "leader").alias("led")), "placed")
-    apart = placed.filter("own <> led").select("key", F.col("id").alias("x"), F.col("own").alias("ox"))
-    rest = placed.filter("id <> leader").select("key", F.col("id").alias("y"), F.col("own").alias("oy")).join(apart, "key").filter("ox <> oy")
-    second = _links(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), reps, texts, size, percent)
-    linked = components(first.unionAll(second), "a", "b")
+    links = _links(shared.filter("id > leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), reps, texts, size, percent)
+    placed = _placed(shared, links)
+    for _ in range(LEADER_ROUNDS):  # the smallest member of another component leads next
+        apart = placed.groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high").select("key", "low")
+        apart = written(placed.join(apart, "key"), "apart")
+        leader = apart.filter("own > low").groupBy("key").agg(F.min(F.struct("own", "id")).alias("led"))
+        pairs = apart.join(leader, "key").filter("own <> led.own").select(F.least("id", "led.id").alias("a"), F.greatest("id", "led.id").alias("b"))
+        links = written(links.unionAll(_links(pairs.distinct(), reps, texts, size, percent)), "links")
+        placed = _placed(shared, links)
+    second = _links(_left_pairs(placed, reps, percent / 100), reps, texts, size, percent)
+    linked = components(links.unionAll(second), "a", "b")
     named = member.join(linked, member.rep == linked.node, "left").select("id", F.coalesce("component", "rep").alias("component"))
     named = named.groupBy("id").agg(F.min("component").alias("component"))
     out = described.select("id", "n_shingles").join(named, "id", "left").select(F.col("id").alias(doc_id), "n_shingles", F.coalesce("component", "id").alias("component_id"))
