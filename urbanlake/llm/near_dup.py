@@ -136,13 +136,17 @@ def _placed(shared: DataFrame, links: DataFrame) -> DataFrame:
 def _compared(frame: pd.DataFrame, least: float) -> pd.DataFrame:
     """Likely pairs of different components in one bucket, or between two of its blocks."""
     left, right = frame[frame["side"] == 0], frame[frame["side"] == (1 if frame["cross"].any() else 0)]
-    pick = lambda f: (f["id"].to_numpy(np.int64), f["own"].to_numpy(np.int64), np.frombuffer(b"".join(f["sketch"]), np.uint64).reshape(len(f), -1))
-    (i, p, x), (j, q, y) = pick(left), pick(right)
+    pick = lambda f: (f["id"].to_numpy(np.int64), f["own"].to_numpy(np.int64), np.frombuffer(b"".join(f["sketch"]), np.uint64).reshape(len(f), -1), np.array(f["bands"].tolist(), np.int64).reshape(len(f), BANDS))
+    (i, p, x, u), (j, q, y, v) = pick(left), pick(right)
+    key = int(frame["key"].iloc[0])
     out = [np.zeros((0, 2), np.int64)]
-    limit = SKETCH_BITS / 2 * (1 - np.exp(-4 * BANDS * ROWS * (1 - least + 0.1) / SKETCH_BITS))
+    limit = SKETCH_BITS / 2 * (1 - np.exp(-4 * BANDS * ROWS * (1 - least + 0.08) / SKETCH_BITS))
     for at in range(0, len(i), 64):
         odd = np.bitwise_count(x[at : at + 64, None] ^ y[None]).sum(axis=2, dtype=np.int32) if len(y) else np.zeros((len(x[at : at + 64]), 0))
         a, b = np.nonzero((odd <= limit) & (p[at : at + 64, None] != q[None]))
+        same = u[at : at + 64][a] == v[b]  # a pair counts in the first bucket that it shares
+        fresh = v[b, same.argmax(axis=1)] == key
+        a, b = a[fresh], b[fresh]
         both = np.stack((i[at : at + 64][a], j[b]), axis=1)
         out.append(both if frame["cross"].any() else both[both[:, 0] < both[:, 1]])
     both = np.sort(np.concatenate(out), axis=1)
@@ -155,9 +159,9 @@ def _left_pairs(placed: DataFrame, reps: DataFrame, least: float) -> DataFrame:
     Comparing is done in blocks of bit maps; a large bucket is dealt out as pairs of its blocks.
     """
     apart = placed.groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k")).filter("low < high")
-    rows = placed.join(apart.select("key", "k"), "key").join(reps.select("id", "sketch"), "id")
+    rows = placed.join(apart.select("key", "k"), "key").join(reps.select("id", "sketch", "bands"), "id")
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("k")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    rows = rows.select("key", "id", "own", "sketch", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), "mine")
+    rows = rows.select("key", "id", "own", "sketch", "bands", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), "mine")
     rows = rows.withColumns({"side": (F.col("mine") != F.col("i")).cast("int"), "cross": F.col("i") != F.col("j")}).drop("mine")
     return rows.groupBy("key", "i", "j").applyInPandas(lambda f: _compared(f, least), "a long, b long").distinct()
 
