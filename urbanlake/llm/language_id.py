@@ -112,6 +112,7 @@ def learn(rows: DataFrame, max_rows: int = 8_000, max_words: int = 20_000, max_g
     words = written(chosen.select("lang", "text").mapInPandas(_counted, "lang string, term string, n long").groupBy("lang", "term").agg(F.sum("n").alias("n")), "words")
     spread = words.repartition(1 + words.count() // 50_000)
     parts = spread.mapInPandas(_cut_up, "lang string, term string, n long").groupBy("lang", "term").agg(F.sum("n").alias("n")).withColumn("kind", F.length("term"))
+    parts = written(parts, "parts")
     terms = words.withColumn("kind", F.lit(0)).unionByName(parts)
     totals = {(r["lang"], r["kind"]): r["n"] for r in terms.groupBy("lang", "kind").agg(F.sum("n").alias("n")).collect()}
     by_lang = Window.partitionBy("lang", (F.col("kind") == 0).alias("word")).orderBy(F.desc("n"), "term")
