@@ -109,6 +109,14 @@ def pack_pairs(spark, d):
     return t(spark, d, "customer").select("c_custkey", packed.alias("packed"), text.unpack_pairs(packed)["segment"].alias("back"))
 
 
+@query("select c_custkey, c_name as name, case when c_custkey % 2 = 0 then c_mktsegment end as segment, (1 + (c_custkey % 2 = 0)::int)::int as n from customer")
+def unpack_pairs(spark, d):
+    pair = lambda k, c: F.concat(F.lit(f"{k}___key2value___"), c)
+    packed = F.concat_ws("___basic___", pair("name", F.col("c_name")), F.when(F.col("c_custkey") % 2 == 0, pair("segment", F.col("c_mktsegment"))))
+    m = t(spark, d, "customer").select("c_custkey", text.unpack_pairs(packed).alias("m"))
+    return m.select("c_custkey", F.try_element_at("m", F.lit("name")).alias("name"), F.try_element_at("m", F.lit("segment")).alias("segment"), F.size("m").alias("n"))
+
+
 @query("select o_custkey as route, o_orderstatus as direction, o_orderkey as seq, 's' || o_orderkey as stop from orders")
 def bus_stops(spark, d):
     o = t(spark, d, "orders")
@@ -181,6 +189,14 @@ def listing_url_parts(spark, d):
     return o.select("o_orderkey", urls.listing_url_parts(F.col("url")).alias("x"), urls.base_page_url(F.col("url")).alias("base")).select("o_orderkey", "x.*", "base")
 
 
+@query("select o_orderkey, 'http://esf.x.com/house-d' || o_custkey || '/' as base, 'http://esf.x.com/house-d' || o_custkey || '/i3' || o_orderkey % 90 || '/' as page from orders")
+def base_page_url(spark, d):
+    k = F.col("o_orderkey")
+    tail = F.when(k % 3 == 0, "").when(k % 3 == 1, "/").otherwise(F.concat(F.lit("/i3"), (k % 50).cast("string"), F.lit("/")))
+    url = F.concat(F.lit("http://esf.x.com/house-d"), F.col("o_custkey").cast("string"), tail)
+    return t(spark, d, "orders").select("o_orderkey", urls.base_page_url(url).alias("base"), urls.page_url(url, k % 90).alias("page"))
+
+
 @query("select o_orderkey, case o_orderkey % 3 when 0 then o_orderkey::varchar when 1 then 'e' || o_orderkey end as id from orders")
 def listing_id(spark, d):
     k = F.col("o_orderkey").cast("string")
@@ -270,6 +286,13 @@ def distance_m(spark, d):
     return points(spark, d).select("id", F.floor(geo.distance_m(p, c) + 0.5).alias("metres"), geo.in_circle(p, c, F.lit(20000.0)).alias("near"))
 
 
+@query(f"with {PTS} select floor(lng * 10)::bigint as i, count(*) as n, count(*) filter ({_DIST('lng', 'lat', '113.5', '23.0')} <= 30000) as inside from pts group by 1")
+def in_circle(spark, d):
+    p, c = F.struct("lng", "lat"), F.struct(F.lit(113.5).alias("lng"), F.lit(23.0).alias("lat"))
+    near = geo.in_circle(p, c, F.lit(30000.0))
+    return points(spark, d).groupBy(F.floor(F.col("lng") * 10).alias("i")).agg(F.count(F.lit(1)).alias("n"), F.count_if(near).alias("inside"))
+
+
 @query(f"with {PTS}, w as (select user_id, lng, lat, lead(lng) over (partition by user_id order by id) as lng2, lead(lat) over (partition by user_id order by id) as lat2 from pts) select user_id, cast(floor(coalesce(sum({_DIST('lng', 'lat', 'lng2', 'lat2')}) filter (lng2 is not null), 0) / 10 + 0.5) as bigint) as decametres from w group by 1")
 def polyline_length_m(spark, d):
     g = points(spark, d).groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("id", "lng", "lat"))).alias("points"))
@@ -328,6 +351,15 @@ def tiles_in_range(spark, d):
     return grids.tiles_in_range(s).select("s_suppkey", "x", "y")
 
 
+@query(f"with {CEN} select k, {m('0.0256 / (256 * (k % 5 + 1)) * 1000')} as dx, {m('0.0512 / (256 * (k % 7 + 1)) * 1000')} as dy, {m('x - 0.0256 / (k % 5 + 1) * 3')} as lng0, {m('y - 0.0512 / (k % 7 + 1) * 2')} as lat0 from cen")
+def calibrate_tiles(spark, d):
+    """Two known points per center: one at the corner of tile (3, 2), the other some tiles to the north-east."""
+    k, zero = F.col("k"), F.lit(0)
+    ref = {"ax": F.lit(3), "ay": F.lit(2), "apx": zero, "apy": zero, "alng": F.col("x"), "alat": F.col("y"), "bx": 4 + k % 5, "by": 3 + k % 7, "bpx": zero, "bpy": zero, "blng": F.col("x") + 0.0256, "blat": F.col("y") + 0.0512}
+    c = grids.calibrate_tiles(centers(spark, d).withColumns(ref))
+    return c.select("k", micro(F.col("dx") * 1000).alias("dx"), micro(F.col("dy") * 1000).alias("dy"), micro(F.col("lng0")).alias("lng0"), micro(F.col("lat0")).alias("lat0"))
+
+
 @query(f"with {CEN} select k, floor(floor((x + 1e-7 - 113) / 0.00001) / 256)::bigint as x, floor(floor((y + 1e-7 - 22.5) / 0.00001) / 256)::bigint as y from cen")
 def point_to_tile(spark, d):
     ref = centers(spark, d).withColumns({"ax": F.lit(0), "ay": F.lit(0), "apx": F.lit(0), "apy": F.lit(0), "alng": F.lit(113.0), "alat": F.lit(22.5), "bx": F.lit(10), "by": F.lit(10), "bpx": F.lit(0), "bpy": F.lit(0), "blng": F.lit(113.0) + 0.0256, "blat": F.lit(22.5) + 0.0256})

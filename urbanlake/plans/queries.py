@@ -144,6 +144,21 @@ def route_stream_b(spark, d):
     return _plain(_stream(spark, messages_b(spark, d), streams.route_stream_b, "routes-b"))
 
 
+@query("select o_orderkey as epoch, 'r' || (o_custkey % 7) as preset_route, (o_orderkey % 3600)::varchar as duration from orders where o_orderkey in (select l_orderkey from lineitem)")
+def read_messages(spark, d):
+    """Messages landed as files, read as a stream from the first on and parsed without a schema of the steps."""
+    raw = _stream(spark, messages_b(spark, d), lambda s: s, "messages")
+    field = lambda name: F.get_json_object("value", f"$.{name}").alias(name)
+    return raw.select(F.unix_timestamp("timestamp").alias("epoch"), field("preset_route"), field("duration"))
+
+
+@query(f"select preset_route, status, count(*) as n, count(distinct epoch) as messages, count(distinct polyline) as lines from ({_SEGMENTS}) group by preset_route, status")
+def stream_to_table(spark, d):
+    """Clean rows appended to a table by a stream with a checkpoint, counted per route and status."""
+    rows = _stream(spark, messages_b(spark, d), streams.route_stream_b, "table-b")
+    return rows.groupBy("preset_route", "status").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("timestamp").alias("messages"), F.count_distinct("polyline").alias("lines"))
+
+
 def messages_a(spark: SparkSession, d: str) -> DataFrame:
     o, li = t(spark, d, "orders"), t(spark, d, "lineitem")
     line = F.concat(F.lit("0,"), F.col("l_linenumber").cast("string"), F.lit(";1,"), F.col("l_suppkey").cast("string"))
