@@ -124,6 +124,22 @@ def test_embeddings(spark):
     assert embeddings.linked_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts, pairs", [(2, 250), (3, 100)])
+def test_embeddings_with_long_codes(spark, monkeypatch, parts, pairs):
+    monkeypatch.setattr(embeddings, "BUCKET_ROWS", 2 * pairs / 128**parts * 1.01)
+    g = np.random.default_rng(parts)
+    x, y = g.normal(size=(2, pairs, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y -= (x * y).sum(axis=1)[:, None] * x
+    y = 0.9301 * x + math.sqrt(1 - 0.9301**2) * y / np.linalg.norm(y, axis=1)[:, None]
+    v = np.concatenate((x, y))
+    df = spark.createDataFrame([(i, z.tolist(), 0) for i, z in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    want = (v @ v.T >= 0.93).sum(axis=1) - 1
+    got = {r.vec_id: r.n_links for r in embeddings.linked_vectors(df).collect()}
+    assert want.sum() >= 2 * pairs and all(got[i] <= n for i, n in enumerate(want))
+    assert want.sum() - sum(got.values()) <= 2 * embeddings.MISS * want.sum()
+
+
 def test_toxicity(spark):
     rows = [(" ".join(words(30) + (["idiot"] if k % 3 == 0 else []) + words(30)), int(k % 3 == 0)) for k in range(120)]
     model = toxicity.learn(spark.createDataFrame(rows, "text string, toxic int"), exceptions=["blessed idiot"])

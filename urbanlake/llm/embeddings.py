@@ -5,6 +5,8 @@ transforms. Its hash is the nearest vertex of the cross-polytope: the largest co
 ``parts`` of these make a code; their number grows with the largest label, so buckets keep their size.
 In every table a vector is stored in the bucket of its code and also probes the bucket of the next best
 code when that is nearly as close. Candidates are pairs of one bucket of which one is stored there.
+Longer codes meet less often, so the number of tables grows with ``parts`` and the vectors' length: random
+pairs at the threshold itself are hashed, and there are as many tables as keep their miss rate under ``MISS``.
 
 Equal vectors of a label are one class first. Within a bucket, similarities are computed in blocks; a
 pair that several tables find is counted in the first of them only, and instead of pairs a block gives
@@ -18,6 +20,7 @@ is closer to the threshold than their bound are looked up and computed in double
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -30,6 +33,8 @@ from .store import small_batches, table, written
 TABLES, BLOCK, NEAR = 5, 2048, 0.75
 #: Vectors that a bucket of evenly spread vectors should hold at most.
 BUCKET_ROWS = 400
+#: Share of the pairs at the threshold that all tables together may miss.
+MISS = 0.001
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -74,6 +79,20 @@ def codes(x: np.ndarray, tables: int, parts: int) -> tuple[np.ndarray, np.ndarra
     return stored, probed
 
 
+@cache
+def tables_for(bits: int, parts: int, least: float) -> int:
+    """Tables that keep the miss rate of pairs at cosine ``least`` under ``MISS`` (three standard errors to the safe side)."""
+    g, length, pairs, tried = np.random.default_rng(17), 1 << bits, 1000, 4
+    x, y = g.normal(size=(2, pairs, length))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y -= (x * y).sum(axis=1)[:, None] * x
+    y /= np.maximum(np.linalg.norm(y, axis=1), 1e-300)[:, None]
+    (px, qx), (py, qy) = codes(x, tried, parts), codes(least * x + np.sqrt(max(0.0, 1 - least * least)) * y, tried, parts)
+    missed = 1 - ((px == py) | (px == qy) | (qx == py)).mean()
+    missed = min(0.99, missed + 3 * np.sqrt(missed * (1 - missed) / (pairs * tried)))
+    return max(TABLES, int(np.ceil(np.log(MISS) / np.log(max(missed, 1e-9)))))
+
+
 def _unit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Usable vectors: their bytes, unit vectors in 16 bits with scale and error, and all else they need."""
     for frame in frames:
@@ -92,13 +111,14 @@ def _unit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([r for r in rows if r], columns=["id", "label", "exact", "q", "scale", "error"])
 
 
-def _entries(frames: Iterator[pd.DataFrame], parts: int) -> Iterator[pd.DataFrame]:
+def _entries(frames: Iterator[pd.DataFrame], parts: int, by_bits: dict[int, int]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for length, own in frame.groupby(frame["q"].map(len)):
             x = np.frombuffer(b"".join(own["q"]), np.int16).reshape(len(own), -1) * own["scale"].to_numpy()[:, None]
-            stored, probed = codes(x, TABLES, parts)
+            tables = by_bits[max(1, int(x.shape[1] - 1).bit_length())]
+            stored, probed = codes(x, tables, parts)
             where = [stored[i].tobytes() + probed[i].tobytes() for i in range(len(own))]
-            for t in range(TABLES):
+            for t in range(tables):
                 for code, stays in ((stored, True), (probed, False)):
                     some = np.ones(len(own), bool) if stays else probed[:, t] != stored[:, t]
                     yield pd.DataFrame({"label": own["label"], "length": length, "t": t, "code": code[:, t], "stored": stays, "id": own["id"], "n": own["n"], "q": own["q"], "scale": own["scale"], "error": own["error"], "codes": where})[some]
@@ -113,7 +133,7 @@ def _block_links(frame: pd.DataFrame, least: float) -> pd.DataFrame:
 
     def part(own):
         x = np.frombuffer(b"".join(own["q"]), np.int16).reshape(len(own), -1) * own["scale"].to_numpy()[:, None]
-        c = np.frombuffer(b"".join(own["codes"]), np.int64).reshape(len(own), 2, TABLES)
+        c = np.frombuffer(b"".join(own["codes"]), np.int64).reshape(len(own), 2, -1)
         return x, c, own["error"].to_numpy(), own["id"].to_numpy(np.int64), own["n"].to_numpy(np.int64), own["stored"].to_numpy(bool)
 
     left = part(frame[frame["side"] == 0])
@@ -210,8 +230,9 @@ def linked_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embed
     vertices, parts = max(4, largest[1] or 4), 1
     while (largest[0] or 0) / vertices**parts > BUCKET_ROWS and parts < 4:
         parts += 1
+    by_bits = {r[0]: tables_for(r[0], parts, least) for r in reps.select(F.length(F.bin(F.expr("length(q) div 2 - 1")))).distinct().collect()}
     entry = "label string, length int, t int, code long, stored boolean, id long, n long, q binary, scale double, error double, codes binary"
-    entries = reps.select("id", "label", "n", "q", "scale", "error").mapInPandas(lambda it: _entries(it, parts), entry)
+    entries = reps.select("id", "label", "n", "q", "scale", "error").mapInPandas(lambda it: _entries(it, parts, by_bits), entry)
     bucket = ["label", "length", "t", "code"]
     large = written(entries.groupBy(*bucket).count().filter(F.col("count") > BLOCK).select(*bucket, F.ceil(F.col("count") / BLOCK).cast("int").alias("k")), "large")
     dealt = entries.join(large, bucket, "left").withColumn("own", F.when(F.col("k").isNotNull(), F.pmod(F.xxhash64("id"), F.col("k")).cast("int")).otherwise(0))
