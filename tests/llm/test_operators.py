@@ -169,6 +169,17 @@ def test_pages(spark):
     assert [got[k] for k in (0, 4, 9, 10, 11, 12)] == [want(0), want(4), "", "", "broken", want(12)]
 
 
+def test_pages_with_teasers(spark):
+    say = lambda k: " ".join(f"long{k}x{i}" for i in range(60))
+    body = "<div class=content><h1>Head %d</h1><p>%s</p><p>End %d</p></div><section>Same on all</section><article><a href=/t>Teaser %d</a></article><article><a href=/s>Short %d</a></article>"
+    rows = [(k, "http://t/x", PAGE % (body % (k, say(k), k, k, k))) for k in range(4)]
+    got = {r.page_id: r.text for r in wrappers.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Head {k}\n\n{say(k)}\n\nEnd {k}" for k in range(4)}
+    pair = [x for x in wrappers.parse("<h2>a</h2><p>b</p>" * 3).items]
+    model = wrappers.align(wrappers.parse("<h2>a</h2><p>b</p>" * 2).items, wrappers.parse("<h2>a</h2><p>b</p>" * 4).items)
+    assert [x.key for x in wrappers.matched(pair, model)] == ["h2", "p"] * 3
+
+
 def test_warc(spark, tmp_path):
     rows = [(1, "http://a/\n", "same"), (2, "http://b", "same"), (3, None, ""), (4, "u", None), (5, "u", "é" * 30000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")

@@ -7,10 +7,12 @@ the items that only one side has become optional groups. Aligned texts that diff
 stay constant. Aligning is symmetric, so wrappers of parts of a host are aligned like pages: tasks fold
 their pages, then parts of a host are folded per salt, then per host, and no task holds a host's pages.
 
-A page is read with its host's wrapper: its main text is the text of the wrapper's content items. Menus,
-headers, footers, sidebars, notices, adverts, forms, reader comments and code never are. Where the host has
-an article (or main) element its inside is content; elsewhere the slots and constants of blocks whose text
-is mostly outside links are, except constants that all of several different pages repeat.
+A page is read with its host's wrapper: its items are matched with the wrapper's, stream by stream, and its
+main text is the text of the content items. Menus, headers, footers, sidebars, notices, adverts, forms, reader
+comments and code never are. Slots, optional and repeated groups of blocks whose text is mostly outside links
+are, except constants that all of several different pages repeat. Where article (or main) elements hold at
+least as much text as the content items outside them, their whole inside is the main text; articles that hold
+less (teasers) are blocks like others.
 """
 
 from __future__ import annotations
@@ -223,10 +225,6 @@ def unpack(row: list) -> Item:
     return item
 
 
-def has_article(item: Item) -> bool:
-    return not boilerplate(item.key) and (item.key in ("article", "main") or any(map(has_article, item.items)))
-
-
 def totals(item: Item) -> tuple[int, int]:
     size, links = item.size, item.links
     if item.key != TEXT:
@@ -237,47 +235,55 @@ def totals(item: Item) -> tuple[int, int]:
     return size, links
 
 
-def main_text(page: Item, wrapper: Item | None, pages: int) -> str:
-    """Texts of the content items, in page order, joined by empty lines."""
-    out: list[str] = []
+def matched(items: list[Item], own: list[Item]) -> list[Item | None]:
+    """The wrapper's item that each item of a page's stream matches, None for those that match none.
 
-    def inside(item: Item):
-        for x in item.items:
-            if x.key == TEXT:
-                out.append(x.text)
-            elif not boilerplate(x.key):
-                inside(x)
+    The longest common stream; a repeated item matches as often as it comes, a repeated pair in turns.
+    """
+    n, m = len(items), len(own)
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    after = [max(0, j - 1) if j and x.repeated and own[j - 1].repeated else j if x.repeated else j + 1 for j, x in enumerate(own)]
+    for i in range(n - 1, -1, -1):
+        row, below, key = best[i], best[i + 1], items[i].key
+        for j in range(m - 1, -1, -1):
+            row[j] = max(below[j], row[j + 1])
+            if own[j].key == key:
+                row[j] = max(row[j], below[after[j]] + 1)
+    out: list[Item | None] = [None] * n
+    i = j = 0
+    while i < n and j < m:
+        if own[j].key == items[i].key and best[i][j] == best[i + 1][after[j]] + 1:
+            out[i] = own[j]
+            i, j = i + 1, after[j]
+        elif best[i][j] == best[i][j + 1]:
+            j += 1
+        else:
+            i += 1
+    return out
 
-    def articles(item: Item):
-        for x in item.items:
-            if x.key in ("article", "main") and (x.key == "article" or not has_article_inside(x)):
-                inside(x)
-            elif not boilerplate(x.key):
-                articles(x)
+
+def main_text(page: Item, wrapper: Item | None, pages: int) -> str:
+    """Texts of the content items, in page order, joined by empty lines."""
+    found: list[tuple[str, bool, bool]] = []  # text, in an article, content by the wrapper
 
     def has_article_inside(item: Item) -> bool:
         return any(not boilerplate(x.key) and (x.key == "article" or has_article_inside(x)) for x in item.items)
 
-    def slots(item: Item, own: Item | None):
-        known = {}
-        for x in own.items if own else ():
-            known.setdefault(x.key, x)
-        for x in item.items:
-            model = known.get(x.key)
+    def walk(item: Item, own: Item | None, article: bool, content: bool):
+        for x, model in zip(item.items, matched(item.items, own.items if own else []), strict=True):
             if x.key == TEXT:
                 constant = model is not None and model.text is not None and pages > 2 and not model.optional
-                if not constant and 2 * x.links <= len(x.text):
-                    out.append(x.text)
+                found.append((x.text, article, content and not constant and 2 * x.links <= len(x.text)))
             elif not boilerplate(x.key):
                 size, links = totals(model) if model else totals(x)
-                if 2 * links <= size:
-                    slots(x, model)
-
-    if has_article(page):
-        articles(page)
-    else:
-        slots(page, wrapper)
-    return "\n\n".join(out)
+                named = x.key == "article" or x.key == "main" and not has_article_inside(x)
+                walk(x, model, article or named, content and 2 * links <= size)
+
+    walk(page, wrapper, False, True)
+    inside = sum(len(text) for text, article, _ in found if article)
+    outside = sum(len(text) for text, article, content in found if content and not article)
+    whole = inside > 0 and inside >= outside
+    return "\n\n".join(text for text, article, content in found if (article if whole else content))
 
 
 def host_of(url):
