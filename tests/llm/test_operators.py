@@ -180,6 +180,13 @@ def test_pages_with_teasers(spark):
     assert [x.key for x in wrappers.matched(pair, model)] == ["h2", "p"] * 3
 
 
+def test_copies_of_a_page_make_no_constants(spark):
+    rows = [(k, "http://c/x", "<div><h1>T</h1><div class=content>text</div></div>") for k in range(4)]
+    other = [(10 + k, "http://d/x", f"<section>Same</section><div><h1>T{k}</h1><p>text</div>") for k in range(3)]
+    got = {r.page_id: r.text for r in wrappers.extract_pages(spark.createDataFrame(rows + other, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(4)] == ["T\n\ntext"] * 4 and [got[10 + k] for k in range(3)] == [f"T{k}" for k in range(3)]
+
+
 def test_warc(spark, tmp_path):
     rows = [(1, "http://a/\n", "same"), (2, "http://b", "same"), (3, None, ""), (4, "u", None), (5, "u", "é" * 30000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")

@@ -10,7 +10,8 @@ their pages, then parts of a host are folded per salt, then per host, and no tas
 A page is read with its host's wrapper: its items are matched with the wrapper's, stream by stream, and its
 main text is the text of the content items. Menus, headers, footers, sidebars, notices, adverts, forms, reader
 comments and code never are. Slots, optional and repeated groups of blocks whose text is mostly outside links
-are, except constants that all of several different pages repeat. Where article (or main) elements hold at
+are, except constants that all of several different pages repeat (a constant keeps the hashes of up to three
+different pages, so copies of one page count once). Where article (or main) elements hold at
 least as much text as the content items outside them, their whole inside is the main text; articles that hold
 less (teasers) are blocks like others.
 """
@@ -41,19 +42,20 @@ SCOPES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("tabl
 ROLES = re.compile(r"(?:^|[\s_-])(nav(?:bar|igation)?|menus?|breadcrumbs?|header|masthead|footer|copyright|sidebar|side-?bar|aside|complementary|notices?|alert|cookies?|consent|gdpr|banner|ads?|advert(?:s|isement|ising)?|adbox|sponsor(?:ed|s)?|promo(?:tion)?s?|newsletter|subscribe|subscription|signup|login|search|form|comments?|commentlist|disqus|replies|reply|responses|related|recommend(?:ed|ations)?|share|sharing|social|popup|modal|overlay|toolbar|pagination|pager|contentinfo)(?=$|[\s_-])", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-DEEPEST = 40
+DEEPEST, SEVERAL = 40, 3
 TEXT = "#"
 
 
 class Item:
     """A block (key = element and role, items inside) or a text; in wrappers with its occurrence."""
 
-    __slots__ = ("key", "items", "text", "links", "optional", "repeated", "size")
+    __slots__ = ("key", "items", "text", "links", "optional", "repeated", "size", "pages")
 
     def __init__(self, key, text=None, links=0):
         self.key, self.items, self.text, self.links = key, [], text, links
         self.optional = self.repeated = False
         self.size = len(text) if text else 0
+        self.pages = ()  # of a constant: hashes of different pages that have it, SEVERAL at most
 
 
 def parse(html: str) -> Item:
@@ -176,6 +178,8 @@ def _merge(a: Item, b: Item) -> Item:
     new.optional, new.repeated = a.optional or b.optional, a.repeated or b.repeated
     new.size, new.links = a.size + b.size, a.links + b.links
     new.text = a.text if a.text == b.text else None
+    if new.text is not None:
+        new.pages = tuple(sorted({*a.pages, *b.pages})[:SEVERAL])
     new.items = align(a.items, b.items)
     return new
 
@@ -204,24 +208,36 @@ def align(a: list[Item], b: list[Item]) -> list[Item]:
     return _repeats(out)
 
 
-def folded(page: Item) -> Item:
+def content_hash(page: Item, start: int = 0) -> int:
+    """A hash of a page's texts outside boilerplate: copies of a page share it."""
+    for x in page.items:
+        if x.key == TEXT:
+            start = crc32(x.text.encode("utf-8", "replace") + b"\n", start)
+        elif not boilerplate(x.key):
+            start = content_hash(x, start)
+    return start
+
+
+def folded(page: Item, own: int | None = None) -> Item:
     """A page as a wrapper of itself; texts are kept as hashes."""
+    own = content_hash(page) if own is None else own
     new = Item(page.key, None, page.links)
     new.size = page.size
     if page.text is not None:
         new.text = f"{crc32(page.text.encode('utf-8', 'replace')):08x}"
-    new.items = _repeats([folded(x) for x in page.items])
+        new.pages = (own,)
+    new.items = _repeats([folded(x, own) for x in page.items])
     return new
 
 
 def pack(item: Item) -> list:
-    return [item.key, item.text, item.size, item.links, int(item.optional), int(item.repeated), [pack(x) for x in item.items]]
+    return [item.key, item.text, item.size, item.links, int(item.optional), int(item.repeated), [pack(x) for x in item.items], item.pages]
 
 
 def unpack(row: list) -> Item:
     item = Item(row[0])
     item.text, item.size, item.links, item.optional, item.repeated = row[1], row[2], row[3], bool(row[4]), bool(row[5])
-    item.items = [unpack(x) for x in row[6]]
+    item.items, item.pages = [unpack(x) for x in row[6]], tuple(row[7])
     return item
 
 
@@ -262,7 +278,7 @@ def matched(items: list[Item], own: list[Item]) -> list[Item | None]:
     return out
 
 
-def main_text(page: Item, wrapper: Item | None, pages: int) -> str:
+def main_text(page: Item, wrapper: Item | None) -> str:
     """Texts of the content items, in page order, joined by empty lines."""
     found: list[tuple[str, bool, bool]] = []  # text, in an article, content by the wrapper
 
@@ -272,7 +288,7 @@ def main_text(page: Item, wrapper: Item | None, pages: int) -> str:
     def walk(item: Item, own: Item | None, article: bool, content: bool):
         for x, model in zip(item.items, matched(item.items, own.items if own else []), strict=True):
             if x.key == TEXT:
-                constant = model is not None and model.text is not None and pages > 2 and not model.optional
+                constant = model is not None and model.text is not None and len(model.pages) >= SEVERAL and not model.optional
                 found.append((x.text, article, content and not constant and 2 * x.links <= len(x.text)))
             elif not boilerplate(x.key):
                 size, links = totals(model) if model else totals(x)
@@ -332,7 +348,7 @@ def _extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     known: dict[str, Item] = {}
     for frame in frames:
         out = []
-        for html, host, wrapper, n in zip(frame["html"], frame.pop("host"), frame.pop("wrapper"), frame.pop("n"), strict=True):
+        for html, host, wrapper in zip(frame["html"], frame.pop("host"), frame.pop("wrapper"), strict=True):
             if not html:
                 out.append("")
                 continue
@@ -340,7 +356,7 @@ def _extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if len(known) > 500:
                     known.clear()
                 known[host] = unpack(json.loads(wrapper))
-            out.append(main_text(parse(html), known.get(host), 0 if pd.isna(n) else int(n)))
+            out.append(main_text(parse(html), known.get(host)))
         yield frame.drop(columns="html").assign(text=out)
 
 
@@ -354,7 +370,7 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), host_of(F.col(url)).alias("host"))
     found = infer_wrappers(rows.select("host", "html"))
     kind = pages.schema[page_id].dataType.simpleString()
-    return rows.join(found, "host", "left").select("page_id", "url", "html", "host", "wrapper", "n").mapInPandas(_extract, f"page_id {kind}, url string, text string")
+    return rows.join(found, "host", "left").select("page_id", "url", "html", "host", "wrapper").mapInPandas(_extract, f"page_id {kind}, url string, text string")
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
