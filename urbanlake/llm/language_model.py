@@ -5,11 +5,11 @@ context (the binary logarithm of c(h)) and are learned by expectation-maximisati
 each training token is held out of the counts that predict it.
 
 The ``HEADS`` most frequent words are named by rank and sent to all tasks with their counts (a fixed
-bound). Every other word is one context class, but keeps its own counts as a predicted word. Pairs of
+bound, for speed only). Every other word stands for itself as a 64-bit hash, as a predicted word and as a
+context: the counts of the contexts that a bucket holds are joined to it from the table of words. Pairs of
 heads with at least 1/10,000 of all tokens (at most 10,000 pairs) are counted first and scored where the
 text is read, so a very common pair isn't shuffled. All other tokens travel in compressed blocks to the
-bucket of their pair or rare word, where counts over all training documents are taken exactly (words
-stand for themselves as 64-bit hashes).
+bucket of their pair, rare word or else rare context, where counts over all training documents are exact.
 """
 
 from __future__ import annotations
@@ -74,16 +74,15 @@ def _gathered(parts: Iterator[np.ndarray]) -> Iterator[pd.DataFrame]:
 class Model:
     """What all tasks get: head words by hash, their counts, hot pairs, totals and mixture weights."""
 
-    def __init__(self, heads: np.ndarray, counts: np.ndarray, total: int, distinct: int):
+    def __init__(self, heads: np.ndarray, counts: np.ndarray, total: int, distinct: int, ends: int):
         order = np.argsort(heads)
         self.hashes, self.ranks = heads[order], order.astype(np.int64)
         self.total, self.distinct = total, distinct
-        ends = int(counts[heads == END_HASH].sum())
         self.counts = np.zeros(HEADS + 2)
         self.counts[: len(counts)] = counts
         self.context = self.counts.copy()  # an end is no context
         self.context[: len(counts)][heads == END_HASH] = 0
-        self.context[RARE], self.context[START] = total - counts.sum(), ends
+        self.context[START] = ends
         self.hot, self.hot_counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.weights = np.tile([0.4, 0.5, 0.1], (64, 1))
 
@@ -94,18 +93,19 @@ class Model:
         return np.where(self.hashes[at] == hashes, self.ranks[at], RARE)
 
     def pairs(self, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Context and word of each token, as ranks."""
+        """Context and word of each token, as ranks; RARE for words that are no head."""
         w = self.rank(hashes)
         h = np.concatenate(([START], w[:-1]))
         h[np.concatenate(([True], doc[1:] != doc[:-1]))] = START
         return h, w
 
-    def bucket(self, h: np.ndarray) -> np.ndarray:
-        return np.log2(self.context[h] + 1).astype(np.int64)
+    def bucket(self, context: np.ndarray) -> np.ndarray:
+        return np.log2(context + 1).astype(np.int64)
 
-    def log_p(self, pair: np.ndarray, h: np.ndarray, single: np.ndarray) -> np.ndarray:
-        weights = self.weights[self.bucket(h)]
-        p2 = pair / np.maximum(self.context[h], 1)
+    def log_p(self, pair: np.ndarray, context: np.ndarray, single: np.ndarray) -> np.ndarray:
+        """By the counts of pair, context and word."""
+        weights = self.weights[self.bucket(context)]
+        p2 = pair / np.maximum(context, 1)
         return np.log10(weights[:, 0] * p2 + weights[:, 1] * single / max(1, self.total) + weights[:, 2] / (self.distinct + 1))
 
     def base(self, single: np.ndarray) -> np.ndarray:
@@ -118,13 +118,13 @@ class Model:
         at = np.minimum(np.searchsorted(self.hot, code), len(self.hot) - 1)
         return np.where(self.hot[at] == code, self.hot_counts[at], -1)
 
-    def histogram(self, n: np.ndarray, pair: np.ndarray, h: np.ndarray, single: np.ndarray) -> pd.DataFrame:
+    def histogram(self, n: np.ndarray, pair: np.ndarray, context: np.ndarray, single: np.ndarray) -> pd.DataFrame:
         """Held-out tokens by context bucket and by bins of their two estimates; each is left out of its own counts."""
         keep = (n > 0) & (pair > 0)
-        n, pair, h, single = n[keep], pair[keep], h[keep], single[keep]
+        n, pair, context, single = n[keep], pair[keep], context[keep], single[keep]
         with np.errstate(divide="ignore"):
-            bins = [np.maximum(-400, np.floor(STEP * np.log2(x))).astype(np.int64) for x in ((pair - 1) / np.maximum(1, self.context[h] - 1), (single - 1) / max(1, self.total - 1))]
-        key = (self.bucket(h) * 1000 + bins[0] + 400) * 1000 + bins[1] + 400
+            bins = [np.maximum(-400, np.floor(STEP * np.log2(x))).astype(np.int64) for x in ((pair - 1) / np.maximum(1, context - 1), (single - 1) / max(1, self.total - 1))]
+        key = (self.bucket(context) * 1000 + bins[0] + 400) * 1000 + bins[1] + 400
         keys, inverse = np.unique(key, return_inverse=True)
         return pd.DataFrame({"w": keys, "c": np.bincount(inverse, weights=n).astype(np.int64)})
 
@@ -145,6 +145,25 @@ class Model:
             self.weights[k] = own
 
 
+def _spread(h: np.ndarray, w: np.ndarray, before: np.ndarray, hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each token: of its rare word, else of its rare context, else of its pair."""
+    of = np.where(w == RARE, hashes, np.where(h == RARE, before, (h * (HEADS + 2) + w).astype(np.uint64)))
+    return (mix(of) % np.uint64(buckets)).astype(np.int64)
+
+
+def _before(hashes: np.ndarray) -> np.ndarray:
+    return np.concatenate((hashes[:1], hashes[:-1]))
+
+
+def _rare_contexts(frames: Iterator[pd.DataFrame], model: Model, buckets: int) -> Iterator[pd.DataFrame]:
+    """(w, bucket): the rare contexts of the tokens of each bucket."""
+    for hashes, doc, _ in _tokens(frames):
+        h, w = model.pairs(hashes, doc)
+        rare = h == RARE
+        before = _before(hashes)
+        yield pd.DataFrame({"w": before[rare].view(np.int64), "bucket": _spread(h, w, before, hashes, buckets)[rare]}).drop_duplicates()
+
+
 def _blocks(frames: Iterator[pd.DataFrame], model: Model, buckets: int) -> Iterator[pd.DataFrame]:
     held: list[tuple] = []
     size = 0
@@ -156,10 +175,11 @@ def _blocks(frames: Iterator[pd.DataFrame], model: Model, buckets: int) -> Itera
         head, direct = w != RARE, hot >= 0
         n = len(rows)
         single = model.counts[w]
-        sums = [np.bincount(doc[m], weights=v[m], minlength=n) for v, m in ((model.base(single), head), (model.log_p(np.maximum(hot, 0), h, single), direct))]
+        sums = [np.bincount(doc[m], weights=v[m], minlength=n) for v, m in ((model.base(single), head), (model.log_p(np.maximum(hot, 0), model.context[h], single), direct))]
         known = np.bincount(doc[head], minlength=n)
-        spread = (mix(np.where(head, code.astype(np.uint64), hashes)) % np.uint64(buckets)).astype(np.int64)
-        held.append((h, w, hashes, doc, spread, head, direct, key, train, rows["id"].to_numpy(), sums, known, np.bincount(doc, minlength=n)))
+        before = _before(hashes)
+        spread = _spread(h, w, before, hashes, buckets)
+        held.append((np.where(h == RARE, before, h.astype(np.uint64)), w, hashes, doc, spread, head, direct, key, train, rows["id"].to_numpy(), sums, known, np.bincount(doc, minlength=n)))
         size += len(h)
         if size > GATHER_TOKENS:
             yield _ship(held, buckets)
@@ -174,7 +194,8 @@ def _ship(held: list[tuple], buckets: int) -> pd.DataFrame:
     doc = np.concatenate([x[3] + f for x, f in zip(held, first, strict=False)])
     base, score = (np.concatenate([x[10][i] for x in held]) for i in (0, 1))
     rows = [(int(mix(key.view(np.uint64)[:1])[0] % np.uint64(buckets)), 2, _shrink(base), _shrink(score), _shrink(key), _shrink(n), _shrink(known), _shrink(ids.astype(np.float64)) if ids.dtype.kind == "f" else _shrink(ids.astype(np.int64)))]
-    for kind, which in ((0, head & ~direct), (1, ~head)):
+    rare = h > START
+    for kind, which in ((0, head & ~direct & ~rare), (1, ~head & ~rare), (3, head & rare), (4, ~head & rare)):
         mine = np.flatnonzero(which)
         mine = mine[np.argsort(spread[mine], kind="stable")]
         if not len(mine):
@@ -183,67 +204,74 @@ def _ship(held: list[tuple], buckets: int) -> pd.DataFrame:
         for a, b in zip(cut, [*cut[1:], len(mine)], strict=True):
             own = mine[a:b]
             docs, runs = np.unique(doc[own], return_counts=True)  # own keeps text order, so runs follow it
-            rows.append((int(spread[own[0]]), kind, _shrink(h[own].astype(np.uint32)), _shrink(w[own].astype(np.uint32)) if kind == 0 else _shrink(hashes[own]), _shrink(key[docs]), _shrink(runs.astype(np.int32)), _shrink(train[docs].astype(np.uint8)), b""))
+            rows.append((int(spread[own[0]]), kind, _shrink(h[own].astype(np.uint32)) if kind < 2 else _shrink(h[own]), _shrink(w[own].astype(np.uint32)) if kind in (0, 3) else _shrink(hashes[own]), _shrink(key[docs]), _shrink(runs.astype(np.int32)), _shrink(train[docs].astype(np.uint8)), b""))
     return pd.DataFrame(rows, columns=["bucket", "kind", "a", "b", "keys", "runs", "train", "ids"])
 
 
 def _read(frame: pd.DataFrame, kind: int):
-    """Of one bucket: context, word, key and training flag of each token."""
-    own = frame[frame["kind"] == kind]
+    """Of one bucket: context, word, key and training flag of each token whose word is a head (kind 0) or rare (kind 1)."""
+    own = frame[frame["kind"].isin((kind, kind + 3))]
     if not len(own):
         return None
     runs = [_grow(x, np.int32) for x in own["runs"]]
-    h = np.concatenate([_grow(x, np.uint32) for x in own["a"]]).astype(np.int64)
+    h = np.concatenate([_grow(x, np.uint32 if k < 2 else np.uint64).astype(np.uint64) for x, k in zip(own["a"], own["kind"], strict=True)])
     w = np.concatenate([_grow(x, np.uint32 if kind == 0 else np.uint64) for x in own["b"]])
     key = np.concatenate([np.repeat(_grow(x, np.int64), r) for x, r in zip(own["keys"], runs, strict=True)])
     train = np.concatenate([np.repeat(_grow(x, np.uint8), r) for x, r in zip(own["train"], runs, strict=True)]).astype(np.int64)
     return h, w, key, train
 
 
-def _counted(frame: pd.DataFrame, model: Model):
-    """Per token of a bucket: context, key, training flag, count of its pair, count of its word, and the bucket's distinct pairs' histogram rows."""
+def _counted(frame: pd.DataFrame, contexts: pd.DataFrame, model: Model):
+    """Per token of a bucket: count of its context, key, training flag, count of its pair, count of its word, and kind."""
+    names = contexts["w"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(names)
+    names, counts = np.append(names[order], np.uint64(0)), np.append(contexts["c"].to_numpy(np.int64)[order], 0)
     for kind in (0, 1):
         read = _read(frame, kind)
         if read is None:
             continue
         h, w, key, train = read
+        rare = h > START
+        at = np.searchsorted(names[:-1], h)
+        context = np.where(rare, np.where(names[at] == h, counts[at], 0), model.context[np.where(rare, 0, h).astype(np.int64)])
+        _, before = np.unique(h, return_inverse=True)
         if kind == 0:
-            single = model.counts[w]
-            _, inverse = np.unique(h * (HEADS + 2) + w.astype(np.int64), return_inverse=True)
+            single, word = model.counts[w], w.astype(np.int64)
         else:
             _, word = np.unique(w, return_inverse=True)
             single = np.bincount(word, weights=train)[word]
-            _, inverse = np.unique(word * (HEADS + 2) + h, return_inverse=True)
+        _, inverse = np.unique(before * (int(word.max()) + 1) + word, return_inverse=True)
         pair = np.bincount(inverse, weights=train)[inverse]
-        yield h, key, train, pair, single, kind
+        yield context, key, train, pair, single, kind
 
 
-def _held_out(frame: pd.DataFrame, model: Model) -> pd.DataFrame:
-    out = [model.histogram(train, pair, h, single) for h, _, train, pair, single, _ in _counted(frame, model)]
+def _held_out(frame: pd.DataFrame, contexts: pd.DataFrame, model: Model) -> pd.DataFrame:
+    out = [model.histogram(train, pair, context, single) for context, _, train, pair, single, _ in _counted(frame, contexts, model)]
     return pd.concat(out) if out else pd.DataFrame({"w": np.zeros(0, np.int64), "c": np.zeros(0, np.int64)})
 
 
 _PART = "key long, id long, n_rows long, n_tokens long, n_known long, base double, score double"
 
 
-def _scored(frame: pd.DataFrame, model: Model) -> pd.DataFrame:
+def _scored(frame: pd.DataFrame, contexts: pd.DataFrame, model: Model) -> pd.DataFrame:
     out = []
-    for h, key, _, pair, single, kind in _counted(frame, model):
+    for context, key, _, pair, single, kind in _counted(frame, contexts, model):
         keys, doc = np.unique(key, return_inverse=True)
         part = pd.DataFrame({"key": keys, "id": pd.array([None] * len(keys), dtype="Int64"), "n_rows": 0, "n_tokens": 0, "n_known": np.bincount(doc, weights=(single > 0) * kind).astype(np.int64)})
-        out.append(part.assign(base=np.bincount(doc, weights=model.base(single) * kind), score=np.bincount(doc, weights=model.log_p(pair, h, single))))
+        out.append(part.assign(base=np.bincount(doc, weights=model.base(single) * kind), score=np.bincount(doc, weights=model.log_p(pair, context, single))))
     for x in frame[frame["kind"] == 2].itertuples():
         key = _grow(x.keys, np.int64)
         out.append(pd.DataFrame({"key": key, "id": pd.array(_grow(x.ids, np.int64), dtype="Int64"), "n_rows": 1, "n_tokens": _grow(x.runs, np.int64), "n_known": _grow(x.train, np.int64), "base": _grow(x.a, np.float64), "score": _grow(x.b, np.float64)}))
     return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in _PART.split(", ")})
 
 
-def score_texts(docs: DataFrame, train, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, train, doc_id: str = "doc_id", text: str = "text", heads: int = HEADS) -> DataFrame:
     """Scores of all documents by a model of those that the condition ``train`` (a Column) marks.
 
     Returns (doc_id, n_tokens, n_known, train_tokens, base_score, score). Null and empty texts are an end
     alone. A null condition is no training row; a null id stays null. Rows that repeat id and text count as
-    often in training but give one row. Other columns are ignored.
+    often in training but give one row. Other columns are ignored. ``heads`` (at most ``HEADS``) changes the
+    speed, not the scores.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -251,15 +279,15 @@ def score_texts(docs: DataFrame, train, doc_id: str = "doc_id", text: str = "tex
     rows = rows.select(F.xxhash64("id", "text").alias("key"), F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "text", "train")
     learning = rows.filter("train").select("text")
     single = written(learning.mapInPandas(lambda it: _gathered(h for h, _, _ in _tokens(it)), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "words")
-    sums = single.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = single.orderBy(F.desc("c"), "w").limit(HEADS).toPandas().sort_values(["c", "w"], ascending=[False, True])
-    model = Model(top["w"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), int(sums["n"] or 0), int(sums["v"]))
+    sums = single.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.col("w") == int(END_HASH), F.col("c"))).alias("ends")).first()
+    top = single.orderBy(F.desc("c"), "w").limit(min(heads, HEADS)).toPandas().sort_values(["c", "w"], ascending=[False, True])
+    model = Model(top["w"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), int(sums["n"] or 0), int(sums["v"]), int(sums["ends"] or 0))
 
     def frequent(frames):
         def parts():
             for hashes, doc, _ in _tokens(frames):
                 h, w = model.pairs(hashes, doc)
-                often = ((h < FREQUENT) | (h > HEADS - 1)) & (w < FREQUENT)
+                often = ((h < FREQUENT) | (h == START)) & (w < FREQUENT)
                 yield (h[often] * (HEADS + 2) + w[often]).view(np.uint64)
 
         yield from _gathered(parts())
@@ -269,12 +297,17 @@ def score_texts(docs: DataFrame, train, doc_id: str = "doc_id", text: str = "tex
     model.hot, model.hot_counts = hot["w"].to_numpy(np.int64), hot["c"].to_numpy(np.int64)
     buckets = max(12, -(-model.total // BUCKET_TOKENS))
     shared = spark.sparkContext.broadcast(model)
-    packed = rows.filter("train").mapInPandas(lambda it: _blocks(it, shared.value, buckets), _BLOCK).filter("kind < 2")
-    bins = packed.groupBy("bucket").applyInPandas(lambda f: _held_out(f, shared.value), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")).toPandas()
+    packed = rows.filter("train").mapInPandas(lambda it: _blocks(it, shared.value, buckets), _BLOCK).filter("kind <> 2")
+
+    def contexts(some):
+        rare = some.select("text").mapInPandas(lambda it: _rare_contexts(it, shared.value, buckets), "w long, bucket long").distinct()
+        return rare.join(single, "w").groupBy("bucket")
+
+    bins = packed.groupBy("bucket").cogroup(contexts(learning)).applyInPandas(lambda f, c: _held_out(f, c, shared.value), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")).toPandas()
     h, w = model.hot // (HEADS + 2), model.hot % (HEADS + 2)
-    model.learn_weights(pd.concat([bins, model.histogram(model.hot_counts.astype(float), model.hot_counts.astype(float), h, model.counts[w])]).groupby("w", as_index=False)["c"].sum())
+    model.learn_weights(pd.concat([bins, model.histogram(model.hot_counts.astype(float), model.hot_counts.astype(float), model.context[h], model.counts[w])]).groupby("w", as_index=False)["c"].sum())
     final = spark.sparkContext.broadcast(model)
-    parts = rows.mapInPandas(lambda it: _blocks(it, final.value, buckets), _BLOCK).groupBy("bucket").applyInPandas(lambda f: _scored(f, final.value), _PART)
+    parts = rows.mapInPandas(lambda it: _blocks(it, final.value, buckets), _BLOCK).groupBy("bucket").cogroup(contexts(rows)).applyInPandas(lambda f, c: _scored(f, c, final.value), _PART)
     n = F.sum("n_rows")
     out = parts.groupBy("key").agg(F.max("id").alias("id"), *((F.sum(c) / n).alias(c) for c in ("n_tokens", "n_known", "base", "score")))
     named = F.when(F.col("id") > -(1 << 63), F.col("id")).alias(doc_id)
