@@ -67,6 +67,20 @@ def test_remove_repeats(docs, empty, texts):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def test_heavy_minimisers_are_dealt_out(docs):
+    want = sorted(map(tuple, substrings.repeated_runs(docs).collect()))
+    covered = lambda runs: {(i, q) for i, a, b in runs for q in range(a, b)}
+    for most in (20, 0):
+        assert covered(map(tuple, substrings.repeated_runs(docs, most=most).collect())) == covered(want)
+    pairs = substrings.Words([" ".join(f"q{i}" for i in range(20000)).encode()]).hash
+    low = int(substrings.sequence_hash([pairs[:-1], pairs[1:]], 7).argmin())  # a pair that is nearly always the minimiser
+    many = substrings.Words([" ".join([*words(6), f"q{low}", f"q{low + 1}", *words(6)]).encode() for _ in range(3000)])
+    at, key, _ = substrings._window_keys(many, 13, 2, [])
+    keys, count = np.unique(key, return_counts=True)
+    _, n, dealt = substrings._super_kmers(many, 13, 2, [keys[[count.argmax()]]])
+    assert n.sum() == len(at) and count.max() > 5000 > 500 > np.bincount(np.unique(dealt, return_inverse=True)[1], weights=n).max()
+
+
 def test_decontaminate(spark, docs, empty):
     t = {r.doc_id: r.text for r in docs.collect() if r.text}
     item = t[5].split()[20:60]

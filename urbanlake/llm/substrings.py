@@ -6,6 +6,10 @@ the bucket of that minimiser, so equal windows always meet. In the bucket the di
 into windows again, the windows are sorted, and each run of equal windows gives the smallest document
 that holds it.
 
+Windows are counted by minimiser first. Those of a minimiser with more than ``HEAVY`` windows are dealt by a
+longer minimiser as well, and where that is still too many by their own hash, so no bucket is bound to hold
+all windows of a frequent pair of words.
+
 Within a map batch equal strings (a passage that many documents share) are packed once, with the list of
 places they came from, before anything is shuffled; a place takes 12 bytes.
 """
@@ -27,33 +31,74 @@ from .words import Words, canonical, mix, sequence_hash, slices
 BUCKET_BYTES = 8 << 20
 #: Bytes of packed strings that a map task gathers before it ships them.
 GATHER_BYTES = 16 << 20
+#: Windows of one minimiser beyond which they are dealt out further.
+HEAVY = 1_000_000
 
 
-def _super_kmers(words: Words, k: int, m: int):
-    """First word, number of windows and minimiser of every super-k-mer."""
-    at, _ = words.windows(k)
-    if not len(at):
-        return at, at, np.zeros(0, np.uint64)
+def _minimisers(words: Words, at: np.ndarray, k: int, m: int) -> np.ndarray:
+    """Smallest hash of the runs of ``m`` words in each window of ``k`` words that begins at ``at``."""
     runs = sequence_hash([words.hash[j : len(words.hash) - m + 1 + j] for j in range(m)], 7)
     width, low, step = k - m + 1, runs, 1
     while step < width:  # sliding minimum by doubling
         jump = min(step, width - step)
         low = np.minimum(low[: len(low) - jump], low[jump:])
         step += jump
-    low = low[at]
-    new = np.concatenate(([True], (low[1:] != low[:-1]) | (at[1:] != at[:-1] + 1)))
-    begin = np.flatnonzero(new)
-    return at[begin], np.diff(np.concatenate((begin, [len(at)]))), low[begin]
+    return low[at]
+
+
+def _window_keys(words: Words, k: int, m: int, heavy: Sequence[np.ndarray]):
+    """First word, key by which it is dealt and level of every window; ``heavy`` has the heavy keys of each level."""
+    at, own = words.windows(k)
+    if not len(at):
+        return at, np.zeros(0, np.uint64), at
+    key, level = _minimisers(words, at, k, m), np.zeros(len(at), np.int64)
+    for deeper, keys in enumerate(heavy, 1):
+        more = (level == deeper - 1) & np.isin(key, keys)
+        if more.any():
+            key = np.where(more, sequence_hash([key, _minimisers(words, at, k, (k + m) // 2) if deeper == 1 else own], deeper), key)
+            level[more] = deeper
+    return at, key, level
+
+
+def _super_kmers(words: Words, k: int, m: int, heavy: Sequence[np.ndarray] = ()):
+    """First word, number of windows and key of every super-k-mer."""
+    at, key, _ = _window_keys(words, k, m, heavy)
+    if not len(at):
+        return at, at, key
+    begin = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (at[1:] != at[:-1] + 1))))
+    return at[begin], np.diff(np.concatenate((begin, [len(at)]))), key[begin]
+
+
+def _key_counts(frames: Iterator[pd.DataFrame], k: int, m: int, heavy: Sequence[np.ndarray]) -> Iterator[pd.DataFrame]:
+    """(key, n): number of windows of each key of the deepest level."""
+    for frame in frames:
+        texts = [canonical(t) for t in frame["text"]]
+        for lo, hi in slices(texts):
+            _, key, level = _window_keys(Words(texts[lo:hi]), k, m, heavy)
+            keys, n = np.unique(key[level == len(heavy)], return_counts=True)
+            yield pd.DataFrame({"key": keys.view(np.int64), "n": n})
+
+
+def _heavy_keys(rows: DataFrame, k: int, m: int, least: int) -> list[np.ndarray]:
+    """Of minimisers, then of longer minimisers: the keys with more than ``least`` windows."""
+    heavy: list[np.ndarray] = []
+    for _ in range(2):
+        counts = rows.select("text").mapInPandas(lambda it, known=tuple(heavy): _key_counts(it, k, m, known), "key long, n long")
+        found = counts.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") > least).select("key").toPandas()
+        if not len(found):
+            break
+        heavy.append(np.sort(found["key"].to_numpy(np.int64).view(np.uint64)))
+    return heavy
 
 
-def _pack(frames: Iterator[pd.DataFrame], k: int, m: int, buckets: int) -> Iterator[pd.DataFrame]:
+def _pack(frames: Iterator[pd.DataFrame], k: int, m: int, buckets: int, heavy: Sequence[np.ndarray] = ()) -> Iterator[pd.DataFrame]:
     gathered, size = [], 0
     for frame in frames:
         texts = [canonical(t) for t in frame["text"]]
         ids = frame["id"].to_numpy(dtype=np.int64)
         for lo, hi in slices(texts):
             words = Words(texts[lo:hi])
-            first, n, low = _super_kmers(words, k, m)
+            first, n, low = _super_kmers(words, k, m, heavy)
             if not len(first):
                 continue
             doc = words.doc[first]
@@ -142,13 +187,14 @@ def _cut(frames: Iterator[pd.DataFrame], normalise: bool) -> Iterator[pd.DataFra
         yield frame.assign(n_words=n_words, n_removed=n_removed, kept_text=pd.Series(kept, dtype=object, index=frame.index))
 
 
-def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 13, m: int = 2) -> DataFrame:
+def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 13, m: int = 2, most: int = HEAVY) -> DataFrame:
     """(id, start, stop): runs of words covered by windows that also start in a document with a smaller id."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, 3 * size // BUCKET_BYTES)
-    packed = rows.mapInPandas(lambda it: _pack(it, k, m, buckets), "bucket long, strings binary, which binary, docs binary, places binary")
+    heavy = _heavy_keys(rows, k, m, most) if size // 2 > most else []  # a word takes two bytes at least
+    packed = rows.mapInPandas(lambda it: _pack(it, k, m, buckets, heavy), "bucket long, strings binary, which binary, docs binary, places binary")
     return packed.groupBy("bucket").applyInPandas(lambda frame: _count(frame, k), "id long, start long, stop long")
 
 
