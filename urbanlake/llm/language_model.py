@@ -1,36 +1,39 @@
-"""Language-model scores by deleted interpolation.
-
-P(w | h) = l2 c(hw)/c(h) + l1 c(w)/N + l0/(V+1). The weights depend on the frequency bucket of the
-context (the binary logarithm of c(h)) and are learned by expectation-maximisation on held-out counts:
-each training token is held out of the counts that predict it.
-
-The ``HEADS`` most frequent words are named by rank and sent to all tasks with their counts (a fixed
-bound, for speed only). Every other word stands for itself as a 64-bit hash, as a predicted word and as a
-context: the counts of the contexts that a bucket holds are joined to it from the table of words. Pairs of
-heads with at least 1/10,000 of all tokens (at most 10,000 pairs) are counted first and scored where the
-text is read, so a very common pair isn't shuffled. All other tokens travel in compressed blocks to the
-bucket of their pair, rare word or else rare context, where counts over all training documents are exact.
+"""Language-model scores by deleted interpolation of n-grams.
+
+P(w | h) = l_n c(h w)/c(h) + ... + l_1 c(w)/N + l_0/(V+1), with the counts of the training documents. The
+weights depend on the frequency bucket of the contexts (the binary logarithms of their counts) and are
+learned by expectation-maximisation on held-out counts: each training token is held out of the counts that
+predict it.
+
+Counting and scoring are one exchange. Documents are read in blocks of about ``BLOCK_TOKENS`` tokens. A block
+asks for each of its distinct n-grams once (sorted 64-bit hashes, with its own training count), the bucket of
+a hash range adds up what all blocks bring and answers each, and the block puts the answers back on its
+tokens. An n-gram that is everywhere costs one entry per block, so no bucket is hot, nothing is capped and no
+table of counts is sent to all tasks. The counted blocks are written once; weights and scores read them
+without another shuffle, and each document's score is made where its block is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import crc_part, small_batches, table, written
+from .store import crc_part, table, written
 from .words import Words, canonical, mix, slices
 
-HEADS, FREQUENT = 1 << 16, 1 << 10
-RARE, START = HEADS, HEADS + 1
-END_HASH = np.uint64(0x5D0C0E0D)
-HOT_SHARE, BUCKET_TOKENS, GATHER_TOKENS = 10_000, 1_500_000, 1_000_000
+ORDER = 2
+BLOCK_TOKENS, BUCKET_BYTES = 1 << 20, 8 << 20
+END = np.uint64(0x5D0C0E0D)
 STEP = 4  # bins of the logarithm of a probability per factor of two
-_BLOCK = "bucket long, kind int, a binary, b binary, keys binary, runs binary, train binary, ids binary"
+_ROW = "block long, bucket long, part int, a binary, b binary, ids binary, sizes binary, train binary"
+_NAMES = [x.split()[0] for x in _ROW.split(", ")]
 
 
 def _shrink(x: np.ndarray) -> bytes:
@@ -44,97 +47,161 @@ def _grow(blob: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
 
 
-def _tokens(frames: Iterator[pd.DataFrame]):
-    """Per slice of a batch: word hashes with an end after each text, text number of each, and its rows."""
+def _sorted_in(x: np.ndarray) -> bytes:
+    """Ascending hashes as differences."""
+    return _shrink(np.diff(x, prepend=np.uint64(0)))
+
+
+def _sorted_out(blob: bytes) -> np.ndarray:
+    return np.cumsum(_grow(blob, np.uint64), dtype=np.uint64)
+
+
+def _blocks(frames: Iterator[pd.DataFrame]):
+    """Word hashes with an end after each text, tokens of each text, and the rows, in blocks."""
+    held, size = [], 0
     for frame in frames:
         texts = [canonical(t, lower=True) for t in frame["text"]]
         for lo, hi in slices(texts):
             words = Words(texts[lo:hi])
             n = hi - lo
-            at = np.arange(len(words.hash)) + words.doc
-            out = np.full(len(words.hash) + n, END_HASH, np.uint64)
-            out[at] = words.hash
-            yield out, np.repeat(np.arange(n), words.counts + 1), frame.iloc[lo:hi]
-
-
-def _gathered(parts: Iterator[np.ndarray]) -> Iterator[pd.DataFrame]:
-    held, size = [], 0
-    for part in parts:
-        held.append(part)
-        size += len(part)
-        if size > GATHER_TOKENS:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            yield pd.DataFrame({"w": keys.view(np.int64), "c": n})
-            held, size = [], 0
+            out = np.full(len(words.hash) + n, END, np.uint64)
+            out[np.arange(len(words.hash)) + words.doc] = words.hash
+            held.append((out, words.counts + 1, frame.iloc[lo:hi][["id", "train"]]))
+            size += len(out)
+            if size >= BLOCK_TOKENS:
+                yield np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), pd.concat([x[2] for x in held])
+                held, size = [], 0
     if held:
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
-        yield pd.DataFrame({"w": keys.view(np.int64), "c": n})
+        yield np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), pd.concat([x[2] for x in held])
+
+
+def _firsts(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
+
+
+def _grams(tokens: np.ndarray, sizes: np.ndarray, order: int) -> Iterator[np.ndarray]:
+    """Hash of the n-gram that ends at each token, for each length; texts begin with as many starts as needed."""
+    gram = tokens
+    yield gram
+    first = _firsts(sizes)
+    for n in range(1, order):
+        before = np.concatenate((gram[:1], gram[:-1]))
+        before[first] = mix(np.array([n], np.uint64))  # a history of starts
+        gram = mix(before * np.uint64(0x9E3779B97F4A7C15) + mix(tokens + np.uint64(n)))
+        yield gram
+
+
+def _ask(frames: Iterator[pd.DataFrame], buckets: int, order: int) -> Iterator[pd.DataFrame]:
+    """Each block's own row, and a row for every bucket that holds n-grams of the block."""
+    for number, (tokens, sizes, rows) in enumerate(_blocks(frames)):
+        block = (TaskContext.get().partitionId() << 32) + number
+        train = rows["train"].to_numpy(bool)
+        weight = np.repeat(train, sizes)
+        out = []
+        for n, gram in enumerate(_grams(tokens, sizes, order), 1):
+            keys, at = np.unique(gram, return_inverse=True)
+            count = np.bincount(at, weights=weight).astype(np.int64)
+            if n == 1:
+                ids = rows["id"]
+                whole = np.concatenate((ids.fillna(0).to_numpy(np.int64), ids.isna().to_numpy(np.int64)))
+                out.append((block, -1 - block, 0, _sorted_in(keys), _shrink(at.astype(np.uint32)), _shrink(whole), _shrink(sizes.astype(np.int64)), _shrink(train.astype(np.uint8))))
+            bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            cut = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(keys)]))
+            out += [(block, int(bucket[i]), n, _sorted_in(keys[i:j]), _shrink(count[i:j]), None, None, None) for i, j in pairwise(cut)]
+        yield pd.DataFrame(out, columns=_NAMES)
+
+
+def _answer(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of a bucket: for each block's row the counts over all blocks; and the bucket's own sums, as block -1 - bucket."""
+    bucket = int(frame["bucket"].iloc[0])
+    if bucket < 0:
+        return frame
+    out = []
+    for n, rows in frame.groupby("part"):
+        keys = [_sorted_out(x) for x in rows["a"]]
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(at, weights=np.concatenate([_grow(x, np.int64) for x in rows["b"]])).astype(np.int64)
+        if n == 1:
+            end = np.concatenate(keys) == END
+            sums = np.array([total.sum(), np.count_nonzero(total), total[at[end]].max(initial=0)], np.int64)
+            out.append((-1 - bucket, bucket, 0, _shrink(sums), None, None, None, None))
+        own = np.split(total[at], np.cumsum([len(k) for k in keys])[:-1])
+        out += [(block, bucket, n, _shrink(x), None, None, None, None) for block, x in zip(rows["block"], own, strict=True)]
+    return pd.DataFrame(out, columns=_NAMES)
+
+
+_COUNTED = "block long, total long, distinct long, texts long, ids binary, sizes binary, train binary, counts array<binary>"
+
+
+def _put_back(frame: pd.DataFrame, order: int) -> pd.DataFrame:
+    """Of a block: the counts of the n-grams that end at each of its tokens."""
+    names = [x.split()[0] for x in _COUNTED.split(", ")]
+    block = int(frame["block"].iloc[0])
+    if block < 0:
+        return pd.DataFrame([(block, *map(int, _grow(frame["a"].iloc[0], np.int64)), None, None, None, None)], columns=names)
+    own = frame[frame["bucket"] < 0].iloc[0]
+    words, at = _sorted_out(own["a"]), _grow(own["b"], np.uint32)
+    rest = frame[frame["bucket"] >= 0].sort_values("bucket")
+    counts = []
+    for n, gram in enumerate(_grams(words[at], _grow(own["sizes"], np.int64), order), 1):
+        answer = np.concatenate([_grow(x, np.int64) for x in rest.loc[rest["part"] == n, "a"]])
+        index = at if n == 1 else np.unique(gram, return_inverse=True)[1]
+        counts.append(_shrink(answer[index]))
+    return pd.DataFrame([(block, None, None, None, own["ids"], own["sizes"], own["train"], counts)], columns=names)
 
 
 class Model:
-    """What all tasks get: head words by hash, their counts, hot pairs, totals and mixture weights."""
-
-    def __init__(self, heads: np.ndarray, counts: np.ndarray, total: int, distinct: int, ends: int):
-        order = np.argsort(heads)
-        self.hashes, self.ranks = heads[order], order.astype(np.int64)
-        self.total, self.distinct = total, distinct
-        self.counts = np.zeros(HEADS + 2)
-        self.counts[: len(counts)] = counts
-        self.context = self.counts.copy()  # an end is no context
-        self.context[: len(counts)][heads == END_HASH] = 0
-        self.context[START] = ends
-        self.hot, self.hot_counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.weights = np.tile([0.4, 0.5, 0.1], (64, 1))
-
-    def rank(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.full(len(hashes), RARE)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.ranks[at], RARE)
-
-    def pairs(self, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Context and word of each token, as ranks; RARE for words that are no head."""
-        w = self.rank(hashes)
-        h = np.concatenate(([START], w[:-1]))
-        h[np.concatenate(([True], doc[1:] != doc[:-1]))] = START
-        return h, w
-
-    def bucket(self, context: np.ndarray) -> np.ndarray:
-        return np.log2(context + 1).astype(np.int64)
-
-    def log_p(self, pair: np.ndarray, context: np.ndarray, single: np.ndarray) -> np.ndarray:
-        """By the counts of pair, context and word."""
-        weights = self.weights[self.bucket(context)]
-        p2 = pair / np.maximum(context, 1)
-        return np.log10(weights[:, 0] * p2 + weights[:, 1] * single / max(1, self.total) + weights[:, 2] / (self.distinct + 1))
-
-    def base(self, single: np.ndarray) -> np.ndarray:
-        return np.log10((single + 1) / (self.total + self.distinct + 1))
-
-    def seen_hot(self, code: np.ndarray) -> np.ndarray:
-        """Training count of a hot pair, -1 for others."""
-        if not len(self.hot):
-            return np.full(len(code), -1)
-        at = np.minimum(np.searchsorted(self.hot, code), len(self.hot) - 1)
-        return np.where(self.hot[at] == code, self.hot_counts[at], -1)
-
-    def histogram(self, n: np.ndarray, pair: np.ndarray, context: np.ndarray, single: np.ndarray) -> pd.DataFrame:
-        """Held-out tokens by context bucket and by bins of their two estimates; each is left out of its own counts."""
-        keep = (n > 0) & (pair > 0)
-        n, pair, context, single = n[keep], pair[keep], context[keep], single[keep]
-        with np.errstate(divide="ignore"):
-            bins = [np.maximum(-400, np.floor(STEP * np.log2(x))).astype(np.int64) for x in ((pair - 1) / np.maximum(1, context - 1), (single - 1) / max(1, self.total - 1))]
-        key = (self.bucket(context) * 1000 + bins[0] + 400) * 1000 + bins[1] + 400
-        keys, inverse = np.unique(key, return_inverse=True)
-        return pd.DataFrame({"w": keys, "c": np.bincount(inverse, weights=n).astype(np.int64)})
-
-    def learn_weights(self, bins: pd.DataFrame) -> None:
-        key, n = bins["w"].to_numpy(np.int64), bins["c"].to_numpy(float)
-        bucket, b2, b1 = key // 1_000_000, key // 1000 % 1000 - 400, key % 1000 - 400
-        p = np.stack([np.where(b > -400, 2.0 ** ((b + 0.5) / STEP), 0) for b in (b2, b1)] + [np.full(len(b1), 1 / (self.distinct + 1))], axis=1)
-        for k in np.unique(bucket):
-            mine, m = p[bucket == k], n[bucket == k]
-            own = self.weights[k].copy()
+    """Totals of the training tokens and the mixture weights by context bucket."""
+
+    def __init__(self, total: int, distinct: int, texts: int, order: int):
+        self.total, self.distinct, self.texts, self.order = total, distinct, texts, order
+        self.weights: dict[int, np.ndarray] = {}
+        self.default = np.array([0.1, *(0.9 / order for _ in range(order))])
+
+    def contexts(self, counts: list[np.ndarray], sizes: np.ndarray) -> list[np.ndarray]:
+        """Counts of each token's context, for each length; the shortest is the empty one."""
+        out = [np.full(len(counts[0]), self.total, np.int64)]
+        for c in counts[:-1]:
+            before = np.concatenate((c[:1], c[:-1]))
+            before[_firsts(sizes)] = self.texts
+            out.append(before)
+        return out
+
+    def bucket(self, contexts: list[np.ndarray]) -> np.ndarray:
+        """The binary logarithms of the context counts, as one number."""
+        out = np.zeros(len(contexts[0]), np.int64)
+        for c in contexts[1:]:
+            out = out * 64 + np.log2(c + 1).astype(np.int64)
+        return out
+
+    def log_p(self, counts: list[np.ndarray], contexts: list[np.ndarray]) -> np.ndarray:
+        keys, at = np.unique(self.bucket(contexts), return_inverse=True)
+        weights = np.stack([self.weights.get(int(k), self.default) for k in keys])[at]
+        p = weights[:, 0] / (self.distinct + 1)
+        for n, (c, h) in enumerate(zip(counts, contexts, strict=True), 1):
+            p = p + weights[:, n] * c / np.maximum(h, 1)
+        return np.log10(p)
+
+    def histogram(self, counts: list[np.ndarray], contexts: list[np.ndarray], train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Held-out tokens by context bucket and by bins of their estimates; each is left out of its own counts."""
+        key = self.bucket([c[train] for c in contexts])
+        for c, h in zip(counts, contexts, strict=True):
+            with np.errstate(divide="ignore"):
+                p = np.log2((c[train] - 1) / np.maximum(1, h[train] - 1))
+            key = key * 512 + np.maximum(-511, np.floor(STEP * p)).astype(np.int64) + 511
+        keys, n = np.unique(key, return_counts=True)
+        return keys, n
+
+    def learn_weights(self, keys: np.ndarray, n: np.ndarray) -> None:
+        """Expectation-maximisation over the binned held-out tokens of each context bucket."""
+        parts, rest = [np.full(len(keys), 1 / (self.distinct + 1))], keys.copy()
+        for _ in range(self.order):
+            b = rest % 512 - 511
+            parts.insert(1, np.where(b > -511, 2.0 ** ((b + 0.5) / STEP), 0))
+            rest = rest // 512
+        p = np.stack(parts, axis=1)
+        for k in np.unique(rest):
+            mine, m, own = p[rest == k], n[rest == k].astype(float), self.default.copy()
             for _ in range(200):
                 share = mine * own
                 share = (m[:, None] * share / share.sum(axis=1, keepdims=True)).sum(axis=0) + 1e-3
@@ -142,178 +209,58 @@ class Model:
                 done, own = np.abs(new - own).max() < 1e-7, new
                 if done:
                     break
-            self.weights[k] = own
-
-
-def _spread(h: np.ndarray, w: np.ndarray, before: np.ndarray, hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of each token: of its rare word, else of its rare context, else of its pair."""
-    of = np.where(w == RARE, hashes, np.where(h == RARE, before, (h * (HEADS + 2) + w).astype(np.uint64)))
-    return (mix(of) % np.uint64(buckets)).astype(np.int64)
-
-
-def _before(hashes: np.ndarray) -> np.ndarray:
-    return np.concatenate((hashes[:1], hashes[:-1]))
-
-
-def _rare_contexts(frames: Iterator[pd.DataFrame], model: Model, buckets: int) -> Iterator[pd.DataFrame]:
-    """(w, bucket): the rare contexts of the tokens of each bucket."""
-    for hashes, doc, _ in _tokens(frames):
-        h, w = model.pairs(hashes, doc)
-        rare = h == RARE
-        before = _before(hashes)
-        yield pd.DataFrame({"w": before[rare].view(np.int64), "bucket": _spread(h, w, before, hashes, buckets)[rare]}).drop_duplicates()
-
-
-def _blocks(frames: Iterator[pd.DataFrame], model: Model, buckets: int) -> Iterator[pd.DataFrame]:
-    held: list[tuple] = []
-    size = 0
-    for hashes, doc, rows in _tokens(frames):
-        h, w = model.pairs(hashes, doc)
-        key, train = rows["key"].to_numpy(np.int64), rows["train"].to_numpy(bool)
-        code = h * (HEADS + 2) + w
-        hot = np.where(w == RARE, -1, model.seen_hot(code))
-        head, direct = w != RARE, hot >= 0
-        n = len(rows)
-        single = model.counts[w]
-        sums = [np.bincount(doc[m], weights=v[m], minlength=n) for v, m in ((model.base(single), head), (model.log_p(np.maximum(hot, 0), model.context[h], single), direct))]
-        known = np.bincount(doc[head], minlength=n)
-        before = _before(hashes)
-        spread = _spread(h, w, before, hashes, buckets)
-        held.append((np.where(h == RARE, before, h.astype(np.uint64)), w, hashes, doc, spread, head, direct, key, train, rows["id"].to_numpy(), sums, known, np.bincount(doc, minlength=n)))
-        size += len(h)
-        if size > GATHER_TOKENS:
-            yield _ship(held, buckets)
-            held, size = [], 0
-    if held:
-        yield _ship(held, buckets)
-
-
-def _ship(held: list[tuple], buckets: int) -> pd.DataFrame:
-    first = np.cumsum([0, *(len(x[7]) for x in held)])
-    h, w, hashes, spread, head, direct, key, train, ids, known, n = (np.concatenate([x[i] for x in held]) for i in (0, 1, 2, 4, 5, 6, 7, 8, 9, 11, 12))
-    doc = np.concatenate([x[3] + f for x, f in zip(held, first, strict=False)])
-    base, score = (np.concatenate([x[10][i] for x in held]) for i in (0, 1))
-    rows = [(int(mix(key.view(np.uint64)[:1])[0] % np.uint64(buckets)), 2, _shrink(base), _shrink(score), _shrink(key), _shrink(n), _shrink(known), _shrink(ids.astype(np.float64)) if ids.dtype.kind == "f" else _shrink(ids.astype(np.int64)))]
-    rare = h > START
-    for kind, which in ((0, head & ~direct & ~rare), (1, ~head & ~rare), (3, head & rare), (4, ~head & rare)):
-        mine = np.flatnonzero(which)
-        mine = mine[np.argsort(spread[mine], kind="stable")]
-        if not len(mine):
-            continue
-        cut = np.flatnonzero(np.concatenate(([True], np.diff(spread[mine]) != 0)))
-        for a, b in zip(cut, [*cut[1:], len(mine)], strict=True):
-            own = mine[a:b]
-            docs, runs = np.unique(doc[own], return_counts=True)  # own keeps text order, so runs follow it
-            rows.append((int(spread[own[0]]), kind, _shrink(h[own].astype(np.uint32)) if kind < 2 else _shrink(h[own]), _shrink(w[own].astype(np.uint32)) if kind in (0, 3) else _shrink(hashes[own]), _shrink(key[docs]), _shrink(runs.astype(np.int32)), _shrink(train[docs].astype(np.uint8)), b""))
-    return pd.DataFrame(rows, columns=["bucket", "kind", "a", "b", "keys", "runs", "train", "ids"])
-
-
-def _read(frame: pd.DataFrame, kind: int):
-    """Of one bucket: context, word, key and training flag of each token whose word is a head (kind 0) or rare (kind 1)."""
-    own = frame[frame["kind"].isin((kind, kind + 3))]
-    if not len(own):
-        return None
-    runs = [_grow(x, np.int32) for x in own["runs"]]
-    h = np.concatenate([_grow(x, np.uint32 if k < 2 else np.uint64).astype(np.uint64) for x, k in zip(own["a"], own["kind"], strict=True)])
-    w = np.concatenate([_grow(x, np.uint32 if kind == 0 else np.uint64) for x in own["b"]])
-    key = np.concatenate([np.repeat(_grow(x, np.int64), r) for x, r in zip(own["keys"], runs, strict=True)])
-    train = np.concatenate([np.repeat(_grow(x, np.uint8), r) for x, r in zip(own["train"], runs, strict=True)]).astype(np.int64)
-    return h, w, key, train
-
-
-def _counted(frame: pd.DataFrame, contexts: pd.DataFrame, model: Model):
-    """Per token of a bucket: count of its context, key, training flag, count of its pair, count of its word, and kind."""
-    names = contexts["w"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(names)
-    names, counts = np.append(names[order], np.uint64(0)), np.append(contexts["c"].to_numpy(np.int64)[order], 0)
-    for kind in (0, 1):
-        read = _read(frame, kind)
-        if read is None:
-            continue
-        h, w, key, train = read
-        rare = h > START
-        at = np.searchsorted(names[:-1], h)
-        context = np.where(rare, np.where(names[at] == h, counts[at], 0), model.context[np.where(rare, 0, h).astype(np.int64)])
-        _, before = np.unique(h, return_inverse=True)
-        if kind == 0:
-            single, word = model.counts[w], w.astype(np.int64)
-        else:
-            _, word = np.unique(w, return_inverse=True)
-            single = np.bincount(word, weights=train)[word]
-        _, inverse = np.unique(before * (int(word.max()) + 1) + word, return_inverse=True)
-        pair = np.bincount(inverse, weights=train)[inverse]
-        yield context, key, train, pair, single, kind
-
-
-def _held_out(frame: pd.DataFrame, contexts: pd.DataFrame, model: Model) -> pd.DataFrame:
-    out = [model.histogram(train, pair, context, single) for context, _, train, pair, single, _ in _counted(frame, contexts, model)]
-    return pd.concat(out) if out else pd.DataFrame({"w": np.zeros(0, np.int64), "c": np.zeros(0, np.int64)})
-
-
-_PART = "key long, id long, n_rows long, n_tokens long, n_known long, base double, score double"
-
-
-def _scored(frame: pd.DataFrame, contexts: pd.DataFrame, model: Model) -> pd.DataFrame:
-    out = []
-    for context, key, _, pair, single, kind in _counted(frame, contexts, model):
-        keys, doc = np.unique(key, return_inverse=True)
-        part = pd.DataFrame({"key": keys, "id": pd.array([None] * len(keys), dtype="Int64"), "n_rows": 0, "n_tokens": 0, "n_known": np.bincount(doc, weights=(single > 0) * kind).astype(np.int64)})
-        out.append(part.assign(base=np.bincount(doc, weights=model.base(single) * kind), score=np.bincount(doc, weights=model.log_p(pair, context, single))))
-    for x in frame[frame["kind"] == 2].itertuples():
-        key = _grow(x.keys, np.int64)
-        out.append(pd.DataFrame({"key": key, "id": pd.array(_grow(x.ids, np.int64), dtype="Int64"), "n_rows": 1, "n_tokens": _grow(x.runs, np.int64), "n_known": _grow(x.train, np.int64), "base": _grow(x.a, np.float64), "score": _grow(x.b, np.float64)}))
-    return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in _PART.split(", ")})
+            self.weights[int(k)] = own
+
+
+def _opened(row, model: Model):
+    """Tokens of each text, training flags of tokens, counts and context counts of a counted block."""
+    sizes = _grow(row.sizes, np.int64)
+    counts = [_grow(x, np.int64) for x in row.counts]
+    return sizes, np.repeat(_grow(row.train, np.uint8).astype(bool), sizes), counts, model.contexts(counts, sizes)
+
+
+def _held_out(frames: Iterator[pd.DataFrame], model: Model) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for row in frame.itertuples():
+            _, train, counts, contexts = _opened(row, model)
+            keys, n = model.histogram(counts, contexts, train)
+            yield pd.DataFrame({"k": keys, "n": n})
+
+
+def _scored(frames: Iterator[pd.DataFrame], model: Model) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for row in frame.itertuples():
+            sizes, _, counts, contexts = _opened(row, model)
+            first, ids = _firsts(sizes), _grow(row.ids, np.int64).reshape(2, -1)
+            add = lambda x: np.add.reduceat(x, first)  # noqa: B023, E731  every text has an end, so none is empty
+            base = np.log10((counts[0] + 1) / (model.total + model.distinct + 1))
+            yield pd.DataFrame({"id": pd.array(ids[0], dtype="Int64"), "n_tokens": sizes, "n_known": add((counts[0] > 0).astype(np.int64)), "base_score": add(base), "score": add(model.log_p(counts, contexts))}).assign(id=lambda f: f["id"].mask(ids[1] > 0))  # noqa: B023
 
 
-def score_texts(docs: DataFrame, train, doc_id: str = "doc_id", text: str = "text", heads: int = HEADS) -> DataFrame:
+def score_texts(docs: DataFrame, train, doc_id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """Scores of all documents by a model of those that the condition ``train`` (a Column) marks.
 
-    Returns (doc_id, n_tokens, n_known, train_tokens, base_score, score). Null and empty texts are an end
-    alone. A null condition is no training row; a null id stays null. Rows that repeat id and text count as
-    often in training but give one row. Other columns are ignored. ``heads`` (at most ``HEADS``) changes the
-    speed, not the scores.
+    Returns a row per row: (doc_id, n_tokens, n_known, train_tokens, base_score, score). Null and empty texts
+    are an end alone. A null condition is no training row; a null id stays null; rows that repeat an id or a
+    text count and are scored one by one. Texts of any length stay whole (a text longer than a block is one
+    block). No rows give none; without training rows every token is unknown. Other columns are ignored.
+    ``order`` is the length of the longest n-gram.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    rows = rows.select(F.xxhash64("id", "text").alias("key"), F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "text", "train")
-    learning = rows.filter("train").select("text")
-    single = written(learning.mapInPandas(lambda it: _gathered(h for h, _, _ in _tokens(it)), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "words")
-    sums = single.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.col("w") == int(END_HASH), F.col("c"))).alias("ends")).first()
-    top = single.orderBy(F.desc("c"), "w").limit(min(heads, HEADS)).toPandas().sort_values(["c", "w"], ascending=[False, True])
-    model = Model(top["w"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), int(sums["n"] or 0), int(sums["v"]), int(sums["ends"] or 0))
-
-    def frequent(frames):
-        def parts():
-            for hashes, doc, _ in _tokens(frames):
-                h, w = model.pairs(hashes, doc)
-                often = ((h < FREQUENT) | (h == START)) & (w < FREQUENT)
-                yield (h[often] * (HEADS + 2) + w[often]).view(np.uint64)
-
-        yield from _gathered(parts())
-
-    least = max(2, model.total // HOT_SHARE)
-    hot = learning.mapInPandas(frequent, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")).filter(F.col("c") >= least).toPandas().sort_values("w")
-    model.hot, model.hot_counts = hot["w"].to_numpy(np.int64), hot["c"].to_numpy(np.int64)
-    buckets = max(12, -(-model.total // BUCKET_TOKENS))
-    shared = spark.sparkContext.broadcast(model)
-    packed = rows.filter("train").mapInPandas(lambda it: _blocks(it, shared.value, buckets), _BLOCK).filter("kind <> 2")
-
-    def contexts(some):
-        rare = some.select("text").mapInPandas(lambda it: _rare_contexts(it, shared.value, buckets), "w long, bucket long").distinct()
-        return rare.join(single, "w").groupBy("bucket")
-
-    bins = packed.groupBy("bucket").cogroup(contexts(learning)).applyInPandas(lambda f, c: _held_out(f, c, shared.value), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")).toPandas()
-    h, w = model.hot // (HEADS + 2), model.hot % (HEADS + 2)
-    model.learn_weights(pd.concat([bins, model.histogram(model.hot_counts.astype(float), model.hot_counts.astype(float), model.context[h], model.counts[w])]).groupby("w", as_index=False)["c"].sum())
-    final = spark.sparkContext.broadcast(model)
-    parts = rows.mapInPandas(lambda it: _blocks(it, final.value, buckets), _BLOCK).groupBy("bucket").cogroup(contexts(rows)).applyInPandas(lambda f, c: _scored(f, c, final.value), _PART)
-    n = F.sum("n_rows")
-    out = parts.groupBy("key").agg(F.max("id").alias("id"), *((F.sum(c) / n).alias(c) for c in ("n_tokens", "n_known", "base", "score")))
-    named = F.when(F.col("id") > -(1 << 63), F.col("id")).alias(doc_id)
-    return out.select(named, F.col("n_tokens").cast("long").alias("n_tokens"), F.col("n_known").cast("long").alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+    buckets = 1 + int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
+    asked = rows.mapInPandas(lambda it: _ask(it, buckets, order), _ROW)
+    answered = asked.groupBy("bucket").applyInPandas(_answer, _ROW)
+    counted = written(answered.groupBy("block").applyInPandas(lambda f: _put_back(f, order), _COUNTED), "counted")
+    sums = counted.filter("block < 0").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "distinct")), F.coalesce(F.max("texts"), F.lit(0)).alias("texts")).first()
+    model = Model(sums["total"], sums["distinct"], sums["texts"], order)
+    blocks = counted.filter("block >= 0").select("ids", "sizes", "train", "counts")
+    bins = blocks.mapInPandas(lambda it: _held_out(it, model), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).orderBy("k").toPandas()
+    model.learn_weights(bins["k"].to_numpy(np.int64), bins["n"].to_numpy(np.int64))
+    out = blocks.mapInPandas(lambda it: _scored(it, model), "id long, n_tokens long, n_known long, base_score double, score double")
+    return out.select(F.col("id").alias(doc_id), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bigram scores of all documents, learned from those whose crc32(doc_id) mod 7 is not 2."""
     out = score_texts(table(spark, sf_dir, "documents"), crc_part(F.col("doc_id"), 7) != 2)
     return out.select("doc_id", F.coalesce(crc_part(F.col("doc_id"), 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
