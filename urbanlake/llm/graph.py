@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import drop, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -30,7 +30,8 @@ def components(links: DataFrame, a: str, b: str, name: str = "components") -> Da
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         star = large.join(least, "u")
         small = star.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
-        edges = written(small.filter("u > v").distinct(), name)
+        last, edges = edges, written(small.filter("u > v").distinct(), name)
+        drop(last)
         after = _state(edges)
         if after == before:
             break

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import small_batches, table, written
+from .store import drop, semi, small_batches, table, written
 from .words import Words, canonical, mix, sequence_hash, slices
 
 BANDS, ROWS, SKETCH_BITS = 32, 8, 1024
@@ -134,17 +134,21 @@ def _confirmed(frames: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.Data
 def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of representatives whose full sets are similar enough."""
     sketch = [reps.select(F.col("id").alias(c), F.col("sketch").alias(f"s{c}"), F.col("parity").alias(f"p{c}"), F.col("n_shingles").alias(f"n{c}")) for c in "ab"]
-    likely = written(pairs.join(sketch[0], "a").join(sketch[1], "b").mapInPandas(lambda it: _likely(it, percent), "a long, b long"), "likely")
-    wanted = likely.select(F.col("a").alias("id")).unionAll(likely.select("b")).distinct()
-    sets = written(docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]).mapInPandas(lambda it: _sets(it, size), "id long, hashes binary"), "sets")
+    likely = written(pairs.join(sketch[0], "a").join(sketch[1], "b").mapInPandas(lambda it: _likely(it, percent), "a long, b long").distinct(), "likely")
+    wanted = written(likely.select(F.col("a").alias("id")).unionAll(likely.select("b")).distinct(), "wanted")
+    sets = written(semi(docs, wanted, "id").mapInPandas(lambda it: _sets(it, size), "id long, hashes binary"), "sets")
     full = likely.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha")), "a").join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b")
-    return written(full.mapInPandas(lambda it: _confirmed(it, percent), "a long, b long"), "links")
+    links = written(full.mapInPandas(lambda it: _confirmed(it, percent), "a long, b long").distinct(), "links")
+    drop(likely, wanted, sets)
+    return links
 
 
 def _placed(shared: DataFrame, links: DataFrame) -> DataFrame:
     """Bucket members with the component that the links so far give them."""
     joined = components(links, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("own"))
-    return written(shared.select("key", "id").join(joined, "id", "left").select("key", "id", F.coalesce("own", "id").alias("own")), "placed")
+    placed = written(shared.select("key", "id").join(joined, "id", "left").select("key", "id", F.coalesce("own", "id").alias("own")), "placed")
+    drop(joined)
+    return placed
 
 
 def _compared(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -189,36 +193,66 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Returns (doc_id, n_shingles, component_id, kept): component_id is the smallest doc_id reachable over
     links, kept marks it. Null, empty and wordless texts have an empty set and are linked with nothing.
     A row with a null id keeps its size, has a null component and is kept. Rows that repeat an id count
-    as one document and all carry its component. Other columns are ignored.
+    as one document with the links of each of its texts; all carry its component. Texts of any length are
+    taken whole, no rows give none. Other columns are ignored.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     described = written(rows.mapInPandas(lambda it: _describe(it, size), _SET), "described")
-    usable = described.filter("id is not null and n_shingles > 0")
-    classes = usable.groupBy("low", "high", "n_shingles").agg(F.min("id").alias("rep"))
-    member = usable.select("id", "low", "high", "n_shingles").join(classes, ["low", "high", "n_shingles"]).select("id", "rep").distinct()
-    member = written(member, "members")
-    reps = written(usable.join(member.filter("id = rep").select("id"), "id", "left_semi").dropDuplicates(["id"]), "reps")
+    sizes = written(described.select("id", "n_shingles"), "sizes")
+    usable, own = described.filter("id is not null and n_shingles > 0"), ["low", "high", "n_shingles"]
+    equal = written(usable.groupBy(own).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "equal")
+    named = usable.join(equal, own, "left").withColumn("rep", F.coalesce("rep", "id"))
+    member = written(named.filter("id <> rep").select("id", "rep").distinct(), "members")
+    reps = written(named.filter("id = rep").drop("rep"), "reps")
+    several = written(usable.select("id", *own).distinct().groupBy("id").count().filter("count > 1").select("id"), "several")
+    same = written(semi(named, several, "id").select(F.col("id").alias("a"), F.col("rep").alias("b")), "same")
+    drop(described, equal, several)
     entries = reps.select("id", F.explode("bands").alias("key"))
-    buckets = entries.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "leader")
+    buckets = entries.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader < last").select("key", "leader")
+    buckets = written(buckets, "buckets")
     shared = written(entries.join(buckets, "key"), "shared")
     texts = rows.filter("id is not null")
     links = _links(shared.filter("id > leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), reps, texts, size, percent)
     placed = _placed(shared, links)
+    drop(shared, buckets)
     for _ in range(LEADER_ROUNDS):  # the smallest member of another component leads next
         apart = placed.groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high").select("key", "low")
         apart = written(placed.join(apart, "key"), "apart")
         leader = apart.filter("own > low").groupBy("key").agg(F.min(F.struct("own", "id")).alias("led"))
         pairs = apart.join(leader, "key").filter("own <> led.own").select(F.least("id", "led.id").alias("a"), F.greatest("id", "led.id").alias("b"))
-        links = written(links.unionAll(_links(pairs.distinct(), reps, texts, size, percent)), "links")
-        placed = _placed(shared, links)
+        more = _links(pairs.distinct(), reps, texts, size, percent)
+        last, links = (links, placed, apart, more), written(links.unionAll(more), "links")
+        placed = _placed(placed, links)
+        drop(*last)
     second = _links(_left_pairs(placed, reps, percent), reps, texts, size, percent)
-    linked = components(links.unionAll(second), "a", "b")
-    named = member.join(linked, member.rep == linked.node, "left").select("id", F.coalesce("component", "rep").alias("component"))
-    named = named.groupBy("id").agg(F.min("component").alias("component"))
-    out = described.select("id", "n_shingles").join(named, "id", "left").select(F.col("id").alias(doc_id), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    drop(placed, reps)
+    linked = components(links.unionAll(second).unionAll(same), "a", "b")
+    drop(links, second, same)
+    linked = linked.withColumnRenamed("node", "rep")
+    ids = member.join(linked, "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
+    ids = ids.unionAll(linked.select("rep", "component")).groupBy("id").agg(F.min("component").alias("component"))
+    out = sizes.join(ids, "id", "left").select(F.col("id").alias(doc_id), "n_shingles", F.coalesce("component", "id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(doc_id) == F.col("component_id"), F.lit(True)))
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies of all documents: three-word shingles, similarity 0.85 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE_OP6 = r"""
+with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+s as (select doc_id, case when len(ws) = 0 then []::varchar[] when len(ws) < 3 then [array_to_string(ws, ' ')] else list_distinct(list_transform(range(1, len(ws) - 1), lambda p: array_to_string(ws[p:p+2], ' '))) end as sh from w),
+k as (select doc_id, len(sh) as n, list_sort(list_transform(sh, lambda x: hash(x))) as hs from s),
+c as (select hs, any_value(n) as n, min(doc_id) as rep from k where n > 0 group by hs),
+e as (select rep, n, unnest(hs) as h from c),
+f as (select h from e group by h having count(*) > 1),
+j as (select x.rep as a, y.rep as b, x.n as na, y.n as nb, count(*) as common from e x join f using (h) join e y using (h) where x.rep < y.rep and 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n) group by all),
+l as (select a, b from j where 100 * common >= 85 * (na + nb - common)),
+d as (select a as u, b as v from l union select b, a from l),
+r as (select u, v from d union select r.u, d.v from r join d on r.v = d.u),
+m as (select u as rep, min(v) as least from r group by u)
+select k.doc_id, k.n::bigint as n_shingles, coalesce(least(m.least, c.rep), c.rep, k.doc_id) as component_id, k.doc_id = coalesce(least(m.least, c.rep), c.rep, k.doc_id) as kept
+from k left join c on k.hs = c.hs and k.n > 0 left join m using (rep)
+"""

@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a table of ids that may be broadcast: 8 MB of ids at most.
+BROADCAST_ROWS = 1 << 20
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset (tests), a local one is made and set."""
+    """The folder in ``spark.checkpoint.dir``, which all machines must share; there is no local stand-in."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _made.get() is not None:
+        _made.get().append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -28,6 +37,35 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders of the shared store."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for df in tables:
+        remove(df.sparkSession, *{f.rpartition("/")[0] for f in df.inputFiles()})
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables that are written inside go at the end, but for those taken out of the list that this gives."""
+    token = _made.set([])
+    try:
+        yield _made.get()
+    finally:
+        remove(spark, *_made.get())
+        _made.reset(token)
+
+
+def semi(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is in the written table ``ids``: broadcast where it has at most ``BROADCAST_ROWS`` rows, else shuffled."""
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, key, "left_semi")
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Keep Arrow batches of long texts small; a smaller setting of the user stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -37,8 +75,6 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
 
 def crc_part(column, modulus: int):
     """crc32 of a key as text, modulo ``modulus`` (null for a null key)."""
-    from pyspark.sql import functions as F
-
     return F.crc32(column.cast("string").cast("binary")) % modulus
 
 
