@@ -6,7 +6,7 @@ learned by expectation-maximisation on held-out counts: each training token is h
 predict it.
 
 Counting and scoring are one exchange. Documents are read in blocks of about ``BLOCK_TOKENS`` tokens. A block
-asks for each of its distinct n-grams once (sorted 64-bit hashes, with its own training count), the bucket of
+asks for each of its distinct n-grams once (sorted 56-bit hashes, with its own training count), the bucket of
 a hash range adds up what all blocks bring and answers each, and the block puts the answers back on its
 tokens. An n-gram that is everywhere costs one entry per block, so no bucket is hot, nothing is capped and no
 table of counts is sent to all tasks. The counted blocks are written once; weights and scores read them
@@ -30,7 +30,7 @@ from .words import Words, canonical, mix, slices
 
 ORDER = 2
 BLOCK_TOKENS, BUCKET_BYTES = 1 << 20, 8 << 20
-END = np.uint64(0x5D0C0E0D)
+END, SPARE = np.uint64(0x5D0C0E0D), np.uint64(8)
 STEP = 4  # bins of the logarithm of a probability per factor of two
 _ROW = "block long, bucket long, part int, a binary, b binary, ids binary, sizes binary, train binary"
 _NAMES = [x.split()[0] for x in _ROW.split(", ")]
@@ -97,15 +97,17 @@ def _ask(frames: Iterator[pd.DataFrame], buckets: int, order: int) -> Iterator[p
         block = (TaskContext.get().partitionId() << 32) + number
         train = rows["train"].to_numpy(bool)
         weight = np.repeat(train, sizes)
-        out = []
+        words, at = np.unique(tokens, return_inverse=True)
+        often = np.argsort(-np.bincount(at), kind="stable")  # frequent words get small numbers
+        number_of = np.empty(len(words), np.uint32)
+        number_of[often] = np.arange(len(words))
+        ids = rows["id"]
+        whole = np.concatenate((ids.fillna(0).to_numpy(np.int64), ids.isna().to_numpy(np.int64)))
+        out = [(block, -1 - block, 0, _shrink(words[often]), _shrink(number_of[at]), _shrink(whole), _shrink(sizes.astype(np.int64)), _shrink(train.astype(np.uint8)))]
         for n, gram in enumerate(_grams(tokens, sizes, order), 1):
-            keys, at = np.unique(gram, return_inverse=True)
+            keys, at = np.unique(gram >> SPARE, return_inverse=True)
             count = np.bincount(at, weights=weight).astype(np.int64)
-            if n == 1:
-                ids = rows["id"]
-                whole = np.concatenate((ids.fillna(0).to_numpy(np.int64), ids.isna().to_numpy(np.int64)))
-                out.append((block, -1 - block, 0, _sorted_in(keys), _shrink(at.astype(np.uint32)), _shrink(whole), _shrink(sizes.astype(np.int64)), _shrink(train.astype(np.uint8))))
-            bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            bucket = ((keys >> np.uint64(24)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             cut = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(keys)]))
             out += [(block, int(bucket[i]), n, _sorted_in(keys[i:j]), _shrink(count[i:j]), None, None, None) for i, j in pairwise(cut)]
         yield pd.DataFrame(out, columns=_NAMES)
@@ -122,7 +124,7 @@ def _answer(frame: pd.DataFrame) -> pd.DataFrame:
         _, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(at, weights=np.concatenate([_grow(x, np.int64) for x in rows["b"]])).astype(np.int64)
         if n == 1:
-            end = np.concatenate(keys) == END
+            end = np.concatenate(keys) == END >> SPARE
             sums = np.array([total.sum(), np.count_nonzero(total), total[at[end]].max(initial=0)], np.int64)
             out.append((-1 - bucket, bucket, 0, _shrink(sums), None, None, None, None))
         own = np.split(total[at], np.cumsum([len(k) for k in keys])[:-1])
@@ -140,13 +142,12 @@ def _put_back(frame: pd.DataFrame, order: int) -> pd.DataFrame:
     if block < 0:
         return pd.DataFrame([(block, *map(int, _grow(frame["a"].iloc[0], np.int64)), None, None, None, None)], columns=names)
     own = frame[frame["bucket"] < 0].iloc[0]
-    words, at = _sorted_out(own["a"]), _grow(own["b"], np.uint32)
+    tokens = _grow(own["a"], np.uint64)[_grow(own["b"], np.uint32)]
     rest = frame[frame["bucket"] >= 0].sort_values("bucket")
     counts = []
-    for n, gram in enumerate(_grams(words[at], _grow(own["sizes"], np.int64), order), 1):
+    for n, gram in enumerate(_grams(tokens, _grow(own["sizes"], np.int64), order), 1):
         answer = np.concatenate([_grow(x, np.int64) for x in rest.loc[rest["part"] == n, "a"]])
-        index = at if n == 1 else np.unique(gram, return_inverse=True)[1]
-        counts.append(_shrink(answer[index]))
+        counts.append(_shrink(answer[np.unique(gram >> SPARE, return_inverse=True)[1]]))
     return pd.DataFrame([(block, None, None, None, own["ids"], own["sizes"], own["train"], counts)], columns=names)
 
 
