@@ -1,11 +1,13 @@
 """HTML extraction with wrappers: union-free regular expressions inferred from the pages of a host.
 
-A page's markup becomes a stream of items: block elements (with the role that their class, id or ARIA role
-names) that hold streams of their own, and text slots. Streams of one host are aligned item by item. A
-mismatch is first looked at as a repetition - equal neighbours become one repeated group - and otherwise
-the items that only one side has become optional groups. Aligned texts that differ make a slot, equal ones
-stay constant. Aligning is symmetric, so wrappers of parts of a host are aligned like pages: tasks fold
-their pages, then parts of a host are folded per salt, then per host, and no task holds a host's pages.
+A page's markup becomes a stream of items: block elements (element, class without digits, and the role that
+their class, id or ARIA role names) that hold streams of their own, and text slots. Streams of one host are
+aligned item by item: the alignment has as many common items as possible and, among these, as many of equal
+text. Items that only one side has become optional groups; runs of equal neighbours (or neighbouring pairs)
+longer than ``2 * EDGE + 1`` keep ``EDGE`` items at either end, and what lies between is one repeated group.
+Aligned texts that differ make a slot, equal ones stay constant. Aligning is symmetric, so wrappers of parts
+of a host are aligned like pages: tasks fold their pages, then parts of a host are folded per salt, then per
+host, and no task holds a host's pages.
 
 A page is read with its host's wrapper: its items are matched with the wrapper's, stream by stream, and its
 main text is the text of the content items. Menus, headers, footers, sidebars, notices, adverts, forms, reader
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from collections.abc import Iterator
 from html import unescape
 from zlib import crc32
@@ -32,27 +35,30 @@ from .store import small_batches, table, written
 
 # Elements by what they are in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title xmp iframe svg math object select".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style noscript template textarea title iframe svg select".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark math mfrac mi mn mo mroot mrow msqrt msub msubsup msup mtext nobr q s samp semantics small span strike strong sub sup time tt u var wbr".split())
 BOILERPLATE = frozenset("nav header footer aside form button dialog menu head".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "thead": ("tr", "td", "th", "thead", "tbody"), "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "thead", "tbody")}
 SCOPES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",)}
 # Parts of a class, id or role that name what is not the article.
 ROLES = re.compile(r"(?:^|[\s_-])(nav(?:bar|igation)?|menus?|breadcrumbs?|header|masthead|footer|copyright|sidebar|side-?bar|aside|complementary|notices?|alert|cookies?|consent|gdpr|banner|ads?|advert(?:s|isement|ising)?|adbox|sponsor(?:ed|s)?|promo(?:tion)?s?|newsletter|subscribe|subscription|signup|login|search|form|comments?|commentlist|disqus|replies|reply|responses|related|recommend(?:ed|ations)?|share|sharing|social|popup|modal|overlay|toolbar|pagination|pager|contentinfo)(?=$|[\s_-])", re.I)
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+#: A quote opens a value only after an equals sign, and only where it is closed again.
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*\"|'[^']*')?)*+)>|<(/?)([a-zA-Z][^\s/>]*)", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-DEEPEST, SEVERAL = 40, 3
+EDGE, SEVERAL = 3, 3
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 1_000_000))  # markup nests as deeply as it likes; these calls stay off the C stack
 TEXT = "#"
 
 
 class Item:
-    """A block (key = element and role, items inside) or a text; in wrappers with its occurrence."""
+    """A block (key = element, role and class; items inside) or a text; in wrappers with its occurrence."""
 
-    __slots__ = ("key", "items", "text", "links", "optional", "repeated", "size", "pages")
+    __slots__ = ("key", "role", "items", "text", "links", "optional", "repeated", "size", "pages")
 
     def __init__(self, key, text=None, links=0):
         self.key, self.items, self.text, self.links = key, [], text, links
+        self.role = key.split("|")[1] if "|" in key else ""
         self.optional = self.repeated = False
         self.size = len(text) if text else 0
         self.pages = ()  # of a constant: hashes of different pages that have it, SEVERAL at most
@@ -79,7 +85,7 @@ def parse(html: str) -> Item:
 
     def find(names, stop=()):
         for i in range(len(stack) - 1, 0, -1):
-            tag = stack[i].key.partition(".")[0]
+            tag = stack[i].key.partition("|")[0]
             if tag in names:
                 return i
             if tag in stop:
@@ -97,8 +103,11 @@ def parse(html: str) -> Item:
         if not m:
             break
         at = m.end()
-        if m[5]:  # a tag that the page's end cuts off
-            break
+        if m[5]:  # a tag whose quotes don't close ends at the next bracket, or is cut off by the page's end
+            at = html.find(">", at) + 1
+            if not at:
+                break
+            continue
         if not m[2]:
             if m[0].startswith("<![CDATA["):
                 words.append(m[0][9:].removesuffix("]]>"))
@@ -132,44 +141,64 @@ def parse(html: str) -> Item:
                 i = j
             close(i)
         flush()
-        named = ""
+        named = kind = ""
         if m[3]:
             values = {k.lower(): (a or b or c or "") for k, a, b, c in _ATTRIBUTE.findall(m[3])}
+            kind = " ".join(re.sub(r"[\d|]+", "", values.get("class", "").lower()).split())
             if "hidden" in values or values.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", values.get("style", "")):
                 named = "hidden"
             elif tag not in ("article", "main", "body", "html"):
                 role = ROLES.search(" ".join(values.get(k, "") for k in ("class", "id", "role")))
                 named = role[1].lower() if role else ""
-        block = Item(f"{tag}.{named}" if named else tag)
+        block = Item(f"{tag}|{named}|{kind}" if named or kind else tag)
         stack[-1].items.append(block)
-        if len(stack) < DEEPEST and not m[3].endswith("/"):
+        if not m[3].endswith("/"):
             stack.append(block)
-        elif not m[3].endswith("/"):  # deeper blocks are neighbours, under their own key
-            stack[-1] = block
     flush()
     return top
 
 
-def boilerplate(key: str) -> bool:
-    tag, _, role = key.partition(".")
-    return bool(role) or tag in BOILERPLATE
+def boilerplate(item: Item) -> bool:
+    return bool(item.role) or item.key.partition("|")[0] in BOILERPLATE
+
+
+def is_a(item: Item, tag: str) -> bool:
+    return item.key.partition("|")[0] == tag
+
+
+def mark(item: Item) -> str | None:
+    """The text of an item that holds one text and nothing else."""
+    return item.text if item.key == TEXT else item.items[0].text if len(item.items) == 1 and item.items[0].key == TEXT else None
+
+
+def _merged(items: list[Item]) -> Item:
+    out = items[0]
+    for x in items[1:]:
+        out = _merge(out, x)
+    return out
 
 
 def _repeats(items: list[Item]) -> list[Item]:
-    """Equal neighbours (or neighbouring equal pairs) become one repeated item."""
+    """Long runs of equal neighbours, or of neighbouring pairs, keep their ends; between them is a repeated group."""
     out: list[Item] = []
-    for item in items:
-        if out and out[-1].key == item.key:
-            out[-1] = _merge(out[-1], item)
-            out[-1].repeated = True
-        elif len(out) > 2 and out[-2].key == item.key and out[-1].key == out[-3].key and TEXT not in (item.key, out[-1].key):
-            last = out.pop()
-            out[-2] = _merge(out[-2], last)  # (a b) a b: the pair repeats
-            out[-1] = _merge(out[-1], item)
-            out[-2].repeated = out[-1].repeated = True
-            out[-2], out[-1] = out[-2], out[-1]
+    i, n = 0, len(items)
+    while i < n:
+        for step in (1, 2):
+            j = i + step
+            while j < n and items[j].key == items[j - step].key:
+                j += 1
+            j -= (j - i) % step
+            if (j - i) // step > 2 * EDGE + 1 and (step == 1 or TEXT not in (items[i].key, items[i + 1].key)):
+                first, last = i + EDGE * step, j - EDGE * step
+                middle = [_merged(items[first + k : last : step]) for k in range(step)]
+                for x in middle:
+                    x.repeated = True
+                out += [*items[i:first], *middle, *items[last:j]]
+                i = j
+                break
         else:
-            out.append(item)
+            out.append(items[i])
+            i += 1
     return out
 
 
@@ -184,20 +213,30 @@ def _merge(a: Item, b: Item) -> Item:
     return new
 
 
+def gain(a: Item, b: Item) -> int:
+    """What aligning two items is worth: 2, and 1 more for equal texts; 0 where they can't be aligned."""
+    if a.key != b.key:
+        return 0
+    own = mark(a)
+    return 3 if own is not None and own == mark(b) else 2
+
+
 def align(a: list[Item], b: list[Item]) -> list[Item]:
     """One stream that both streams match: common items merged, all others optional."""
-    a, b = _repeats(a), _repeats(b)
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
+        row, below = best[i], best[i + 1]
         for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i].key == b[j].key else max(best[i + 1][j], best[i][j + 1])
+            row[j] = below[j] if below[j] >= row[j + 1] else row[j + 1]
+            if (g := gain(a[i], b[j])) and below[j + 1] + g > row[j]:
+                row[j] = below[j + 1] + g
     out, i, j = [], 0, 0
     while i < n or j < m:
-        if i < n and j < m and a[i].key == b[j].key:
+        if i < n and j < m and (g := gain(a[i], b[j])) and best[i][j] == best[i + 1][j + 1] + g:
             out.append(_merge(a[i], b[j]))
             i, j = i + 1, j + 1
-        elif j >= m or i < n and best[i + 1][j] >= best[i][j + 1]:
+        elif j >= m or i < n and best[i][j] == best[i + 1][j]:
             a[i].optional = True
             out.append(a[i])
             i += 1
@@ -213,62 +252,89 @@ def content_hash(page: Item, start: int = 0) -> int:
     for x in page.items:
         if x.key == TEXT:
             start = crc32(x.text.encode("utf-8", "replace") + b"\n", start)
-        elif not boilerplate(x.key):
+        elif not boilerplate(x):
             start = content_hash(x, start)
     return start
 
 
+def text_hash(text: str) -> str:
+    return f"{crc32(text.encode('utf-8', 'replace')):08x}"
+
+
 def folded(page: Item, own: int | None = None) -> Item:
     """A page as a wrapper of itself; texts are kept as hashes."""
     own = content_hash(page) if own is None else own
     new = Item(page.key, None, page.links)
     new.size = page.size
     if page.text is not None:
-        new.text = f"{crc32(page.text.encode('utf-8', 'replace')):08x}"
+        new.text = text_hash(page.text)
         new.pages = (own,)
     new.items = _repeats([folded(x, own) for x in page.items])
     return new
 
 
-def pack(item: Item) -> list:
-    return [item.key, item.text, item.size, item.links, int(item.optional), int(item.repeated), [pack(x) for x in item.items], item.pages]
-
-
-def unpack(row: list) -> Item:
-    item = Item(row[0])
-    item.text, item.size, item.links, item.optional, item.repeated = row[1], row[2], row[3], bool(row[4]), bool(row[5])
-    item.items, item.pages = [unpack(x) for x in row[6]], tuple(row[7])
+def pack(item: Item) -> str:
+    """A tree as JSON: its items before what they hold, each with the number of items inside."""
+    out, todo = [], [item]
+    while todo:
+        x = todo.pop()
+        out.append([x.key, x.text, x.size, x.links, int(x.optional), int(x.repeated), len(x.items), x.pages])
+        todo += x.items[::-1]
+    return json.dumps(out, separators=(",", ":"))
+
+
+def unpack(packed: str) -> Item:
+    top = Item("")
+    todo = [[top, 1]]
+    for key, text, size, links, optional, repeated, inside, pages in json.loads(packed):
+        item = Item(key)
+        item.text, item.size, item.links, item.optional, item.repeated, item.pages = text, size, links, bool(optional), bool(repeated), tuple(pages)
+        while not todo[-1][1]:
+            todo.pop()
+        todo[-1][0].items.append(item)
+        todo[-1][1] -= 1
+        todo.append([item, inside])
+    return top.items[0]
+
+
+def measured(item: Item) -> Item:
+    """Sizes and linked characters of blocks become the sums of their texts'."""
+    order, todo = [], [item]
+    while todo:
+        x = todo.pop()
+        order.append(x)
+        todo += x.items
+    for x in reversed(order):
+        if x.key != TEXT:
+            x.size, x.links = sum(y.size for y in x.items), sum(y.links for y in x.items)
     return item
 
 
-def totals(item: Item) -> tuple[int, int]:
-    size, links = item.size, item.links
-    if item.key != TEXT:
-        size = links = 0
-    for x in item.items:
-        s, k = totals(x)
-        size, links = size + s, links + k
-    return size, links
-
-
 def matched(items: list[Item], own: list[Item]) -> list[Item | None]:
     """The wrapper's item that each item of a page's stream matches, None for those that match none.
 
-    The longest common stream; a repeated item matches as often as it comes, a repeated pair in turns.
+    As many common items as possible, and among these as many of equal text; a repeated item matches as often
+    as it comes, a repeated pair in turns. Texts of ``own`` are hashes.
     """
     n, m = len(items), len(own)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     after = [max(0, j - 1) if j and x.repeated and own[j - 1].repeated else j if x.repeated else j + 1 for j, x in enumerate(own)]
+    marks = [mark(x) for x in own]
+    worth = []
+    for x in items:
+        text = mark(x)
+        hashed = None if text is None else text_hash(text)
+        worth.append([0 if y.key != x.key else 3 if hashed is not None and hashed == t else 2 for y, t in zip(own, marks, strict=True)])
     for i in range(n - 1, -1, -1):
-        row, below, key = best[i], best[i + 1], items[i].key
+        row, below, gains = best[i], best[i + 1], worth[i]
         for j in range(m - 1, -1, -1):
             row[j] = max(below[j], row[j + 1])
-            if own[j].key == key:
-                row[j] = max(row[j], below[after[j]] + 1)
+            if gains[j]:
+                row[j] = max(row[j], below[after[j]] + gains[j])
     out: list[Item | None] = [None] * n
     i = j = 0
     while i < n and j < m:
-        if own[j].key == items[i].key and best[i][j] == best[i + 1][after[j]] + 1:
+        if worth[i][j] and best[i][j] == best[i + 1][after[j]] + worth[i][j]:
             out[i] = own[j]
             i, j = i + 1, after[j]
         elif best[i][j] == best[i][j + 1]:
@@ -283,18 +349,26 @@ def main_text(page: Item, wrapper: Item | None) -> str:
     found: list[tuple[str, bool, bool]] = []  # text, in an article, content by the wrapper
 
     def has_article_inside(item: Item) -> bool:
-        return any(not boilerplate(x.key) and (x.key == "article" or has_article_inside(x)) for x in item.items)
+        todo = [item]
+        while todo:
+            for x in todo.pop().items:
+                if not boilerplate(x):
+                    if is_a(x, "article"):
+                        return True
+                    todo.append(x)
+        return False
 
     def walk(item: Item, own: Item | None, article: bool, content: bool):
         for x, model in zip(item.items, matched(item.items, own.items if own else []), strict=True):
             if x.key == TEXT:
-                constant = model is not None and model.text is not None and len(model.pages) >= SEVERAL and not model.optional
+                constant = model is not None and model.text == text_hash(x.text) and len(model.pages) >= SEVERAL and not model.optional
                 found.append((x.text, article, content and not constant and 2 * x.links <= len(x.text)))
-            elif not boilerplate(x.key):
-                size, links = totals(model) if model else totals(x)
-                named = x.key == "article" or x.key == "main" and not has_article_inside(x)
-                walk(x, model, article or named, content and 2 * links <= size)
+            elif not boilerplate(x):
+                told = model or x
+                named = is_a(x, "article") or not article and is_a(x, "main") and not has_article_inside(x)
+                walk(x, model, article or named, content and 2 * told.links <= told.size)
 
+    measured(page)
     walk(page, wrapper, False, True)
     inside = sum(len(text) for text, article, _ in found if article)
     outside = sum(len(text) for text, article, content in found if content and not article)
@@ -311,7 +385,7 @@ def _fold_pages(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held: dict[str, tuple[Item, int]] = {}
 
     def rows():
-        return pd.DataFrame([(h, json.dumps(pack(w), separators=(",", ":")), n) for h, (w, n) in held.items()], columns=["host", "wrapper", "n"])
+        return pd.DataFrame([(h, pack(w), n) for h, (w, n) in held.items()], columns=["host", "wrapper", "n"])
 
     for frame in frames:
         for host, html in zip(frame["host"], frame["html"], strict=True):
@@ -328,9 +402,9 @@ def _fold_pages(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _fold_wrappers(frame: pd.DataFrame) -> pd.DataFrame:
     item = None
     for row in frame["wrapper"]:
-        new = unpack(json.loads(row))
+        new = unpack(row)
         item = _merge(item, new) if item else new
-    return pd.DataFrame({"host": [frame["host"].iloc[0]], "wrapper": [json.dumps(pack(item), separators=(",", ":"))], "n": [int(frame["n"].sum())]})
+    return pd.DataFrame({"host": [frame["host"].iloc[0]], "wrapper": [pack(item)], "n": [int(frame["n"].sum())]})
 
 
 _WRAPPER = "host string, wrapper string, n long"
@@ -355,7 +429,7 @@ def _extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if wrapper is not None and host not in known:
                 if len(known) > 500:
                     known.clear()
-                known[host] = unpack(json.loads(wrapper))
+                known[host] = measured(unpack(wrapper))
             out.append(main_text(parse(html), known.get(host)))
         yield frame.drop(columns="html").assign(text=out)
 
@@ -364,7 +438,8 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     """(page_id, url, text): the main text of every page, empty where there is none.
 
     Null and empty html give an empty text; null and hostless urls share one wrapper; rows that repeat a
-    page are rows again. Broken markup is read as far as it goes. Other columns are ignored.
+    page are rows again. Broken markup is read as far as it goes, markup of any depth and length is read whole.
+    No rows give none. Other columns are ignored.
     """
     small_batches(pages.sparkSession)
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), host_of(F.col(url)).alias("host"))
@@ -374,4 +449,5 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
     return extract_pages(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
