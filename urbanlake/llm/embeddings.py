@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import small_batches, table, written
+from .store import drop, small_batches, table, written
 
 TABLES, BLOCK, NEAR = 5, 2048, 0.75
 #: Vectors that a bucket of evenly spread vectors should hold at most.
@@ -111,17 +111,14 @@ def _unit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([r for r in rows if r], columns=["id", "label", "exact", "q", "scale", "error"])
 
 
-def _entries(frames: Iterator[pd.DataFrame], parts: int, by_bits: dict[int, int]) -> Iterator[pd.DataFrame]:
+def _coded(frames: Iterator[pd.DataFrame], parts: int, by_bits: dict[int, int]) -> Iterator[pd.DataFrame]:
+    """Add the vectors' length, their stored and probed codes of all tables, and all of these as bytes."""
     for frame in frames:
         for length, own in frame.groupby(frame["q"].map(len)):
             x = np.frombuffer(b"".join(own["q"]), np.int16).reshape(len(own), -1) * own["scale"].to_numpy()[:, None]
-            tables = by_bits[max(1, int(x.shape[1] - 1).bit_length())]
-            stored, probed = codes(x, tables, parts)
+            stored, probed = codes(x, by_bits[max(1, int(x.shape[1] - 1).bit_length())], parts)
             where = [stored[i].tobytes() + probed[i].tobytes() for i in range(len(own))]
-            for t in range(tables):
-                for code, stays in ((stored, True), (probed, False)):
-                    some = np.ones(len(own), bool) if stays else probed[:, t] != stored[:, t]
-                    yield pd.DataFrame({"label": own["label"], "length": length, "t": t, "code": code[:, t], "stored": stays, "id": own["id"], "n": own["n"], "q": own["q"], "scale": own["scale"], "error": own["error"], "codes": where})[some]
+            yield own.assign(length=length, stored=list(stored), probed=list(probed), codes=where)
 
 
 def _block_links(frame: pd.DataFrame, least: float) -> pd.DataFrame:
@@ -214,28 +211,39 @@ def linked_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embed
 
     Returns (vec_id, n_links, component_id, kept). Null, empty and zero vectors, vectors with null or
     non-finite components and null labels link with nothing; vectors of different lengths don't link.
-    Rows with a null id are left out of linking; rows that repeat an id count as one vector of that label.
-    Other columns are ignored.
+    Rows with a null id are left out of linking; rows that repeat an id and its vector count as one, with other
+    vectors the id has the most links that any has. Vectors of any length are taken whole; no rows give none. Other columns
+    are ignored, whatever their names.
     """
     small_batches(rows.sparkSession, 2000)
     base = rows.select(F.col(vec_id).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vector).alias("v"))
     usable = base.filter("id is not null and label is not null and v is not null").filter(~F.exists("v", lambda c: c.isNull()))
     units = usable.mapInPandas(_unit, "id long, label string, exact binary, q binary, scale double, error double")
-    units = written(units.withColumn("same", F.xxhash64("label", "exact")).dropDuplicates(["id", "same"]), "units")
-    classes = units.groupBy("label", "same").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    member = written(units.select("id", "label", "same").join(classes, ["label", "same"]).select("id", "rep", "n"), "members")
-    reps = units.join(member.filter("id = rep").select("id", "n"), "id").drop("same")
-    reps = written(reps, "reps")
+    units = written(units.withColumn("same", F.sha2("exact", 256)).dropDuplicates(["id", "label", "same"]), "units")
+    equal = units.groupBy("label", "same").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    equal = written(equal.filter("n > 1"), "equal")
+    named = units.join(equal, ["label", "same"], "left").withColumns({"rep": F.coalesce("rep", "id"), "n": F.coalesce("n", F.lit(1))})
+    member = written(named.select("id", "rep", "n"), "members")
+    reps = written(named.filter("id = rep").drop("same", "rep"), "reps")
+    drop(units, equal)
     largest = reps.groupBy("label").agg(F.count(F.lit(1)).alias("m"), F.max(F.length("q")).alias("b")).agg(F.max("m"), F.max("b")).first()
     vertices, parts = max(4, largest[1] or 4), 1
     while (largest[0] or 0) / vertices**parts > BUCKET_ROWS and parts < 4:
         parts += 1
     by_bits = {r[0]: tables_for(r[0], parts, least) for r in reps.select(F.length(F.bin(F.expr("length(q) div 2 - 1")))).distinct().collect()}
-    entry = "label string, length int, t int, code long, stored boolean, id long, n long, q binary, scale double, error double, codes binary"
-    entries = reps.select("id", "label", "n", "q", "scale", "error").mapInPandas(lambda it: _entries(it, parts, by_bits), entry)
+    kept = "label string, id long, n long, q binary, scale double, error double, length int, stored array<long>, probed array<long>, codes binary"
+    coded = written(reps.select("label", "id", "n", "q", "scale", "error").mapInPandas(lambda it: _coded(it, parts, by_bits), kept), "coded")
+
+    def entries(*columns: str) -> DataFrame:
+        """A row for every table and stored code, and one for every probed code that differs."""
+        own = coded.select("*", F.posexplode(F.arrays_zip("stored", "probed")).alias("t", "code")).select("label", "length", "t", "code", *columns)
+        both = F.explode(F.array(F.struct(F.col("code.stored").alias("code"), F.lit(True).alias("stored")), F.struct(F.col("code.probed").alias("code"), F.lit(False).alias("stored"))))
+        found = own.withColumn("at", both).filter("at.stored or code.stored <> code.probed")
+        return found.select("label", "length", "t", "at.code", "at.stored", *columns)
+
     bucket = ["label", "length", "t", "code"]
-    large = written(entries.groupBy(*bucket).count().filter(F.col("count") > BLOCK).select(*bucket, F.ceil(F.col("count") / BLOCK).cast("int").alias("k")), "large")
-    dealt = entries.join(large, bucket, "left").withColumn("own", F.when(F.col("k").isNotNull(), F.pmod(F.xxhash64("id"), F.col("k")).cast("int")).otherwise(0))
+    large = written(entries().groupBy(*bucket).count().filter(F.col("count") > BLOCK).select(*bucket, F.ceil(F.col("count") / BLOCK).cast("int").alias("k")), "large")
+    dealt = entries("id", "n", "q", "scale", "error", "codes").join(large, bucket, "left").withColumn("own", F.when(F.col("k").isNotNull(), F.pmod(F.xxhash64("id"), F.col("k")).cast("int")).otherwise(0))
     others = F.when(F.col("k").isNotNull(), F.sequence(F.lit(0), F.col("k") - 1)).otherwise(F.array(F.lit(0)))
     dealt = dealt.withColumn("with", F.explode(others)).select("*", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
     dealt = dealt.withColumn("side", (F.col("own") != F.col("i")).cast("int")).withColumn("cross", F.col("i") != F.col("j")).drop("own", "with", "k")
@@ -244,6 +252,7 @@ def linked_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embed
     exact = reps.select("id", "exact", "n")
     pairs = pairs.join(exact.toDF("a", "va", "na"), "a").join(exact.toDF("b", "vb", "nb"), "b").mapInPandas(lambda it: _exact(it, least), "a long, b long, na long, nb long")
     pairs = written(pairs, "pairs")
+    drop(coded, large, reps)
     counts = found.filter("links is not null").select("id", "links").unionAll(pairs.select("a", "nb")).unionAll(pairs.select("b", "na")).groupBy("id").agg(F.sum("links").alias("links"))
     linked = components(found.filter("links is not null").select("id", "other").unionAll(pairs.select("a", "b")), "id", "other")
     info = member.join(counts.withColumnRenamed("id", "rep"), "rep", "left").join(linked.withColumnRenamed("node", "rep"), "rep", "left")
@@ -254,4 +263,17 @@ def linked_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embed
 
 
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all embeddings of equal labels at cosine 0.93 or more."""
     return linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_OP5 = """
+with recursive v as (select vec_id, label, embedding::double[] as x from embeddings),
+u as (select * from v where label is not null and len(x) > 0 and len(list_filter(x, lambda y: y is null or not isfinite(y))) = 0 and len(list_filter(x, lambda y: y <> 0)) > 0),
+l as (select a.vec_id as a, b.vec_id as b from u a join u b on a.label = b.label and a.vec_id <> b.vec_id and len(a.x) = len(b.x) where list_cosine_similarity(a.x, b.x) >= 0.93),
+r as (select a as s, b as t from l union select r.s, l.b from r join l on l.a = r.t),
+n as (select a as vec_id, count(*) as n from l group by a),
+m as (select s as vec_id, min(t) as least from r group by s)
+select v.vec_id, coalesce(n.n, 0)::bigint as n_links, least(v.vec_id, coalesce(m.least, v.vec_id)) as component_id, v.vec_id <= coalesce(m.least, v.vec_id) as kept
+from v left join n using (vec_id) left join m using (vec_id)
+"""

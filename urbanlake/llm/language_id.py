@@ -4,9 +4,9 @@ A known word adds the logarithm of its frequency in each language. An unseen wor
 ``<word>`` through its character n-grams: of the longest length, down from 5, at which any n-gram is
 known, the mean of the known ones' logarithms is added. The score is the posterior of the best language.
 
-The tables are a classifier fitted on a bounded sample of labelled rows: at most ``max_rows`` texts a
-language, chosen by hash, and the ``max_words`` and ``max_grams`` most frequent entries a language; words
-beyond them are unseen words and back off.
+The tables are a classifier fitted on a bounded sample of labelled rows: about ``max_rows`` texts a language, chosen
+by a hash of key and text, and one at least. All that the sample holds twice is known;
+what it holds once is unseen and backs off (n-grams of up to three letters are known from one occurrence).
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import crc_part, small_batches, table, written
@@ -29,7 +29,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """Runs of letters in lower case; numerals such as superscripts and fractions are no letters."""
+    found = _WORD.findall(text.lower()) if text else []
+    return found if all(map(str.isalpha, found)) else [w for x in found if (w := x if x.isalpha() else "".join(filter(str.isalpha, x)))]
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -103,22 +105,26 @@ def _cut_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["lang", "term", "n"])
 
 
-def learn(rows: DataFrame, max_rows: int = 8_000, max_words: int = 20_000, max_grams: int = 30_000) -> Model:
-    """Learn from (text, lang) rows; rows without either are ignored."""
-    rows = rows.select("text", "lang").filter("lang is not null and text is not null").withColumn("h", F.xxhash64("text"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    chosen = rows.join(F.broadcast(sizes), "lang")  # a row per language
-    chosen = chosen.filter(F.pmod("h", F.lit(1 << 30)) < (F.least(F.lit(1.0), F.lit(max_rows) / F.col("n")) * (1 << 30)))
+def sampled(rows: DataFrame, max_rows: int, key: str | None = None) -> DataFrame:
+    """(text, lang) of about ``max_rows`` rows a language, chosen by a hash of key and text, and of one row at least."""
+    hashed = rows.withColumn("h", F.xxhash64(key, "text") if key else F.xxhash64("text")).filter("lang is not null and text is not null").select("text", "lang", "h")
+    sizes = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(F.pmod("h", F.lit(1 << 30))).alias("least"))
+    share = F.least(F.lit(1.0), F.lit(max_rows) / F.col("n")) * (1 << 30)
+    chosen = hashed.join(sizes, "lang").filter(F.pmod("h", F.lit(1 << 30)) < share).select("text", "lang")
+    missing = hashed.join(sizes.filter(F.col("least") >= share).select("lang"), "lang").groupBy("lang").agg(F.min_by("text", "h").alias("text"))
+    return chosen.unionByName(missing)
+
+
+def learn(rows: DataFrame, max_rows: int = 2_000, key: str | None = None) -> Model:
+    """Learn from (text, lang) rows; rows without either are ignored. ``key`` names a column that tells equal texts apart in sampling."""
+    chosen = sampled(rows, max_rows, key)
     words = written(chosen.select("lang", "text").mapInPandas(_counted, "lang string, term string, n long").groupBy("lang", "term").agg(F.sum("n").alias("n")), "words")
     spread = words.repartition(1 + words.count() // 50_000)
     parts = spread.mapInPandas(_cut_up, "lang string, term string, n long").groupBy("lang", "term").agg(F.sum("n").alias("n")).withColumn("kind", F.length("term"))
     parts = written(parts, "parts")
     terms = words.withColumn("kind", F.lit(0)).unionByName(parts)
     totals = {(r["lang"], r["kind"]): r["n"] for r in terms.groupBy("lang", "kind").agg(F.sum("n").alias("n")).collect()}
-    by_lang = Window.partitionBy("lang", (F.col("kind") == 0).alias("word")).orderBy(F.desc("n"), "term")
-    most = F.when(F.col("kind") == 0, max_words).otherwise(max_grams)
-    kept = terms.filter("n >= 2 or kind between 1 and 3").withColumn("at", F.row_number().over(by_lang)).filter(F.col("at") <= most)
-    kept = terms.join(kept.select("term", "kind").distinct(), ["term", "kind"], "left_semi").toPandas()
+    kept = terms.join(terms.groupBy("term", "kind").agg(F.sum("n").alias("all")).filter("all >= 2 or kind between 1 and 3").select("term", "kind"), ["term", "kind"]).toPandas()
     languages = sorted({k for k, _ in totals})
     place = {k: i for i, k in enumerate(languages)}
     names: tuple[dict, dict] = {}, {}
@@ -134,7 +140,11 @@ def learn(rows: DataFrame, max_rows: int = 8_000, max_words: int = 20_000, max_g
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """Add language and score (columns of those names are replaced). Null texts and texts without a letter are ``und`` with 0."""
+    """Add language and score (columns of those names are replaced). Null texts and texts without a letter are ``und`` with 0.
+
+    Texts are taken whole, rows that repeat are rows again, no rows give none; of languages with equal scores the
+    first by name is given. All other columns stay.
+    """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -147,7 +157,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text", lang: str = "lan
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those whose crc32(doc_id) mod 3 is not 1."""
     docs = table(spark, sf_dir, "documents")
-    model = learn(docs.filter(crc_part(F.col("doc_id"), 3) != 1).select("text", "lang"))
+    model = learn(docs.filter(crc_part(F.col("doc_id"), 3) != 1).select("doc_id", "text", "lang"), key="doc_id")
     out = identify(docs.select("doc_id", "text"), model)
     return out.select("doc_id", F.coalesce(crc_part(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -17,6 +17,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {
+    "op5_embedding_near_dedup": embeddings.ORACLE_OP5,
     "op6_minhash_near_dedup": near_dup.ORACLE_OP6,
     "op7_decontamination": decontaminate.ORACLE_OP7,
     "op8_warc": warc.ORACLE_OP8,

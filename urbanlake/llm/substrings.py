@@ -11,7 +11,7 @@ longer minimiser as well, and where that is still too many by their own hash, so
 all windows of a frequent pair of words.
 
 Within a map batch equal strings (a passage that many documents share) are packed once, with the list of
-places they came from, before anything is shuffled; a place takes 12 bytes.
+places they came from, before anything is shuffled; a place takes 16 bytes before compression.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import small_batches, table
+from .store import semi, small_batches, table, written
 from .words import Words, canonical, mix, sequence_hash, slices
 
 #: Bytes of packed strings that a bucket should hold.
@@ -33,6 +33,8 @@ BUCKET_BYTES = 8 << 20
 GATHER_BYTES = 16 << 20
 #: Windows of one minimiser beyond which they are dealt out further.
 HEAVY = 1_000_000
+#: A place is a word's number in its text, and above these bits the number of the text among those of its id.
+PART = 40
 
 
 def _minimisers(words: Words, at: np.ndarray, k: int, m: int) -> np.ndarray:
@@ -95,7 +97,7 @@ def _pack(frames: Iterator[pd.DataFrame], k: int, m: int, buckets: int, heavy: S
     gathered, size = [], 0
     for frame in frames:
         texts = [canonical(t) for t in frame["text"]]
-        ids = frame["id"].to_numpy(dtype=np.int64)
+        ids, part = frame["id"].to_numpy(dtype=np.int64), frame["part"].to_numpy(dtype=np.int64)
         for lo, hi in slices(texts):
             words = Words(texts[lo:hi])
             first, n, low = _super_kmers(words, k, m, heavy)
@@ -104,7 +106,7 @@ def _pack(frames: Iterator[pd.DataFrame], k: int, m: int, buckets: int, heavy: S
             doc = words.doc[first]
             left, right = words.start[first], words.end[first + n + k - 2]
             strings = [words.data[a:b] for a, b in zip(left.tolist(), right.tolist(), strict=True)]
-            gathered.append((mix(low) % np.uint64(buckets), strings, ids[lo:hi][doc], (first - words.first[doc]).astype(np.int32)))
+            gathered.append((mix(low) % np.uint64(buckets), strings, ids[lo:hi][doc], first - words.first[doc] + (part[lo:hi][doc] << PART)))
             size += int((right - left).sum())
             if size > GATHER_BYTES:
                 yield _blocks(gathered)
@@ -137,7 +139,7 @@ def _count(frame: pd.DataFrame, k: int) -> pd.DataFrame:
         numbers = np.fromiter((known.setdefault(s, len(known)) for s in expand(strings).split(b"\n")), dtype=np.int64)
         which.append(numbers[np.frombuffer(expand(w), dtype=np.int32)])
         docs.append(np.frombuffer(expand(d), dtype=np.int64))
-        places.append(np.frombuffer(expand(p), dtype=np.int32).astype(np.int64))
+        places.append(np.frombuffer(expand(p), dtype=np.int64))
     which, docs, places = np.concatenate(which), np.concatenate(docs), np.concatenate(places)
     least = np.full(len(known), np.iinfo(np.int64).max)
     np.minimum.at(least, which, docs)
@@ -187,15 +189,32 @@ def _cut(frames: Iterator[pd.DataFrame], normalise: bool) -> Iterator[pd.DataFra
         yield frame.assign(n_words=n_words, n_removed=n_removed, kept_text=pd.Series(kept, dtype=object, index=frame.index))
 
 
-def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 13, m: int = 2, most: int = HEAVY) -> DataFrame:
-    """(id, start, stop): runs of words covered by windows that also start in a document with a smaller id."""
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null")
+def _numbers(rows: DataFrame) -> DataFrame | None:
+    """(id, _hash, part) of ids that several of the rows (id, text) have: numbers of an id's different texts; None where ids are unique."""
+    twice = written(rows.groupBy("id").count().filter("count > 1").select("id"), "twice")
+    if twice.isEmpty():
+        return None
+    texts = semi(rows.select("id", F.xxhash64("text").alias("_hash")), twice, "id").distinct()
+    return written(texts.withColumn("part", F.row_number().over(Window.partitionBy("id").orderBy("_hash")).cast("long") - 1), "numbers")
+
+
+def _numbered(rows: DataFrame, numbers: DataFrame | None, text: str) -> DataFrame:
+    """Add ``part``: the number of the row's text among those of its id."""
+    if numbers is None:
+        return rows.withColumn("part", F.lit(0).cast("long"))
+    found = rows.withColumn("_hash", F.xxhash64(text)).join(numbers, ["id", "_hash"], "left").drop("_hash")
+    return found.withColumn("part", F.coalesce("part", F.lit(0).cast("long")))
+
+
+def repeated_runs(rows: DataFrame, k: int = 13, m: int = 2, most: int = HEAVY) -> DataFrame:
+    """(id, part, start, stop) from (id, text, part): runs of words covered by windows that also start in a document with a smaller id."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, 3 * size // BUCKET_BYTES)
     heavy = _heavy_keys(rows, k, m, most) if size // 2 > most else []  # a word takes two bytes at least
     packed = rows.mapInPandas(lambda it: _pack(it, k, m, buckets, heavy), "bucket long, strings binary, which binary, docs binary, places binary")
-    return packed.groupBy("bucket").applyInPandas(lambda frame: _count(frame, k), "id long, start long, stop long")
+    runs = packed.groupBy("bucket").applyInPandas(lambda frame: _count(frame, k), "id long, start long, stop long")
+    own = F.shiftright("start", PART).alias("part")
+    return runs.select("id", own, *(F.col(c).bitwiseAND((1 << PART) - 1).alias(c) for c in ("start", "stop")))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 13, m: int = 2, carry: Sequence[str] = (), normalise: bool = True) -> DataFrame:
@@ -204,18 +223,23 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Returns (doc_id, the columns of ``carry``, n_words, n_removed, kept_text); kept words are joined by one
     space (with ``normalise=False`` a text that loses nothing stays as it is, null included). Windows are
     judged on the input. Null and empty texts have no words; texts under ``k`` words lose none; a row with
-    a null id loses none and counts for none; rows that repeat one id count as one document, so they must
-    repeat its text too. Other columns are ignored, whatever their names.
+    a null id loses none and counts for none; rows that repeat one id are texts of one document, each with its
+    own words. Texts are taken whole, no rows give none. Other columns are ignored, whatever their names.
     """
-    runs = repeated_runs(docs, doc_id, text, k, m).groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("_runs"))
+    small_batches(docs.sparkSession)
+    usable = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null")
+    numbers = _numbers(usable)
+    runs = repeated_runs(_numbered(usable, numbers, "text"), k, m).groupBy("id", "part").agg(F.collect_list(F.struct("start", "stop")).alias("_runs"))
     rows = docs.select(F.col(doc_id), F.col(text).alias("_text"), *carry)
-    joined = rows.join(runs, rows[doc_id].cast("long") == runs["id"], "left").drop("id")
+    whole = rows.select(F.col(doc_id).cast("long").alias("id"), F.struct("*").alias("_row"))
+    joined = _numbered(whole, numbers, "_row._text").join(runs, ["id", "part"], "left").select("_row.*", "_runs")
     fields = [f for f in rows.schema.fields if f.name != "_text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "n_words long, n_removed long, kept_text string"])
     return joined.mapInPandas(lambda it: _cut(it, normalise), schema)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that no window of a smaller document covers."""
     cut = remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 

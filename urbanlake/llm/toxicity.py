@@ -12,6 +12,8 @@ toxic rows in several different contexts, so that a group of copies doesn't make
 from __future__ import annotations
 
 import re
+import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -23,21 +25,30 @@ from pyspark.sql import functions as F
 
 from .store import crc_part, small_batches, table, written
 
-# Letters of other scripts that look like a-z, and digits that stand for letters.
-LOOKALIKES = dict(zip("авекмнорстухіјѕԁһӏαβεικνορτυχ", "abekmhopctyxijsdhlabeikvoptux", strict=True))
-DIGITS = dict(zip("013457", "oieast", strict=True))
-_FOLD = str.maketrans(LOOKALIKES | DIGITS | {chr(0xFF41 + i): chr(97 + i) for i in range(26)} | {chr(0xFF10 + int(d)): c for d, c in DIGITS.items()} | {"​": None, "­": None})
-_INNER = re.compile(r"(?<=\w)[@$](?=\w)")
+# Letters that look like a-z (Cyrillic, Greek, Armenian, small capitals, letters with strokes or hooks),
+# and digits and signs that stand for letters.
+LOOKALIKES = dict(zip("авекмнорстухіјѕԁһӏԛԝґ" "αβεικνορτυχγω" "օսոհցյ" "ᴀʙᴄᴅᴇꜰɢʜɪᴊᴋʟᴍɴᴏᴘʀꜱᴛᴜᴠᴡʏᴢ" "ıȷƒɑɡɩʋłøđħŧƀɓɗɠƙƥƭƴƶɛɔ", "abekmhopctyxijsdhlqwr" "abeikvoptuxyw" "ounhgj" "abcdefghijklmnoprstuvwyz" "ijfagivlodhtbbdgkptyzeo", strict=True))
+DIGITS = dict(zip("0134578", "oieastb", strict=True))
+_FOLD = str.maketrans(LOOKALIKES | DIGITS | dict.fromkeys("\u200b\u200c\u200d\u2060\ufeff\u00ad"))
+_SIGNS = str.maketrans("@$!|€+", "asilet")
+#: Signs between letters, or a dollar beside one.
+_INNER = re.compile(r"(?<=\w)[@!|€+](?=\w)|(?<=[^\W\d])\$+|\$+(?=[^\W\d])")
 _BREAK = re.compile(r"[\W_]+")
+_ASCII = str.maketrans(DIGITS)
 STEMS = (4, 5, 6)
 
 
 def fold(text: str | None) -> str:
-    """Folded words between single spaces, with a space at both ends."""
+    """Folded words between single spaces, with a space at both ends.
+
+    Compatibility forms are taken apart and marks dropped, then letters, digits and signs are mapped to a-z.
+    """
     text = (text or "").lower()
-    if "@" in text or "$" in text:
-        text = _INNER.sub(lambda m: "a" if m[0] == "@" else "s", text)
-    return f" {_BREAK.sub(' ', text.translate(_FOLD)).strip()} "
+    if not text.isascii():
+        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).lower().translate(_FOLD)
+    else:
+        text = text.translate(_ASCII)
+    return f" {_BREAK.sub(' ', _INNER.sub(lambda m: m[0].translate(_SIGNS), text)).strip()} "
 
 
 class Matcher:
@@ -67,14 +78,23 @@ class Matcher:
         if automaton is None:
             return 0.0
         best: dict[int, float] = {}
-        excused = []
+        begins, ends = [], []  # stretches of exception phrases, ascending and apart
         for end, (pattern, weight) in automaton.iter(folded):
             at = end - len(pattern) + 1
-            if weight is None:
-                excused.append((at, end))
-            else:
+            if weight is not None:
                 best[at] = max(best.get(at, 0.0), weight)
-        return sum(w for at, w in best.items() if not any(a <= at < b for a, b in excused))
+            else:
+                while begins and begins[-1] >= at:
+                    begins.pop(), ends.pop()
+                if begins and ends[-1] >= at:
+                    ends[-1] = end
+                else:
+                    begins.append(at)
+                    ends.append(end)
+        if not begins:
+            return sum(best.values())
+        inside = lambda at: (i := bisect_right(begins, at) - 1) >= 0 and at < ends[i]
+        return sum(w for at, w in best.items() if not inside(at))
 
 
 def feature(folded: str, matcher: Matcher) -> float:
@@ -136,8 +156,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float
     return max(a, 0.0), b
 
 
-def learn(rows: DataFrame, max_terms: int = 5000, exceptions: Sequence[str] = ()) -> Model:
-    """Learn from (text, toxic) rows; callers bound their number. Without rows of both classes nothing scores over 0.5."""
+def learn(rows: DataFrame, exceptions: Sequence[str] = ()) -> Model:
+    """Learn from (text, toxic) rows; callers bound their number. Without rows of both classes nothing scores over 0.5.
+
+    Rows that repeat text and label count once, nulls are left out.
+    """
     rows = written(rows.select("text", F.col("toxic").cast("int").alias("toxic")).filter("text is not null and toxic in (0, 1)").dropDuplicates(["text", "toxic"]), "labelled")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(0) or not n.get(1):
@@ -145,7 +168,7 @@ def learn(rows: DataFrame, max_terms: int = 5000, exceptions: Sequence[str] = ()
     counted = rows.mapInPandas(_terms, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     ratio = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    strong = counted.filter("toxic >= 4 and toxic > clean").withColumn("z", ratio / error).filter("z >= 3").orderBy(F.desc("z"), "term").limit(4 * max_terms)
+    strong = counted.filter("toxic >= 4 and toxic > clean").withColumn("z", ratio / error).filter("z >= 3")
     terms = frozenset(r["term"] for r in strong.collect())
     hits = written(rows.mapInPandas(lambda it: _hits(it, terms), "term string, word string, before string, after string, toxic int, n long"), "hits")
     context = hits.groupBy("term", "word", "before", "after").agg(F.max("toxic").alias("toxic"), F.min("toxic").alias("least"))
@@ -160,11 +183,11 @@ def learn(rows: DataFrame, max_terms: int = 5000, exceptions: Sequence[str] = ()
         covered = any(f"{term[:k]}*" in chosen for k in STEMS if k < len(term) - stem or not stem and k <= len(term))
         if r["toxic"] >= 4 and z >= 3 and not covered and purity >= (0.98 if stem else 0.6) and (not stem or r["words"] >= 4):
             chosen[term] = float(np.clip(weight, 0.5, 8))
-    heavy = sorted(chosen.items(), key=lambda kv: (-kv[1], kv[0]))[:max_terms]
-    phrases = hits.filter(F.col("term").isin([t for t, _ in heavy][:1000])) if heavy else hits.limit(0)
+    heavy = sorted(chosen.items(), key=lambda kv: (-kv[1], kv[0]))
+    phrases = hits.join(rows.sparkSession.createDataFrame([(t,) for t in chosen], "term string"), "term", "left_semi")
     sides = phrases.select(F.concat_ws(" ", "before", "word").alias("phrase"), "after", "toxic").unionAll(phrases.select(F.concat_ws(" ", "word", "after"), "before", "toxic"))
     excused = sides.groupBy("phrase").agg(F.countDistinct(F.when(F.col("toxic") == 0, F.col("after"))).alias("clean"), F.countDistinct(F.when(F.col("toxic") == 1, F.col("after"))).alias("toxic"))
-    excused = excused.filter("clean >= 3 and clean >= 4 * toxic").orderBy(F.desc("clean"), "phrase").limit(max_terms)
+    excused = excused.filter("clean >= 3 and clean >= 4 * toxic").orderBy("phrase")
     matcher = Matcher(heavy, [*exceptions, *(r["phrase"] for r in excused.collect() if " " in r["phrase"].strip())])
 
     def measured(frames):
@@ -188,12 +211,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000,
 
 
 def score_toxicity(docs: DataFrame, model: Model, text: str = "text", score: str = "toxicity") -> DataFrame:
-    """Add the score column to all columns of ``docs`` (replacing one of that name). Null and empty texts get the score of no hit."""
+    """Add the score column to all columns of ``docs`` (replacing one of that name). Null and empty texts get the score of no hit.
+
+    Texts are taken whole, rows that repeat are rows again with equal scores, no rows give none.
+    """
     small_batches(docs.sparkSession)
     return docs.withColumn(score, F.pandas_udf(lambda s: pd.Series(model.score(s)), "double")(F.col(text)))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labelled ones whose crc32(doc_id) mod 5 is not 0."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = learn(labelled_sample(docs, table(spark, sf_dir, "labels")))
     out = score_toxicity(docs, model, score="score")
