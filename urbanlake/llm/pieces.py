@@ -1,14 +1,22 @@
 """SentencePiece encoding and decoding with weighted finite-state transducers.
 
-Three transducers are compiled from a model file: the normaliser (dummy prefix, spaces to U+2581), the
-pieces (a trie whose arcs carry a weight and give an id) and the byte fallback (a character that no piece
-covers gives its UTF-8 bytes' ids). They are composed with an input lazily, chunk by chunk, and the
-tropical-semiring shortest path (sum of weights along a path, minimum over paths) is the encoding.
+Three transducers are compiled from a model file:
 
-Unigram models: an arc's weight is minus the piece's score. Byte-pair models: a state is the piece read
-last, arcs weigh nothing, and an arc from piece a to piece b weighs infinity unless the model's own merges
-of the text ab give (a, b). A sequence of which every neighbouring pair is allowed is the one that greedy
-merging gives, so one path is finite and it is the encoding that the model defines.
+* the normaliser: a trie of the character map's rules (the longest rule at a place is its only arc, a character
+  without a rule is copied, user-defined pieces pass unchanged), then two states that turn runs of spaces into one
+  U+2581 each and drop those at the ends;
+* the pieces: a trie whose accepting arcs return to the root, give a piece and weigh minus its score;
+* the byte fallback: at the root, a character that no piece covers gives its UTF-8 bytes' ids.
+
+The normaliser is a function, so its composition with an input is one path. That path is composed lazily with
+pieces and fallback, and the tropical-semiring shortest path (sum of weights along a path, minimum over paths)
+through the composed machine, found by Dijkstra's search from state to state, is the encoding. Byte-pair models
+compose a fourth machine: its state is the piece read last, and an arc from piece a to piece b weighs infinity
+unless the model's own merges of the text ab give (a, b), else nothing. A sequence of which every neighbouring
+pair is allowed is the one that greedy merging gives, so one path is finite and it is the model's encoding.
+
+Where the composed machine is sure to be back at the root (before a U+2581, around characters that no longer
+piece holds) the path is cut, and paths over equal stretches are remembered.
 
 Decoding is the inverse transducer: ids to pieces or raw bytes, U+2581 to spaces, without the prefix.
 """
@@ -21,6 +29,7 @@ from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -66,6 +75,86 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += n
 
 
+def character_map(blob: bytes) -> dict[str, str]:
+    """The rules of a compiled character map: a double-array trie of byte strings, and the texts that they become."""
+    if not blob:
+        return {}
+    size = int.from_bytes(blob[:4], "little")
+    units, texts = np.frombuffer(blob[4 : 4 + size], "<u4").astype(np.int64), blob[4 + size :]
+    offset = lambda unit: (unit >> 10) << ((unit & 512) >> 6)
+    labels, rules = np.arange(1, 256), {}
+    todo = [(int(offset(units[0])), b"")]
+    while todo:
+        base, key = todo.pop()
+        at = base ^ labels
+        at = at[at < len(units)]
+        for place in at[(units[at] & 0x800000FF) == (at ^ base)].tolist():
+            unit, own = int(units[place]), key + bytes([place ^ base])
+            below = place ^ offset(unit)
+            if unit >> 8 & 1:
+                begin = int(units[below]) & 0x7FFFFFFF
+                rules[own.decode("utf-8")] = texts[begin : texts.index(b"\0", begin)].decode("utf-8")
+            todo.append((below, own))
+    return rules
+
+
+def compiled(entries: dict[str, object]) -> dict:
+    """A trie: a state is a dict from characters to states, with what is accepted there under the empty string."""
+    root: dict = {}
+    for text, accepted in entries.items():
+        state = root
+        for char in text:
+            state = state.setdefault(char, {})
+        state[""] = accepted
+    return root
+
+
+def accepting(root: dict, text: str, at: int) -> Iterator[tuple[int, object]]:
+    """End and acceptance of every entry of a trie that ``text`` has at a place, shortest first."""
+    state = root
+    for end in range(at, len(text)):
+        state = state.get(text[end])
+        if state is None:
+            return
+        if "" in state:
+            yield end + 1, state[""]
+
+
+def shortest_path(text: str, arcs, finite=None) -> list[tuple[int, ...]]:
+    """Outputs along the lightest path through a machine that reads ``text``, by Dijkstra's search.
+
+    ``arcs(text, place)`` gives lists of (end, (name, output, weight)), the arc that is to be tried first at the end
+    and none lighter before it; an arc is taken up when the one after it has been. With ``finite`` a state is a
+    place and the name of the arc that led there, and two neighbouring arcs of which it is false weigh infinity;
+    it is asked only when the search arrives. Of equally light states the furthest in the text comes first.
+    """
+    heap: list = []
+    done, order, size = set(), 0, len(text)
+    weight, at, node = 0.0, 0, ("", (), None)  # the start
+    while at < size:
+        rest, before, base = arcs(text, at), node, weight
+        while True:
+            if rest:
+                end, (name, output, more) = rest.pop()
+                order += 1
+                heappush(heap, (base + more, -end, order, name, output, before, base, rest))
+            weight, at, _, name, output, before, base, rest = heappop(heap)
+            state = (at, name) if finite else at
+            if state not in done and (finite is None or finite(before[0], name)):
+                break
+        if rest:
+            end, (own, more_output, more) = rest.pop()
+            order += 1
+            heappush(heap, (base + more, -end, order, own, more_output, before, base, rest))
+        done.add(state)
+        at, node = -at, (name, output, before)
+    path = []
+    while node[2] is not None:
+        path.append(node[1])
+        node = node[2]
+    return path[::-1]
+
+
 class Transducer:
     """A compiled model; ``encode`` and ``decode`` are its two directions."""
 
@@ -86,115 +175,119 @@ class Transducer:
             elif field == 3:
                 own = dict(_fields(value))
                 rules, self.prefix, self.squeeze = own.get(2, b""), bool(own.get(3, 1)), bool(own.get(4, 1))
-        if rules or self.kind not in (UNIGRAM, BPE) or USER in self.types:
-            raise ValueError("models with a character map, user-defined pieces or other model types are not supported")
-        self.ids = {p: i for i, (p, t) in enumerate(zip(self.pieces, self.types, strict=True)) if t == NORMAL}
+        if self.kind not in (UNIGRAM, BPE):
+            raise ValueError("word and character models are not supported")
+        typed = list(zip(self.pieces, self.types, strict=True))
+        self.ids = {p: i for i, (p, t) in enumerate(typed) if t in (NORMAL, USER)}
+        self.user = [p for p, t in typed if t == USER]
         self.unknown = self.types.index(UNKNOWN) if UNKNOWN in self.types else 0
-        self.byte_ids = {int(p[3:5], 16): i for i, (p, t) in enumerate(zip(self.pieces, self.types, strict=True)) if t == BYTE}
-        self.longest = max(map(len, self.ids), default=1)
-        self.raw = [bytes([int(p[3:5], 16)]) if t == BYTE else b"" if t == CONTROL else " ⁇ ".encode() if t == UNKNOWN else p.encode("utf-8") for p, t in zip(self.pieces, self.types, strict=True)]
+        self.byte_ids = {int(p[3:5], 16): i for i, (p, t) in enumerate(typed) if t == BYTE}
+        self.raw = [bytes([int(p[3:5], 16)]) if t == BYTE else b"" if t == CONTROL else " ⁇ ".encode() if t == UNKNOWN else p.encode("utf-8") for p, t in typed]
+        # the transducers
+        normal = [self.scores[i] for i, t in enumerate(self.types) if t == NORMAL] or [0.0]
+        weight = {p: -(len(p.encode()) * max(normal) - 0.1) if self.types[i] == USER else -self.scores[i] for p, i in self.ids.items()}
+        self.far = 10 - min(normal)
+        self.lexicon = compiled({p: (p, (i,), weight[p] if self.kind == UNIGRAM else 0.0) for p, i in self.ids.items()})
+        table = character_map(rules)
+        self.rules = compiled(table | {p: p for p in self.user})
+        self.spaced = any(" " in x and x != " " for x in (*table, *self.user))
+        # where paths can be cut
         inside = set(chain.from_iterable(p for p in self.ids if len(p) > 1))
         crossing = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in inside)
         single = f"[{alone}]|" if alone else ""
         self.chunk = re.compile(r"(?s).+" if crossing else f"{single}{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+")
+        self.apart = re.compile(f"({'|'.join(map(re.escape, sorted(self.user, key=len, reverse=True)))})") if self.user and self.kind == BPE else None
         self.memory: dict[str, tuple[int, ...]] = {}
+        self.rewritten: dict[str, str] = {}
         self.allowed: defaultdict[str, dict[str, bool]] = defaultdict(dict)
-        self.reach: dict[str, int] = {}  # longest piece by its first two characters
-        for p in self.ids:
-            self.reach[p[:2]] = max(len(p), self.reach.get(p[:2], 1))
 
-    # the normaliser
+    def rewrite(self, text: str) -> str:
+        """The character map's path over a text: the longest rule at each place, else the character itself."""
+        out, at = [], 0
+        while at < len(text):
+            end, to = at + 1, text[at]
+            for end, to in accepting(self.rules, text, at):  # noqa: B007  the last is the longest
+                pass
+            out.append(to)
+            at = end
+        return "".join(out)
+
     def normal(self, text: str) -> str:
+        """The normaliser's path over a text."""
+        if self.rules:
+            if self.spaced:
+                text = self.rewrite(text)
+            else:
+                known = self.rewritten
+                words = text.split(" ")
+                for word in set(words):
+                    if word not in known:
+                        known[word] = self.rewrite(word)
+                text = (known[" "] if " " in known else known.setdefault(" ", self.rewrite(" "))).join(map(known.__getitem__, words))
         if self.squeeze:
             text = " ".join(x for x in text.split(" ") if x)
         if not text:
             return ""
-        return (" " * self.prefix + text).replace(" ", SPACE)
+        text = (" " * self.prefix + text).replace(" ", SPACE)
+        return text.rstrip(SPACE) if self.squeeze else text
 
-    # the byte fallback
     def fallback(self, char: str) -> tuple[int, ...]:
         data = char.encode("utf-8", "replace")
         return tuple(self.byte_ids[b] for b in data) if self.byte_fallback and all(b in self.byte_ids for b in data) else (self.unknown,)
 
+    def arcs(self, text: str, at: int) -> list[tuple]:
+        """Arcs of pieces and byte fallback that leave the root at a place, the lightest (of equals the longest) last."""
+        out, state = [], self.lexicon
+        for end in range(at, len(text)):
+            state = state.get(text[end])
+            if state is None:
+                break
+            if "" in state:
+                out.append((end + 1, state[""]))
+        if not out or out[0][0] > at + 1:
+            out.insert(0, (at + 1, (text[at], self.fallback(text[at]), self.far if self.kind == UNIGRAM else 0.0)))
+        if self.kind == UNIGRAM:
+            out.sort(key=lambda arc: -arc[1][2])
+        return out
+
     def _merged(self, text: str) -> list[str]:
         """Greedy merges of a short text: the best-scored neighbouring pair first, the leftmost of equals."""
-        parts = list(text)
+        parts, ids, scores = list(text), self.ids, self.scores
         while len(parts) > 1:
-            best, where = -INFINITY, -1
-            for i in range(len(parts) - 1):
-                k = self.ids.get(parts[i] + parts[i + 1])
-                if k is not None and self.scores[k] > best:
-                    best, where = self.scores[k], i
+            best, where, left = -INFINITY, -1, parts[0]
+            for i in range(1, len(parts)):
+                right = parts[i]
+                k = ids.get(left + right)
+                if k is not None and scores[k] > best:
+                    best, where = scores[k], i
+                left = right
             if where < 0:
                 break
-            parts[where : where + 2] = [parts[where] + parts[where + 1]]
+            parts[where - 1 : where + 1] = [parts[where - 1] + parts[where]]
         return parts
 
-    def _follows(self, a: str, b: str) -> bool:
-        """Whether the arc from piece a to piece b is finite; remembered in the row of ``a``."""
-        row = self.allowed[a]
-        known = row[b] = self._merged(a + b) == ([a, b] if a else [b])
+    def finite(self, a: str, b: str) -> bool:
+        """Whether the merging machine's arc from piece a to piece b is finite; remembered in the row of ``a``."""
+        known = self.allowed[a].get(b)
+        if known is None:
+            known = self.allowed[a][b] = self._merged(a + b) == ([a, b] if a else [b])
         return known
 
-    def _shortest(self, text: str) -> tuple[int, ...]:
-        """Ids on the shortest path over one chunk."""
-        path = self._finite(text) if self.kind == BPE else self._lightest(text)
-        ids = self.ids
-        try:
-            return tuple([ids[p] for p in path])
-        except KeyError:
-            return tuple(chain.from_iterable((ids[p],) if p in ids else self.fallback(p) for p in path))
-
-    def _finite(self, text: str) -> list[str]:
-        """Byte-pair models: the path without an infinite arc. Depth first, longest arcs first; a place that
-        can't be left has one piece that may be read last, so it is never tried again."""
-        ids, size, reach, allowed = self.ids, len(text), self.reach, self.allowed
-        path: list[str] = []
-        at, last, dead = 0, "", ()
-        while at < size:
-            row = allowed[last]
-            end = at + reach.get(text[at : at + 2], 1)
-            if end > size:
-                end = size
-            while end > at:
-                piece = text[at:end]
-                if piece in ids or end == at + 1:
-                    ok = row.get(piece)
-                    if (self._follows(last, piece) if ok is None else ok) and end not in dead:
-                        path.append(piece)
-                        at, last = end, piece
-                        break
-                end -= 1
-            else:
-                dead = {at, *dead}
-                at -= len(path.pop())
-                last = path[-1] if path else ""
-        return path
-
-    def _lightest(self, text: str) -> list[str]:
-        """Unigram models: the path of least weight."""
-        far = 10 - min(self.scores)
-        best: list[tuple[float, int]] = [(0.0, 0)]
-        for end in range(1, len(text) + 1):
-            arcs = [(best[k][0] - self.scores[self.ids[text[k:end]]], k) for k in range(max(0, end - self.longest), end) if text[k:end] in self.ids]
-            best.append(min(arcs) if text[end - 1] in self.ids else min([*arcs, (best[end - 1][0] + far, end - 1)]))
-        path, end = [], len(text)
-        while end:
-            path.append(text[best[end][1] : end])
-            end = best[end][1]
-        return path[::-1]
-
     def encode(self, text: str) -> array:
-        chunks = self.chunk.findall(self.normal(text))
-        memory = self.memory
+        memory, text = self.memory, self.normal(text)
+        chunks = self.chunk.findall(text) if self.apart is None else [y for i, x in enumerate(self.apart.split(text)) for y in ([x] if i % 2 else self.chunk.findall(x))]
         if len(memory) > REMEMBER:
             memory.clear()
             self.allowed.clear()
+            self.rewritten.clear()
         for chunk in set(chunks):
             if chunk not in memory:
-                memory[chunk] = self._shortest(chunk)
-        return array("i", chain.from_iterable(map(memory.__getitem__, chunks)))
+                memory[chunk] = (self.ids[chunk],) if self.apart and chunk in self.user else tuple(chain.from_iterable(shortest_path(chunk, self.arcs, self.finite if self.kind == BPE else None)))
+        ids = array("i", chain.from_iterable(map(memory.__getitem__, chunks)))
+        if not self.byte_fallback and self.unknown in ids:  # a run of unknown characters is one
+            ids = array("i", [x for i, x in enumerate(ids) if x != self.unknown or not i or ids[i - 1] != x])
+        return ids
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
@@ -210,7 +303,8 @@ def encode_pieces(docs: DataFrame, text: str = "text", model_path: str = MODEL,
     """Add ids (array<int>), their number and whether decoding them gives the text back.
 
     Null texts get null ids, zero tokens and a true round trip; empty texts get no ids. Texts with U+2581
-    decode to spaces there. Columns of the same names are replaced; all others stay.
+    decode to spaces there. Texts are taken whole, rows that repeat are rows again, no rows give none. Columns of
+    the same names are replaced; all others stay.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -244,4 +338,5 @@ def decode_pieces(rows: DataFrame, ids: str = "ids", text: str = "decoded", mode
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the pieces of all documents, their number and the round trip."""
     return encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
