@@ -82,13 +82,19 @@ def test_heavy_minimisers_are_dealt_out(docs):
     assert n.sum() == len(at) and count.max() > 5000 > 500 > np.bincount(np.unique(dealt, return_inverse=True)[1], weights=n).max()
 
 
-def test_decontaminate(spark, docs, empty):
+def test_decontaminate(spark, docs, empty, monkeypatch):
     t = {r.doc_id: r.text for r in docs.collect() if r.text}
     item = t[5].split()[20:60]
     for k in (7, 15, 29):
         item[k] = "other"
     bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(words(40))), (3, "too short"), (None, t[4]), (5, None)], "item_id long, text string")
-    assert {r.doc_id: r["items"] for r in decontaminate.contaminated(docs, bench).collect()} == {5: [1], 6: [1]}
+    found = lambda b: {r.doc_id: r["items"] for r in decontaminate.contaminated(docs, b).collect()}
+    assert found(bench) == {5: [1], 6: [1]}
+    short = bench.unionAll(spark.createDataFrame([(7, " ".join(t[4].split()[3:10])), (8, " ".join(t[5].split()[:5])), (9, "a b"), (10, " ".join(t[4].split()[3:9]) + " other")], bench.schema))
+    want = {4: [7], 5: [1, 8], 6: [1]}
+    assert found(short) == want
+    monkeypatch.setattr(decontaminate, "MAX_SEEDS", 0)  # seeds are shuffled
+    assert found(short) == want
     assert decontaminate.contaminated(empty, bench).count() == 0 == decontaminate.contaminated(docs, bench.limit(0)).count()
 
 
