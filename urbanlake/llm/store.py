@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +18,18 @@ BROADCAST_ROWS = 1 << 20
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
+@cache
+def _local() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="spark-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which all machines must share; there is no local stand-in."""
+    """The folder in ``spark.checkpoint.dir``, which all machines must share; one is made where driver and executors are one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = _local()
     return folder.rstrip("/")
 
 
@@ -61,9 +71,9 @@ def scratch(spark: SparkSession) -> Iterator[list[str]]:
         _made.reset(token)
 
 
-def semi(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose key is in the written table ``ids``: broadcast where it has at most ``BROADCAST_ROWS`` rows, else shuffled."""
-    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, key, "left_semi")
+def semi(df: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose key is (with ``left_anti``: isn't) in the written table ``ids``: broadcast where it has at most ``BROADCAST_ROWS`` rows, else shuffled."""
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, key, how)
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:

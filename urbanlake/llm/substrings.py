@@ -16,6 +16,7 @@ places they came from, before anything is shuffled; a place takes 16 bytes befor
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -172,6 +173,21 @@ def _count(frame: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.DataFrame({"id": ids[new], "start": at[new], "stop": at[np.concatenate((new[1:], [len(at)])) - 1] + k})
 
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _without(text: str, gone: np.ndarray) -> str:
+    """The text without the words that are marked, and without the white space after them; all else stays as it is."""
+    spans = [m.span() for m in _WORD.finditer(text)]
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
+    out, at = [], 0
+    for first, stop in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+        ends = stop == len(spans)
+        out.append(text[at : spans[first - 1][1] if ends and first else spans[first][0]])
+        at = len(text) if ends else spans[stop][0]
+    return "".join(out) + text[at:]
+
+
 def _cut(frames: Iterator[pd.DataFrame], normalise: bool) -> Iterator[pd.DataFrame]:
     for frame in frames:
         n_words, n_removed, kept = [], [], []
@@ -182,8 +198,8 @@ def _cut(frames: Iterator[pd.DataFrame], normalise: bool) -> Iterator[pd.DataFra
                 gone[run["start"] : run["stop"]] = True
             n_words.append(len(words))
             n_removed.append(int(gone.sum()))
-            if not normalise and not n_removed[-1]:
-                kept.append(text)
+            if not normalise:
+                kept.append(_without(text, gone) if n_removed[-1] else text)
             else:
                 kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words).decode("utf-8", "replace"))
         yield frame.assign(n_words=n_words, n_removed=n_removed, kept_text=pd.Series(kept, dtype=object, index=frame.index))
@@ -221,7 +237,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Remove each word covered by a window of ``k`` words that also starts in a document with a smaller id.
 
     Returns (doc_id, the columns of ``carry``, n_words, n_removed, kept_text); kept words are joined by one
-    space (with ``normalise=False`` a text that loses nothing stays as it is, null included). Windows are
+    space (with ``normalise=False`` the white space between kept words stays as it is, and so does null). Windows are
     judged on the input. Null and empty texts have no words; texts under ``k`` words lose none; a row with
     a null id loses none and counts for none; rows that repeat one id are texts of one document, each with its
     own words. Texts are taken whole, no rows give none. Other columns are ignored, whatever their names.
