@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from urbanlake.functions import geo, text, urls
-from urbanlake.operators import aggs, shape
+from urbanlake.operators import aggs, grids, pages, shape
 from urbanlake.sources import files
 
 
@@ -34,6 +34,59 @@ def test_urls(spark):
     assert one(spark, urls.listing_id(F.lit("http://a/"))) is None
 
 
+@pytest.mark.parametrize(
+    ("url", "want"),
+    [
+        ("https://fs.58.com/shangpucz/", (1, "", "")),
+        ("https://gz.58.com/tianhe/shangpucz/pn3/?area=20_50", (3, "tianhe", "20_50")),
+        ("https://fs.58.com/foshan/shangpucz/pn2/", (2, "foshan", "")),
+        ("https://fs.58.com/shangpu/38143746902823x.shtml", (0, "", "")),
+        ("https://gz.58.com", (1, "", "")),
+    ],
+)
+def test_shop_urls(spark, url, want):
+    assert tuple(one(spark, urls.shop_url_parts(F.lit(url)))) == want
+
+
+@pytest.mark.parametrize(
+    ("log", "want"),
+    [
+        ("z_2_33120284640267_38420286183181_1_2_sortid:613502485@postdate:1560301497000", "38420286183181"),
+        ("gz_2_55687810204183_36683482092955_sortid:599933703@postdate:1560268805000@ses:busitime^desc@pubid:76309565", "36683482092955"),
+        ("z_2_33120284640267", None),
+        ("sortid:1", None),
+        (None, None),
+    ],
+)
+def test_log_ids(spark, log, want):
+    assert one(spark, urls.listing_id(F.lit("http://x/"), F.lit(log).cast("string"))) == want
+
+
+def test_points_in_reflex_polygons(spark):
+    corners = [(0, 0), (4, 0), (4, 4), (2, 1), (0, 4)]
+    shape_ = F.array(*(F.struct(F.lit(float(x)).alias("lng"), F.lit(float(y)).alias("lat")) for x, y in corners))
+    polygons = spark.createDataFrame([(7,), (3,)], "polygon_id bigint").withColumn("polygon", shape_)
+    cases = {(1, 1): True, (2, 2): False, (2, 1): True, (2, 0.5): True, (3, 2.5): True, (3, 2.6): False, (0, 0): True, (4, 2): True, (4.1, 2): False, (1, 2.5): True, (1, 2.6): False, (2, 4): False, (-1, 0): False, (1.5, 2.2): False}
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(cases)], "id bigint, lng double, lat double")
+    got = {r.id: r.polygon_id for r in grids.points_in_polygons(points, polygons, cell=1.0).collect()}
+    assert got == {i: 3 for i, inside in enumerate(cases.values()) if inside}
+
+
+def test_links_are_joined(spark):
+    html = """<a href='/a'>1</a><div class="x list"><a href="b">2</a><a href=../c>3</a><a href='//h2/d'>4</a><a name=n>5</a><a href="?q=1&amp;r=2">6</a><a href="https://o/e#f">7</a></div>"""
+    df = spark.createDataFrame([(1, "https://h/x/y", html), (2, None, None)], "k int, url string, html string")
+    links = lambda rule: [r.link for r in pages.page_links(df, "html", "url", rule).collect()]
+    inside = ["https://h/x/b", "https://h/c", "https://h2/d", "https://h/x/y?q=1&r=2", "https://o/e#f"]
+    assert links(("div", "class", "list")) == inside and links(None) == ["https://h/a", *inside]
+
+
+def test_tile_batches_of_negative_tiles(spark):
+    df = spark.createDataFrame([("m5_3_16.png",), ("m4_13_16.png",), ("6_3_16.png",), ("m5_3_16.png",)], "name string")
+    got = {(r.bx, r.by): [tuple(x) for x in r.tiles] for r in aggs.tile_batches(df, "name", 10).collect()}
+    assert got == {(0, 0): [("m5_3_16.png", 0, 3)], (0, 1): [("m4_13_16.png", 1, 13)], (1, 0): [("6_3_16.png", 11, 3)]}
+    assert aggs.tile_batches(df.limit(0), "name", 10).count() == 0
+
+
 def test_coordinates_round_trip(spark):
     back = lambda f, g: one(spark, g(*(f(F.lit(114.1), F.lit(22.6))[k] for k in ("lng", "lat"))))
     p = back(geo.gcj02_to_bd09, geo.bd09_to_gcj02)

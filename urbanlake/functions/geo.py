@@ -130,6 +130,27 @@ def on_polyline(p: Column, points: Column, tolerance: float = 2e-10) -> Column:
     return (F.size(points) > 1) & F.exists(ends, on)
 
 
+def polygon_edges(points: Column) -> Column:
+    """array<struct(px, py, qx, qy)>: the edges of a closed polygon of struct(lng, lat)."""
+    after = F.concat(F.slice(points, 2, F.size(points)), F.slice(points, 1, 1))
+    return F.zip_with(points, after, lambda a, b: F.struct(a["lng"].alias("px"), a["lat"].alias("py"), b["lng"].alias("qx"), b["lat"].alias("qy")))
+
+
+def in_polygon(x: Column, y: Column, edges: Column, tolerance: float = 2e-10) -> Column:
+    """Whether a point is inside a polygon, borders included: on an edge, or an odd number of edges to its east."""
+
+    def on(e: Column) -> Column:
+        cross = (e["qx"] - e["px"]) * (y - e["py"]) - (x - e["px"]) * (e["qy"] - e["py"])
+        near = lambda v, a, b: v.between(F.least(a, b) - tolerance, F.greatest(a, b) + tolerance)
+        return (F.abs(cross) <= tolerance) & near(x, e["px"], e["qx"]) & near(y, e["py"], e["qy"])
+
+    def east(e: Column) -> Column:
+        at = e["px"] + F.try_divide((y - e["py"]) * (e["qx"] - e["px"]), e["qy"] - e["py"])
+        return ((e["py"] > y) != (e["qy"] > y)) & (x < at)
+
+    return F.exists(edges, on) | (F.size(F.filter(edges, east)) % 2 == 1)
+
+
 def polygon_area_m2(points: Column) -> Column:
     """Area of a spherical polygon by its angle excess; fewer than three points give 0."""
     import numpy as np

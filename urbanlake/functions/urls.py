@@ -43,6 +43,22 @@ def listing_url_parts(c: Column) -> Column:
     )
 
 
+def shop_url_parts(c: Column) -> Column:
+    """Shop list url to struct(page, district, area): the pnN part (1 without one), the only other part, the query's area.
+
+    A page of one shop (.shtml) has page 0 and no district.
+    """
+    parts = F.filter(F.split(F.regexp_extract(c, r"^[a-z]+://[^/?#]+(/[^?#]*)?", 1), "/"), lambda x: x != "")
+    other = F.filter(parts, lambda x: ~x.contains("shangpu") & ~x.contains("pn"))
+    number = F.regexp_extract(F.try_element_at(F.filter(parts, lambda x: x.contains("pn")), F.lit(-1)), r"(\d+)", 1).try_cast("int")
+    detail = F.exists(parts, lambda x: x.contains(".shtml"))
+    return F.struct(
+        F.when(detail, 0).otherwise(F.coalesce(number, F.lit(1))).alias("page"),
+        F.when(~detail & (F.size(other) == 1), F.get(other, F.lit(0))).otherwise("").alias("district"),
+        F.regexp_extract(c, r"[?&]area=([^&#]*)", 1).alias("area"),
+    )
+
+
 def base_page_url(c: Column) -> Column:
     """Without the page part, with one closing slash."""
     return F.concat(F.rtrim(F.regexp_replace(c, r"-?i3\d+/?$", ""), F.lit("/")), F.lit("/"))
@@ -52,9 +68,16 @@ def page_url(c: Column, n: Column) -> Column:
     return F.concat(base_page_url(c), F.lit("i3"), n.cast("string"), F.lit("/"))
 
 
-def listing_id(c: Column) -> Column:
-    """Digits after _ before .htm; else the part of the query's entinfo before _; else null."""
-    return F.coalesce(_some(F.regexp_extract(c, r"_(\d+)\.htm", 1)), _some(F.regexp_extract(c, r"[?&]entinfo=([^_&#]+)", 1)))
+def listing_id(c: Column, log: Column | None = None) -> Column:
+    """Digits after _ before .htm; else the part of the query's entinfo before _; else, with a log attribute, its last
+    part of 14 characters before (or at) its last part that begins with sortid; else null."""
+    found = [_some(F.regexp_extract(c, r"_(\d+)\.htm", 1)), _some(F.regexp_extract(c, r"[?&]entinfo=([^_&#]+)", 1))]
+    if log is not None:
+        parts = F.split(log, "_")
+        back = F.array_position(F.reverse(F.transform(parts, lambda x: x.startswith("sortid"))), True)
+        seen = F.when(back > 0, F.slice(parts, F.lit(1), F.size(parts) - back.cast("int") + 1))
+        found.append(F.try_element_at(F.filter(seen, lambda x: F.length(x) == 14), F.lit(-1)))
+    return F.coalesce(*found)
 
 
 def url_coordinates(c: Column) -> Column:

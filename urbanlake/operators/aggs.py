@@ -88,10 +88,16 @@ def latest_snapshot(df: DataFrame, keys: Sequence[str], date: str, today, max_ag
     return df.groupBy(*keys).agg(F.max(date).alias("latest")).withColumn("stale", F.datediff(F.lit(today).cast("date"), F.col("latest").cast("date")) > max_age)
 
 
-def tile_batches(df: DataFrame, size: int) -> DataFrame:
-    """Batch (bx, by) of each tile (x, y), counted from the smallest tile."""
-    low = df.agg(F.min("x").alias("_x"), F.min("y").alias("_y"))
-    return df.join(low, F.lit(True)).withColumns({"bx": F.floor((F.col("x") - F.col("_x")) / size), "by": F.floor((F.col("y") - F.col("_y")) / size)}).drop("_x", "_y")
+def tile_batches(df: DataFrame, name: str, size: int) -> DataFrame:
+    """(bx, by, tiles): the tile names of each batch of ``size`` by ``size``, counted from the smallest tile, in order of name.
+
+    A tile is struct(name, x, y); where there are negative numbers all are shifted up by the smallest.
+    """
+    tiles = df.select(F.col(name).alias("name")).distinct().select("name", tile_numbers(F.col("name")).alias("t")).select("name", "t.x", "t.y")
+    low = tiles.agg(F.min("x").alias("x"), F.min("y").alias("y")).first()
+    batch = {f"b{c}": F.floor((F.col(c) - low[c]) / size) for c in "xy"}
+    shifted = {c: F.col(c) - min(0, low[c] or 0) for c in "xy"}
+    return tiles.withColumns(batch).withColumns(shifted).groupBy("bx", "by").agg(F.sort_array(F.collect_list(F.struct("name", "x", "y"))).alias("tiles"))
 
 
 def over_limit(df: DataFrame, keys: Sequence[str], total: str, cap: int) -> DataFrame:

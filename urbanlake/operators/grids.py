@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,24 +32,36 @@ def subdivide_step(df: DataFrame, step: float = 0.001) -> DataFrame:
     return out.withColumns({"x": F.col("lng_min") + F.col("i") * step, "y": F.col("lat_min") + F.col("j") * step})
 
 
-def adaptive_plan(df: DataFrame, totals, cap: int = 400, edge: float = 2.0) -> DataFrame:
-    """Centers (x, y, edge) split while their total reaches the cap: twice into 16, then accepted.
+def adaptive_plan(df: DataFrame, totals, cap: int = 400, edge: float = 2.0, step: float = 0.001) -> DataFrame:
+    """Centers (x, y) split while their total reaches the cap: into 16, then into cells of a step, then accepted.
 
-    ``totals`` maps a DataFrame with x, y, edge to the same with a total column. Returns all accepted
-    centers with their round and whether they are still over the cap.
+    ``totals`` maps a DataFrame with x, y to the same with a total column. The box of a sub-center, 1.2 times its
+    span at three decimals, is cut by the step. Returns all accepted centers with their round and whether they are
+    still over the cap (only those of the third round are).
     """
-    todo = df.select("x", "y").withColumn("edge", F.lit(edge))
-    done = []
-    for k in (1, 2, 3):
-        known = totals(todo)
-        over = F.col("total") >= cap
-        done.append(known.filter(~over | F.lit(k == 3)).select("x", "y", "edge", F.lit(k).alias("round"), over.alias("over")))
-        if k < 3:
-            todo = subdivide_4x4(known.filter(over), edge).select(F.col("sub_x").alias("x"), F.col("sub_y").alias("y"), (F.col("edge") / 4).alias("edge"))
-            edge /= 4
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
+    over = F.col("total") >= cap
+    first = totals(df.select("x", "y"))
+    sub = subdivide_4x4(first.filter(over), edge)
+    sub = totals(sub.select(F.col("sub_x").alias("x"), F.col("sub_y").alias("y"), "span_x", "span_y"))
+    side = lambda c, span, sign: F.round(F.col(c) + sign * F.col(span) / 2, 3)
+    box = sub.filter(over).select(side("x", "span_x", -1).alias("lng_min"), side("x", "span_x", 1).alias("lng_max"), side("y", "span_y", -1).alias("lat_min"), side("y", "span_y", 1).alias("lat_max"))
+    last = totals(subdivide_step(box, step).select("x", "y"))
+    done = [known.filter(~over | F.lit(k == 3)).select("x", "y", F.lit(k).alias("round"), over.alias("over")) for k, known in ((1, first), (2, sub), (3, last))]
+    return done[0].unionByName(done[1]).unionByName(done[2])
+
+
+def escalate_lists(lists: DataFrame, children: Sequence[DataFrame], cap: int = 99) -> DataFrame:
+    """(list, pages, level, over): lists over the cap are replaced by those of the next level (district, sub-area, bedrooms).
+
+    ``lists`` has list, pages; each of ``children`` parent, list, pages. What is over the cap at the last level stays.
+    """
+    over, out, todo = F.col("pages") > cap, None, lists.select("list", "pages")
+    for level in range(len(children) + 1):
+        last = level == len(children)
+        done = todo.filter(~over | F.lit(last)).select("list", "pages", F.lit(level).alias("level"), over.alias("over"))
+        out = done if out is None else out.unionByName(done)
+        if not last:
+            todo = children[level].join(todo.filter(over).select(F.col("list").alias("parent")), "parent").select("list", "pages")
     return out
 
 
@@ -85,55 +95,39 @@ def point_to_tile(lng: Column, lat: Column, dx: Column, dy: Column, lng0: Column
     return F.struct(F.floor(gx / TILE).alias("x"), F.floor(gy / TILE).alias("y"), F.pmod(gx, F.lit(TILE)).alias("px"), F.pmod(gy, F.lit(TILE)).alias("py"))
 
 
-def _inside(x: float, y: float, px: np.ndarray, py: np.ndarray, tolerance: float) -> bool:
-    qx, qy = np.roll(px, -1), np.roll(py, -1)
-    cross = (qx - px) * (y - py) - (x - px) * (qy - py)
-    on = (np.abs(cross) <= tolerance) & (np.minimum(px, qx) - tolerance <= x) & (x <= np.maximum(px, qx) + tolerance) & (np.minimum(py, qy) - tolerance <= y) & (y <= np.maximum(py, qy) + tolerance)
-    if on.any():
-        return True
-    over = (py > y) != (qy > y)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        at = px + (y - py) * (qx - px) / (qy - py)
-    return bool((over & (x < at)).sum() % 2)
-
-
 def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float = 0.05, tolerance: float = 2e-10) -> DataFrame:
     """(point columns, polygon_id): the first polygon, by id, that holds each point; borders count as inside.
 
-    Both sides are keyed by grid cell, so it is an equi-join; rays are cast only for pairs of a cell whose
-    box fits. ``points`` has id, lng, lat; ``polygons`` polygon_id, polygon array<struct(lng, lat)>.
+    Both sides are keyed by grid cell, so it is an equi-join; rays are cast only for pairs of a cell whose box fits.
+    ``points`` has lng, lat and columns that identify a point (equal rows are one); ``polygons`` polygon_id, polygon
+    array<struct(lng, lat)>, of three points at least.
     """
     key = lambda c: F.floor(c / cell).cast("bigint")
-    box = polygons.withColumns({f"{c}_{n}": f(F.col(f"polygon.{c}")) for c in ("lng", "lat") for n, f in (("min", F.array_min), ("max", F.array_max))})
-    box = box.filter(F.size("polygon") >= 3)
+    box = polygons.filter(F.size("polygon") >= 3).withColumns({f"{c}_{n}": f(F.col(f"polygon.{c}")) for c in ("lng", "lat") for n, f in (("min", F.array_min), ("max", F.array_max))})
+    box = box.select("polygon_id", geo.polygon_edges(F.col("polygon")).alias("edges"), "lng_min", "lng_max", "lat_min", "lat_max")
     box = box.withColumn("cx", F.explode(F.sequence(key(F.col("lng_min") - tolerance), key(F.col("lng_max") + tolerance))))
     box = box.withColumn("cy", F.explode(F.sequence(key(F.col("lat_min") - tolerance), key(F.col("lat_max") + tolerance))))
     near = points.withColumns({"cx": key(F.col("lng")), "cy": key(F.col("lat"))}).join(box, ["cx", "cy"])
     near = near.filter(F.col("lng").between(F.col("lng_min") - tolerance, F.col("lng_max") + tolerance) & F.col("lat").between(F.col("lat_min") - tolerance, F.col("lat_max") + tolerance))
+    hits = near.filter(geo.in_polygon(F.col("lng"), F.col("lat"), F.col("edges"), tolerance))
+    return hits.groupBy(*points.columns).agg(F.min("polygon_id").alias("polygon_id"))
 
-    def cast(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            shapes: dict[int, tuple] = {}
-            keep = []
-            for pid, shape, x, y in zip(f["polygon_id"], f["polygon"], f["lng"], f["lat"], strict=True):
-                if pid not in shapes:
-                    shapes[pid] = tuple(np.array([p[k] for p in shape], float) for k in ("lng", "lat"))
-                keep.append(_inside(x, y, *shapes[pid], tolerance))
-            yield f.loc[keep, ["id", "polygon_id"]]
-
-    hits = near.select("id", "polygon_id", "polygon", "lng", "lat").mapInPandas(cast, "id long, polygon_id long")
-    return points.join(hits.groupBy("id").agg(F.min("polygon_id").alias("polygon_id")), "id")
 
-
-def count_in_cells(points: DataFrame, step: Sequence[int], levels: Sequence[float] = ()) -> DataFrame:
+def count_in_cells(points: DataFrame, step: Sequence[int], levels: Sequence[float] = (), polygons: DataFrame | None = None) -> DataFrame:
     """Sum of ``count`` per cell of integer micro-degree points (x, y); a point on a border belongs to both cells.
 
-    ``level`` is the number of thresholds that the sum reaches.
+    With ``polygons`` only cells with a corner in one. ``level`` is the number of thresholds that the sum exceeds.
     """
+
     def both(c: str, s: int) -> Column:
         i = F.floor(F.col(c) / s)
         return F.when(F.pmod(F.col(c), F.lit(s)) == 0, F.array(i - 1, i)).otherwise(F.array(i))
 
     rows = points.withColumn("i", F.explode(both("x", step[0]))).withColumn("j", F.explode(both("y", step[1])))
     out = rows.groupBy("i", "j").agg(F.sum("count").alias("total"))
-    return out.withColumn("level", sum(((F.col("total") >= t).cast("int") for t in levels), F.lit(0)))
+    if polygons is not None:
+        ends = F.array(*(F.struct((F.col("i") + a).alias("ci"), (F.col("j") + b).alias("cj")) for a in (0, 1) for b in (0, 1)))
+        corners = out.select("i", "j", F.explode(ends).alias("c")).select("i", "j", "c.*")
+        held = points_in_polygons(corners.select("ci", "cj").distinct().withColumns({"lng": F.col("ci") * step[0] / 1e6, "lat": F.col("cj") * step[1] / 1e6}), polygons)
+        out = out.join(corners.join(held.select("ci", "cj"), ["ci", "cj"]).select("i", "j").distinct(), ["i", "j"], "left_semi")
+    return out.withColumn("level", sum(((F.col("total") > t).cast("int") for t in levels), F.lit(0)))

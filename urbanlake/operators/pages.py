@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -105,11 +106,30 @@ def page_fields(df: DataFrame, html: str, spec: Mapping[str, Rule]) -> DataFrame
     return _rows(df, html, take, ", ".join(f"{k} string" for k in spec))
 
 
-def page_links(df: DataFrame, html: str, url: str) -> DataFrame:
-    """One row per link, joined to the page's site when it starts with a slash."""
-    links = df.withColumn("link", F.explode(F.regexp_extract_all(html, F.lit('href="([^"]*)"'), 1)))
-    site = F.regexp_extract(url, r"^([a-zA-Z]+://[^/?#]+)", 1)
-    return links.withColumn("link", F.when(F.col("link").startswith("/"), F.concat(site, F.col("link"))).otherwise(F.col("link"))).drop(html)
+def page_links(df: DataFrame, html: str, url: str, container: Rule | None = None) -> DataFrame:
+    """One row per link (``link``) under the containers, or of the whole page, joined to the page's url; the html column goes."""
+    kept = [f for f in df.schema.fields if f.name != html]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "link string"])
+
+    def found(page: str | None, base: str | None) -> list[str]:
+        top = tree(page)
+        anchors = (a for n in ((top,) if container is None else top.all(container)) for a in n.all(("a", None, None)))
+        out = []
+        for a in anchors:
+            if a.attrs.get("href") is not None:
+                try:
+                    out.append(urljoin(base or "", a.attrs["href"].strip()))
+                except ValueError:  # no url
+                    pass
+        return out
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            links = [found(p, u) for p, u in zip(f.pop(html), f[url], strict=True)]
+            out = f.loc[f.index.repeat([len(x) for x in links])].reset_index(drop=True)
+            yield out.astype({c: object for c in out if out[c].dtype == "string"}).assign(link=pd.Series([y for x in links for y in x], dtype=object))
+
+    return df.select(*(f.name for f in kept), html).mapInPandas(run, schema)
 
 
 def page_pairs(df: DataFrame, html: str, item: Rule, label: Rule, value: Rule) -> DataFrame:
@@ -152,11 +172,13 @@ def page_tables(df: DataFrame, html: str, skip: int = 1, width: int | None = Non
     return _rows(df, html, take, "row int, cells array<string>")
 
 
-def page_fallback(a: DataFrame, b: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """Fields of the main layout, or all of the second layout's where the main one gives no first field."""
-    other = b.select(key, *(F.col(c).alias(f"_{c}") for c in fields))
-    none = F.coalesce(F.col(fields[0]), F.lit("")) == ""
-    return a.join(other, key, "left").withColumns({c: F.when(none, F.col(f"_{c}")).otherwise(F.col(c)) for c in fields}).drop(*(f"_{c}" for c in fields))
+def page_fallback(df: DataFrame, html: str, main: Mapping[str, Rule], other: Mapping[str, Rule]) -> DataFrame:
+    """Fields of the main layout, or all of the other layout's where the main one gives no first field; pages are parsed once."""
+    def take(top):
+        first, second = (tuple(next((n.text() for n in top.all(r)), "") for r in (spec[k] for k in main)) for spec in (main, other))
+        return [first if first[0] else second]
+
+    return _rows(df, html, take, ", ".join(f"{k} string" for k in main))
 
 
 def embedded_ids(df: DataFrame, html: str, attr: str) -> DataFrame:

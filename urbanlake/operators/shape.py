@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from ..functions import geo
 
-_LEAF = "string"
-ROUTE_A = f"preset_route {_LEAF}, duration {_LEAF}, selected_path_steps array<struct<duration:{_LEAF}, tmcs:array<struct<status:{_LEAF}, polyline:{_LEAF}>>>>, url {_LEAF}"
-ROUTE_B = f"preset_route {_LEAF}, duration {_LEAF}, selected_path_steps array<struct<duration:{_LEAF}, path:{_LEAF}, traffic_condition:array<struct<status:{_LEAF}, geo_cnt:{_LEAF}>>>>, url {_LEAF}"
+# Field names of the messages of provider A and provider B, and bulky keys of an air quality snapshot.
+ROUTE_A = "preset_route string, duration string, selected_path_steps array<struct<duration:string, tmcs:array<struct<status:string, polyline:string>>>>, url string"
+ROUTE_B = "preset_route string, duration string, selected_path_steps array<struct<duration:string, path:string, traffic_condition:array<struct<status:string, geo_cnt:string>>>>, url string"
+SNAPSHOT_KEYS = ("localCityAir", "airDataTotal", "waterRealTimeList", "waterWeekList", "waterDataTotal")
 
 
 def flatten_message(df: DataFrame, schema: str, value: str = "value", drop: Sequence[str] = ("url",), rename: Mapping[str, str] | None = None) -> DataFrame:
@@ -105,13 +106,14 @@ def explode_steps(df: DataFrame, segments: str) -> DataFrame:
 def cut_polyline(path: Column, conditions: Column) -> Column:
     """array<struct(status, polyline)>: segment i has geo_cnt + 1 points and shares its ends with its neighbours."""
     points = F.split(path, ";")
-    count = lambda x: F.coalesce(x["geo_cnt"].try_cast("int"), F.lit(0))
 
-    def piece(x: Column, i: Column) -> Column:
-        before = F.aggregate(F.slice(conditions, F.lit(1), i), F.lit(0), lambda s, y: s + count(y))
-        return F.struct(x["status"].alias("status"), F.array_join(F.slice(points, before + 1, count(x) + 1), ";").alias("polyline"))
+    def add(state: Column, x: Column) -> Column:
+        n = F.coalesce(x["geo_cnt"].try_cast("int"), F.lit(0))
+        piece = F.struct(x["status"].alias("status"), F.array_join(F.slice(points, state["at"] + 1, n + 1), ";").alias("polyline"))
+        return F.struct((state["at"] + n).alias("at"), F.array_append(state["out"], piece).alias("out"))
 
-    return F.transform(conditions, piece)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<status:string, polyline:string>>").alias("out"))
+    return F.aggregate(conditions, start, add, lambda state: state["out"])
 
 
 def heat_points(df: DataFrame, box: Sequence[float] | None = None) -> DataFrame:
@@ -123,9 +125,12 @@ def heat_points(df: DataFrame, box: Sequence[float] | None = None) -> DataFrame:
     return bbox_filter(out, "lng", "lat", box) if box else out
 
 
-def drop_keys(m: Column, keys: Sequence[str]) -> Column:
-    """A map without some keys."""
-    return F.map_filter(m, lambda k, v: ~k.isin(list(keys)))
+def drop_keys(m: Column, keys: Sequence[str] = SNAPSHOT_KEYS, response_time: Column | str | None = None) -> Column:
+    """A map without some keys; with a time it also gets ``response_time``."""
+    kept = F.map_filter(m, lambda k, v: ~k.isin(list(keys)) & (k != "response_time")) if response_time is not None else F.map_filter(m, lambda k, v: ~k.isin(list(keys)))
+    if response_time is None:
+        return kept
+    return F.map_concat(kept, F.create_map(F.lit("response_time"), response_time if isinstance(response_time, Column) else F.lit(response_time)))
 
 
 def time_range(df: DataFrame, city: str, start: str, end: str, ts: str = "ts", name: str = "city") -> DataFrame:

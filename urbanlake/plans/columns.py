@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, text, urls
 from ..operators import grids, pages, records
+from ..sources import files
 from .queries import BD_LAT, BD_LNG, CEN, PTS, centers, m, micro, points, query, t
 
 # -- text, numbers, dates ------------------------------------------------------------------------
@@ -86,9 +87,9 @@ def temperature_range(spark, d):
     return t(spark, d, "events").select("event_id", a["first"].alias("hi"), a["second"].alias("lo"), b["second"].alias("signed"))
 
 
-@query("select o_orderkey, strftime(o_orderdate, '%Y%m%d') as good, case when extract(day from o_orderdate) <= 28 then strftime(o_orderdate, '%Y') || '02' || strftime(o_orderdate, '%d') end as feb from orders where extract(day from o_orderdate) <> 29")
+@query("select o_orderkey, strftime(o_orderdate, '%Y%m%d') as good, case when d <= 28 or d = 29 and (y % 4 = 0 and y % 100 <> 0 or y % 400 = 0) then y || '02' || strftime(o_orderdate, '%d') end as feb from (select *, extract(day from o_orderdate) as d, extract(year from o_orderdate) as y from orders)")
 def build_date(spark, d):
-    o = t(spark, d, "orders").filter(F.dayofmonth("o_orderdate") != 29)
+    o = t(spark, d, "orders")
     y, mo, dy = F.year("o_orderdate"), F.month("o_orderdate"), F.dayofmonth("o_orderdate")
     return o.select("o_orderkey", text.build_date(y, mo, dy).alias("good"), text.build_date(y, F.lit(2), dy).alias("feb"))
 
@@ -197,11 +198,24 @@ def base_page_url(spark, d):
     return t(spark, d, "orders").select("o_orderkey", urls.base_page_url(url).alias("base"), urls.page_url(url, k % 90).alias("page"))
 
 
-@query("select o_orderkey, case o_orderkey % 3 when 0 then o_orderkey::varchar when 1 then 'e' || o_orderkey end as id from orders")
+@query("""select o_orderkey, case o_orderkey % 5 when 0 then o_orderkey % 90 when 1 then 1 when 2 then o_orderkey % 70 + 1 when 3 then 1 else 0 end::int as page,
+case o_orderkey % 5 when 0 then 'd' || o_custkey when 3 then 'd' || o_custkey else '' end as district, case when o_orderkey % 5 = 0 then '20_50' else '' end as area from orders""")
+def shop_url_parts(spark, d):
+    """Lists of a district's page, of a city, of a city's page, of a district, and pages of one shop."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    tails = [F.concat(F.lit("d"), c, F.lit("/shangpucz/pn"), (k % 90).cast("string"), F.lit("/?area=20_50&x=1")), F.lit("shangpu/"), F.concat(F.lit("shangpucz/pn"), (k % 70 + 1).cast("string"), F.lit("/")), F.concat(F.lit("d"), c, F.lit("/shangpu/")), F.concat(F.lit("shangpu/"), k.cast("string"), F.lit("x.shtml"))]
+    url = F.concat(F.lit("https://gz.58.com/"), F.element_at(F.array(*tails), (k % 5 + 1).cast("int")))
+    return t(spark, d, "orders").select("o_orderkey", urls.shop_url_parts(url).alias("x")).select("o_orderkey", "x.*")
+
+
+@query("select o_orderkey, case o_orderkey % 5 when 0 then o_orderkey::varchar when 1 then 'e' || o_orderkey when 2 then lpad(o_orderkey::varchar, 14, '3') end as id from orders")
 def listing_id(spark, d):
-    k = F.col("o_orderkey").cast("string")
-    url = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("http://x.com/chushou/3_"), k, F.lit(".htm"))).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("http://x.com/a?q=1&entinfo=e"), k, F.lit("_0"))).otherwise("http://x.com/")
-    return t(spark, d, "orders").select("o_orderkey", urls.listing_id(url).alias("id"))
+    """Ids of listing urls, of shop urls, of log attributes with parts of 14 characters, of logs without a sort id, and none."""
+    n, k = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    url = F.when(n % 5 == 0, F.concat(F.lit("http://x.com/chushou/3_"), k, F.lit(".htm"))).when(n % 5 == 1, F.concat(F.lit("http://x.com/a?q=1&entinfo=e"), k, F.lit("_0"))).otherwise("http://x.com/")
+    part = F.lpad(k, 14, "3")
+    log = F.when(n % 5 == 2, F.concat(F.lit("z_2_33120284640267_"), part, F.lit("_1_2_sortid:613502485@postdate:1560301497000_12345678901234"))).when(n % 5 == 3, F.concat(F.lit("z_2_"), part))
+    return t(spark, d, "orders").select("o_orderkey", urls.listing_id(url, log).alias("id"))
 
 
 @query("select s_suppkey, p as page, 'http://x.com/' || s_suppkey || '/i3' || p || '/' as page_url from (select s_suppkey, unnest(range(2, s_suppkey % 6 + 1)) as p from supplier)")
@@ -299,13 +313,30 @@ def polyline_length_m(spark, d):
     return g.select("user_id", F.floor(geo.polyline_length_m(F.col("points")) / 10 + 0.5).alias("decametres"))
 
 
-@query()
+def _corner(v: str, w: str) -> dict[str, str]:
+    return {"x": f"cos(radians({w})) * cos(radians({v}))", "y": f"cos(radians({w})) * sin(radians({v}))", "z": f"sin(radians({w}))"}
+
+
+def _cross(a: str, b: str) -> dict[str, str]:
+    return {"x": f"({a}y * {b}z - {a}z * {b}y)", "y": f"({a}z * {b}x - {a}x * {b}z)", "z": f"({a}x * {b}y - {a}y * {b}x)"}
+
+
+_BOX = {"west": f"(x - {geo.LNG_KM!r} * 150)", "east": f"(x + {geo.LNG_KM!r} * 150)", "south": f"(y - {geo.LAT_KM!r} * 150)", "north": f"(y + {geo.LAT_KM!r} * 150)"}
+_TURNS = [(("west", "south"), "p"), (("east", "south"), "q"), (("east", "north"), "r"), (("west", "north"), "s")]
+_VECTORS = ", ".join(f"{sql} as {n}{axis}" for (v, w), n in _TURNS for axis, sql in _corner(_BOX[v], _BOX[w]).items())
+_PLANES = ", ".join(f"{sql} as {p}{q}{axis}" for p, q in ("pq", "qr", "rs", "sp") for axis, sql in _cross(p, q).items())
+_DOT = lambda p, q: f"({p}x * {q}x + {p}y * {q}y + {p}z * {q}z)"
+_SIZE = lambda p: f"sqrt({_DOT(p, p)})"
+_ANGLES = " + ".join(f"acos(-{_DOT(p, q)} / ({_SIZE(p)} * {_SIZE(q)}))" for p, q in (("sp", "pq"), ("pq", "qr"), ("qr", "rs"), ("rs", "sp")))
+
+
+@query(f"with {CEN}, v as (select k, {_VECTORS} from cen), n as (select k, {_PLANES} from v) select k, cast(floor(({_ANGLES} - 2 * pi()) * {geo.EARTH_M!r} * {geo.EARTH_M!r} / 1000000 + 0.5) as bigint) as km2 from n")
 def polygon_area_m2(spark, d):
-    """Spherical areas of the squares around all centers (tested against the closed form)."""
-    s = centers(spark, d).select("k", geo.square_around(F.col("x"), F.col("y"), 3.0).alias("s"))
+    """Areas of boxes of 300 km around all centers, in square kilometres; in SQL by the angles between the sides' planes."""
+    s = centers(spark, d).select("k", geo.square_around(F.col("x"), F.col("y"), 300.0).alias("s"))
     corner = lambda a, b: F.struct(F.col(f"s.lng_{a}").alias("lng"), F.col(f"s.lat_{b}").alias("lat"))
     shape_ = F.array(corner("min", "min"), corner("max", "min"), corner("max", "max"), corner("min", "max"))
-    return s.select("k", F.floor(geo.polygon_area_m2(shape_) / 1000 + 0.5).cast("bigint").alias("thousand_m2"))
+    return s.select("k", F.floor(geo.polygon_area_m2(shape_) / 1e6 + 0.5).cast("bigint").alias("km2"))
 
 
 @query(f"with {PTS} select id, abs(0.9 * (lat - 22.5) - (lng - 113) * 0.9) < 2e-10 and lng between 113 and 113.9 and lat between 22.5 and 23.4 as \"on\" from pts")
@@ -326,14 +357,34 @@ def subdivide_step(spark, d):
     return grids.subdivide_step(c).select("k", micro(F.col("x")).alias("x"), micro(F.col("y")).alias("y"))
 
 
-@query(f"""with {CEN}, a as (select x, y, floor(x * 1000 + 0.5)::bigint % 900 as total from cen where k % 10 = 0),
-b as (select x + (i - 1.5) * 0.01167 * 2 / 4 as x, y + (j - 1.5) * 0.009009009 * 2 / 4 as y from a, range(4) p(i), range(4) q(j) where total >= 400),
-b2 as (select *, floor(x * 1000 + 0.5)::bigint % 900 as total from b),
-c as (select x + (i - 1.5) * 0.01167 * 0.5 / 4 as x, y + (j - 1.5) * 0.009009009 * 0.5 / 4 as y from b2, range(4) p(i), range(4) q(j) where total >= 400)
-select * from (select 1 as round, count(*) as n from a where total < 400 union all select 2, count(*) from b2 where total < 400 union all select 3, count(*) from c) where n > 0""")
+_SX, _SY = 0.01167 * 2 / 4, 0.009009009 * 2 / 4
+_SIDE = lambda c, s, sign: f"round({c} {sign} {0.6 * s!r}, 3)"
+
+
+@query(f"""with {CEN}, a as (select x, y, floor(x * 1000 + 0.5)::bigint % 900 as total from cen),
+b as (select *, floor(x * 1000 + 0.5)::bigint % 900 as total from (select x + (i - 1.5) * {_SX!r} as x, y + (j - 1.5) * {_SY!r} as y from a, range(4) p(i), range(4) q(j) where total >= 400)),
+s as (select {_SIDE('x', _SX, '-')} as x0, {_SIDE('x', _SX, '+')} as x1, {_SIDE('y', _SY, '-')} as y0, {_SIDE('y', _SY, '+')} as y1 from b where total >= 400),
+c as (select *, floor(x * 1000 + 0.5)::bigint % 900 as total from (select x0 + i * 0.001::double as x, y0 + j * 0.001::double as y from (select x0, y0, unnest(range(floor(round((x1 - x0) / 0.001::double, 6))::bigint)) as i, floor(round((y1 - y0) / 0.001::double, 6))::bigint as ny from s), lateral (select unnest(range(ny)) as j))),
+u as (select 1 as round, * from a where total < 400 union all select 2, * from b where total < 400 union all select 3, * from c)
+select round, count(*) as n, count(*) filter (total >= 400) as n_over, sum(floor(x * 1e5 + 0.5)::bigint)::bigint as sum_x, sum(floor(y * 1e5 + 0.5)::bigint)::bigint as sum_y from u group by round""")
 def adaptive_plan(spark, d):
+    """All centers: over the cap into 16, then by steps of 0.001 degrees; the third round is accepted."""
     totals = lambda df: df.withColumn("total", F.floor(F.col("x") * 1000 + 0.5) % 900)
-    return grids.adaptive_plan(centers(spark, d).filter("k % 10 = 0"), totals).groupBy("round").agg(F.count(F.lit(1)).alias("n"))
+    out = grids.adaptive_plan(centers(spark, d), totals)
+    return out.groupBy("round").agg(F.count(F.lit(1)).alias("n"), F.count_if("over").alias("n_over"), *(F.sum(F.floor(F.col(c) * 1e5 + 0.5)).alias(f"sum_{c}") for c in "xy"))
+
+
+_LISTS = "o as (select c_nationkey::varchar as a, c_nationkey || '_' || c_mktsegment as b, c_nationkey || '_' || c_mktsegment || '_' || o_orderstatus as c from orders join customer on c_custkey = o_custkey), na as (select a, count(*) as n from o group by a), nb as (select a, b, count(*) as n from o group by a, b), nc as (select b, c, count(*) as n from o group by b, c)"
+
+
+@query(f"with {_LISTS} select a as list, n as pages, 0 as level, false as over from na where n <= 99 union all select nb.b, nb.n, 1, false from nb join na using (a) where na.n > 99 and nb.n <= 99 union all select nc.c, nc.n, 2, nc.n > 99 from nc join nb using (b) join na using (a) where nb.n > 99 and na.n > 99")
+def escalate_lists(spark, d):
+    """Lists of orders by nation, by nation and segment where those are over 99, and then by status too."""
+    o = t(spark, d, "orders").join(t(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    keys = [F.concat_ws("_", *cols) for cols in (["c_nationkey"], ["c_nationkey", "c_mktsegment"], ["c_nationkey", "c_mktsegment", "o_orderstatus"])]
+    count = lambda *cols: o.groupBy(*cols).agg(F.count(F.lit(1)).alias("pages"))
+    below = [count(keys[k - 1].alias("parent"), keys[k].alias("list")) for k in (1, 2)]
+    return grids.escalate_lists(count(keys[0].alias("list")), below)
 
 
 @query(f"""with {PTS}, e as (select {m('min(lng)')} as x1, {m('max(lng)')} as x2, {m('min(lat)')} as y1, {m('max(lat)')} as y2 from pts),
@@ -370,11 +421,21 @@ def point_to_tile(spark, d):
 # -- pages ---------------------------------------------------------------------------------------
 
 
-@query(r"select page_id, regexp_extract(html, '<html lang=.([a-z]+)', 1) as lang, len(regexp_extract_all(html, 'href=.([^\x22]*)\x22', 1)) as n_links from pages")
+def linked_pages(spark, d):
+    """All pages; links of their menus become relative ones, links without a scheme, or stay, by their first letter."""
+    p = t(spark, d, "pages").select("page_id", "url", "html")
+    for first, new in (("a-f", "href='../$1'"), ("g-m", "href='$1'"), ("A-M", 'href="//cdn.x.org/$1"')):
+        p = p.withColumn("html", F.regexp_replace("html", f'href="/([{first}][a-z]*)"', new))
+    return p
+
+
+@query(r"""with a as (select page_id, url, regexp_extract(url, '^([a-z]+):', 1) as scheme, regexp_extract(url, '^[a-z]+://[^/?#]+', 0) as site, regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '[^/]*$', '') as dir,
+unnest(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), 'href="/([^"]*)"', 1)) as t from pages)
+select page_id, case when regexp_matches(t, '^[a-f][a-z]*$') then site || coalesce(nullif(regexp_replace(dir, '[^/]+/$', ''), ''), '/') || t
+when regexp_matches(t, '^[g-m][a-z]*$') then site || coalesce(nullif(dir, ''), '/') || t
+when regexp_matches(t, '^[A-M][a-z]*$') then scheme || '://cdn.x.org/' || t else site || '/' || t end as link from a""")
 def page_links(spark, d):
-    p = t(spark, d, "pages")
-    n = pages.page_links(p, "html", "url").groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
-    return p.select("page_id", F.regexp_extract("html", '<html lang="([a-z]+)', 1).alias("lang")).join(n, "page_id", "left").select("page_id", "lang", F.coalesce("n", F.lit(0)).alias("n_links"))
+    return pages.page_links(linked_pages(spark, d), "html", "url", ("nav", None, None)).select("page_id", "link")
 
 
 def listing_pages(spark, d):
@@ -389,9 +450,8 @@ def listing_pages(spark, d):
 
 @query("select o_custkey as k, case when o_custkey % 2 = 0 then 'T' || o_custkey else 'A' || o_custkey end as title from orders group by 1")
 def page_fallback(spark, d):
-    p = listing_pages(spark, d)
-    a = pages.page_fields(p, "html", {"title": ("h1", "id", "t")})
-    return pages.page_fallback(a, pages.page_fields(p, "html", {"title": ("p", "class", "alt")}).withColumn("title", F.regexp_extract("title", r"^A\d+", 0)), "k", ["title"]).select("k", "title")
+    rows = pages.page_fallback(listing_pages(spark, d), "html", {"title": ("h1", "id", "t")}, {"title": ("p", "class", "alt")})
+    return rows.select("k", F.regexp_extract("title", r"^[AT]\d+", 0).alias("title"))  # the second layout's paragraph is not closed
 
 
 @query("select o_custkey as k, case when o_custkey % 2 = 0 then 'T' || o_custkey else '' end as title, '' as absent from orders group by 1")
@@ -421,16 +481,11 @@ def embedded_ids(spark, d):
     return pages.embedded_ids(listing_pages(spark, d), "html", "data-hid")
 
 
-@query("select page_id, length(coalesce(html, '')) as n from pages where html is not null and html <> ''")
+@query(r"select page_id || '.html' as file, length(regexp_replace(coalesce(html, ''), '[^\x01-\x7F]', '', 'g')) + 2 as n, md5(regexp_replace(coalesce(html, ''), '[^\x01-\x7F]', '', 'g') || '城市') as digest from pages")
 def read_html_dir(spark, d):
-    """Pages written one file each, in UTF-8, and read back as bytes."""
-    from ..sources import files
-
+    """A file per page in GB 2312, with a byte that the charset lacks; read back as text."""
     path = files.work_path(spark, "html")
-    p = t(spark, d, "pages").filter("html is not null and html <> ''").select("page_id", F.hex(F.col("html").cast("binary")).alias("x"))
-    p.groupBy("page_id").agg(F.first("x").alias("x")).repartitionByRange(8, "page_id").write.parquet(path)
-    raw = spark.read.parquet(path).select("page_id", F.unhex("x").alias("content"))
-    import pandas as pd
-
-    decode = F.pandas_udf(lambda s: pd.Series([bytes(b).decode("utf-8", "ignore") for b in s], dtype=object), "string")
-    return raw.select("page_id", F.length(decode("content")).cast("bigint").alias("n"))
+    plain = F.regexp_replace(F.coalesce("html", F.lit("")), r"[^\x01-\x7F]", "").cast("binary")
+    rows = t(spark, d, "pages").select(F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("file"), F.concat(plain, F.unhex(F.lit("FF" + "城市".encode("gb2312").hex()))).alias("content"))
+    files.write_responses(rows, path, "file", "content")
+    return files.read_html_dir(spark, path).select("file", F.length("html").cast("bigint").alias("n"), F.md5(F.col("html").cast("binary")).alias("digest"))

@@ -66,11 +66,13 @@ GRID = f"{CEN}, grid as (select distinct x, y, (floor(x * 1000 + 0.5)::bigint %
 
 
 def checks(spark: SparkSession, d: str) -> DataFrame:
+    """All orders as checks of their customer's center; those of every third customer are of a center that no grid has."""
     o, k = t(spark, d, "orders"), F.col("o_custkey")
-    return o.filter("o_custkey % 3 <> 0").select((113 + F.pmod(k * 7919, F.lit(1000)) / 1000.0).alias("x"), (22.5 + F.pmod(k * 104729, F.lit(1000)) / 1000.0).alias("y"), (F.col("o_orderkey") % 70).cast("int").alias("n"), F.col("o_orderkey").alias("ts"))
+    x = 113 + F.pmod(k * 7919, F.lit(1000)) / 1000.0 + F.when(k % 3 == 0, 5.0).otherwise(0.0)
+    return o.select(x.alias("x"), (22.5 + F.pmod(k * 104729, F.lit(1000)) / 1000.0).alias("y"), (F.col("o_orderkey") % 70).cast("int").alias("n"), F.col("o_orderkey").alias("ts"))
 
 
-CHK = "chk as (select 113 + (o_custkey * 7919 % 1000) / 1000::double as x, 22.5::double + (o_custkey * 104729 % 1000) / 1000::double as y, (o_orderkey % 70)::int as n, o_orderkey as ts from orders where o_custkey % 3 <> 0), best as (select x, y, max(n) as bn, max(ts) filter (n = mn) as bt from (select *, max(n) over (partition by x, y) as mn from chk) group by x, y)"
+CHK = "chk as (select 113 + (o_custkey * 7919 % 1000) / 1000::double + (case when o_custkey % 3 = 0 then 5 else 0 end)::double as x, 22.5::double + (o_custkey * 104729 % 1000) / 1000::double as y, (o_orderkey % 70)::int as n, o_orderkey as ts from orders), best as (select x, y, max(n) as bn, max(ts) filter (n = mn) as bt from (select *, max(n) over (partition by x, y) as mn from chk) group by x, y)"
 
 
 # -- the heat grid, end to end -------------------------------------------------------------------
@@ -124,12 +126,16 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.select(F.unix_timestamp("timestamp").alias("epoch"), *streams.COLUMNS[1:])
 
 
-def _stream(spark: SparkSession, rows: DataFrame, job, name: str) -> DataFrame:
-    """Land rows as files, run a job over them as a stream until they are read, and read its table."""
+def _stream(spark: SparkSession, rows: DataFrame | list[DataFrame], job, name: str) -> DataFrame:
+    """Land rows as files, run a job over them as a stream until they are read, and read its table.
+
+    Of several DataFrames each is landed when the stream has read the one before; every run goes on from the checkpoint.
+    """
     source, sink = files.work_path(spark, f"{name}-source"), files.work_path(spark, f"{name}-sink")
-    rows.write.parquet(source)
-    out = job(files.read_messages(spark, source, "parquet"))
-    files.stream_to_table(out, f"{sink}/t", f"{sink}/c").awaitTermination()
+    for part in rows if isinstance(rows, list) else [rows]:
+        part.write.mode("append").parquet(source)
+        out = job(files.read_messages(spark, source, "parquet"))
+        files.stream_to_table(out, f"{sink}/t", f"{sink}/c").awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{sink}/t")
 
 
@@ -175,22 +181,42 @@ def route_stream_a(spark, d):
 
 @query("select distinct o_orderkey as epoch, 'r' || (o_custkey % 7) as preset_route, (o_orderkey % 3600)::varchar as total_duration from orders join lineitem on l_orderkey = o_orderkey")
 def durations(spark, d):
-    out = streams.durations(streams.route_stream_b(messages_b(spark, d)))
-    return out.select(F.unix_timestamp("timestamp").alias("epoch"), "preset_route", "total_duration")
+    """As a stream with a watermark over two landings, the later half of the messages after the earlier one.
+
+    Times are moved by a day, as the first second of 1970 would be no later than a stream's first watermark.
+    """
+    rows = messages_b(spark, d).withColumn("timestamp", F.timestamp_seconds(F.unix_timestamp("timestamp") + 86400))
+    middle = t(spark, d, "orders").agg((F.min("o_orderkey") + F.max("o_orderkey")) / 2).first()[0] or 0
+    early = F.unix_timestamp("timestamp") - 86400 <= middle
+    out = _stream(spark, [rows.filter(early), rows.filter(~early)], lambda s: streams.durations(streams.route_stream_b(s)), "durations")
+    return out.select((F.unix_timestamp("timestamp") - 86400).alias("epoch"), "preset_route", "total_duration")
 
 
 @query("select user_id as center, max(event_id % 500) as n from events group by user_id")
 def seen_max_stream(spark, d):
+    """Three rounds of records land one after the other; maxima are kept across the stream's runs."""
     source, sink = files.work_path(spark, "seen-source"), files.work_path(spark, "seen")
-    t(spark, d, "events").select(F.col("user_id").alias("center"), (F.col("event_id") % 500).alias("n")).write.parquet(source)
-    rows = spark.readStream.schema("center bigint, n bigint").parquet(source)
-    streams.seen_max_stream(rows, f"{sink}/t", f"{sink}/c").awaitTermination()
-    return spark.read.parquet(f"{sink}/t/v0")
+    e = t(spark, d, "events").select(F.col("user_id").alias("center"), (F.col("event_id") % 500).alias("n"), (F.col("event_id") % 3).alias("k"))
+    for k in range(3):
+        e.filter(F.col("k") == k).select("center", "n").write.mode("append").parquet(source)
+        rows = spark.readStream.schema("center bigint, n bigint").parquet(source)
+        streams.seen_max_stream(rows, f"{sink}/t", f"{sink}/c").awaitTermination()
+    return streams.seen_max(spark, f"{sink}/t", "center bigint, n bigint")
 
 
-@query("select cast(epoch(time_bucket(interval '5 minutes', ts)) as bigint) as start, count(*) as answered from events group by 1")
+@query("select cast(epoch(time_bucket(interval '5 minutes', ts)) as bigint) as start, count(*) as answered, 3 as expected, greatest(3 - count(*), 0) as missing from events group by 1")
 def poll_rounds(spark, d):
-    return streams.poll_rounds(t(spark, d, "events"), ts="ts").select(F.unix_timestamp("start").alias("start"), "answered")
+    return streams.poll_rounds(t(spark, d, "events"), ts="ts", expected=3).select(F.unix_timestamp("start").alias("start"), "answered", "expected", "missing")
+
+
+@query("with r as (select time_bucket(interval '5 minutes', ts) as start, count(*) as answered from events group by 1) select cast(epoch(start) as bigint) as start, answered from r where start + interval '15 minutes' <= (select max(ts) from events)")
+def poll_rounds_stream(spark, d):
+    """Poll rounds of a stream over two landings: those whose end the watermark of ten minutes has passed."""
+    e = t(spark, d, "events").select(F.to_json(F.struct("event_id")).alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))
+    middle = t(spark, d, "events").agg(((F.min(F.unix_timestamp("ts")) + F.max(F.unix_timestamp("ts"))) / 2).cast("bigint")).first()[0] or 0
+    early = F.unix_timestamp("timestamp") <= middle
+    out = _stream(spark, [e.filter(early), e.filter(~early)], streams.poll_rounds, "rounds")
+    return out.select(F.unix_timestamp("start").alias("start"), "answered")
 
 
 @query("select c_custkey, c_name, c_nationkey from customer")
@@ -208,14 +234,15 @@ def read_json_lines(spark, d):
     return rows.select("event_id", "event_type", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
 
 
-@query("select n_nationkey as code, n_name as city, n_regionkey as area from nation")
+@query("select s_suppkey::varchar as code, n_name as city, (1700000000 + s_suppkey)::varchar as epoch, case when s_suppkey % 7 <> 0 then s_nationkey end as area, case when s_suppkey % 7 <> 0 then s_name end as name from supplier join nation on n_nationkey = s_nationkey")
 def read_response_dir(spark, d):
-    path = files.work_path(spark, "responses")
-    rows = t(spark, d, "nation").select(F.to_json(F.struct("n_nationkey", "n_regionkey")).alias("value"), F.col("n_name").alias("city"))
-    rows.write.partitionBy("city").text(path)
-    found = spark.read.text(path, wholetext=True)
-    v = F.from_json("value", "n_nationkey int, n_regionkey int")
-    return found.select(v.alias("v"), "city").select(F.col("v.n_nationkey").alias("code"), "city", F.col("v.n_regionkey").alias("area"))
+    """A response file per supplier, named city___code___epoch; every seventh holds broken JSON."""
+    path, k = files.work_path(spark, "responses"), F.col("s_suppkey")
+    rows = t(spark, d, "supplier").join(t(spark, d, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
+    name = F.concat_ws("___", "n_name", k.cast("string"), F.concat((k + 1700000000).cast("string"), F.lit(".json")))
+    body = F.when(k % 7 == 0, "{broken").otherwise(F.to_json(F.struct(F.col("s_nationkey").alias("area"), F.col("s_name").alias("name"))))
+    files.write_responses(rows.select(name.alias("file"), body.alias("body")), path, "file", "body")
+    return files.read_response_dir(spark, path, ["city", "code", "epoch"], "area int, name string")
 
 
 @query(f"with {GRID} select {m('x')} as x, {m('y')} as y, ok0, max as most from grid")
@@ -238,18 +265,24 @@ def read_categories(spark, d):
     return files.read_categories(t(spark, d, "part").select(F.concat("p_brand", F.lit(":"), F.replace("p_name", F.lit(" "), F.lit("、"))).alias("line")), "line")
 
 
-@query("select s_suppkey, s_name, '2024-01-01' as dt from supplier union all select s_suppkey, s_name, '2024-01-02' from supplier")
+@query("select s_suppkey, s_name, dt, kind from supplier, (values ('2024-01-01'), ('2024-01-02')) a(dt), (values ('json'), ('csv')) b(kind)")
 def write_daily(spark, d):
     path, rows = files.work_path(spark, "daily"), t(spark, d, "supplier").select("s_suppkey", "s_name")
     for day in ("2024-01-01", "2024-01-02"):
         files.write_daily(rows, path, day)
-    return spark.read.schema("s_suppkey bigint, s_name string, dt string").json(f"{path}/json")
+    read = spark.read.schema("s_suppkey bigint, s_name string, dt string")
+    return read.json(f"{path}/json").withColumn("kind", F.lit("json")).unionByName(read.option("header", True).csv(f"{path}/csv").withColumn("kind", F.lit("csv")))
 
 
-@query("select s_suppkey, s_name, s_nationkey from supplier")
+@query("select event_id, user_id, event_type, floor(epoch(ts))::bigint as epoch from events")
 def publish_messages(spark, d):
-    rows = files.messages(t(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey"))
-    return rows.select(F.from_json("value", "s_suppkey bigint, s_name string, s_nationkey int").alias("v")).select("v.*")
+    """Events published with their own time in JSON, and read back as a stream of the topic's folder."""
+    path = files.work_path(spark, "topics")
+    files.publish_messages(t(spark, d, "events").select("event_id", "user_id", "event_type", "ts"), "events", "ts", "parquet", path)
+    back, sink = files.read_messages(spark, f"{path}/topic=events", "parquet"), files.work_path(spark, "published")
+    files.land_raw(back, f"{sink}/t", f"{sink}/c").awaitTermination()
+    raw = spark.read.schema(files.MESSAGE).parquet(f"{sink}/t")
+    return raw.select(F.from_json("value", "event_id bigint, user_id bigint, event_type string").alias("v"), F.unix_timestamp("timestamp").alias("epoch")).select("v.*", "epoch")
 
 
 @query("select c_custkey as k, 'a' || c_custkey as community, c_mktsegment as district, null::varchar as missing from customer where c_custkey % 5 <> 0")
@@ -365,10 +398,13 @@ def heat_points(spark, d):
     return shape.heat_points(heat_responses(spark, d)).select("user_id", F.floor(F.col("count") * 100 + 0.5).alias("c"), micro(F.col("lng")).alias("lng"), micro(F.col("lat")).alias("lat"))
 
 
-@query("select c_custkey, 'b=' || c_mktsegment as kept from customer")
+@query("select c_custkey, 'city=' || c_mktsegment || ',name=' || c_name || ',response_time=20240101_120000' as kept from customer")
 def drop_keys(spark, d):
-    mp = F.create_map(F.lit("a"), F.col("c_name"), F.lit("b"), F.col("c_mktsegment"))
-    return t(spark, d, "customer").select("c_custkey", F.array_join(F.transform(F.map_entries(shape.drop_keys(mp, ["a"])), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("kept"))
+    """Snapshots with the five bulky keys, an old time and two others."""
+    bulky = [F.lit(k) for name in shape.SNAPSHOT_KEYS for k in (name, "much")]
+    mp = F.create_map(*bulky, F.lit("city"), F.col("c_mktsegment"), F.lit("name"), F.col("c_name"), F.lit("response_time"), F.lit("old"))
+    entries = F.array_sort(F.map_entries(shape.drop_keys(mp, response_time="20240101_120000")))
+    return t(spark, d, "customer").select("c_custkey", F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("kept"))
 
 
 @query("select event_id from events where event_type = (select min(event_type) from events) and date_trunc('hour', ts) between (select date_trunc('hour', min(ts)) + interval 24 hours from events) and (select date_trunc('hour', min(ts)) + interval 240 hours from events)")
@@ -469,24 +505,36 @@ def late_responses(spark, d):
     return joins.late_responses(e.select(start.alias("start")).distinct(), e, e).select(F.unix_timestamp("start").alias("start"), "key")
 
 
-SQUARES = [(k, 113.0 + 0.09 * k, 22.5 + 0.09 * k, 0.12) for k in range(10)]
-_SQ = ", ".join(f"({k}, {x!r}::double, {y!r}::double, {s!r}::double)" for k, x, y, s in SQUARES)
+#: Corners of a polygon with a reflex corner, from the place of its nation.
+CORNERS = ((0.0, 0.0), (0.18, 0.0), (0.18, 0.18), (0.09, 0.054), (0.0, 0.18))
+_EDGES = ", ".join(f"({a!r}::double, {b!r}::double, {c!r}::double, {e!r}::double)" for (a, b), (c, e) in zip(CORNERS, (*CORNERS[1:], CORNERS[0]), strict=True))
+EDGE = f"edge as (select n_nationkey as pid, ox + a as px, oy + b as py, ox + c as qx, oy + e as qy from (select n_nationkey, 113::double + (n_nationkey * 7 % 25) * 0.035::double as ox, 22.5::double + (n_nationkey * 11 % 25) * 0.033::double as oy from nation), (values {_EDGES}) v(a, b, c, e))"
+_INSIDE = """bool_or(abs((qx - px) * (lat - py) - (lng - px) * (qy - py)) <= 2e-10 and lng between least(px, qx) - 2e-10 and greatest(px, qx) + 2e-10 and lat between least(py, qy) - 2e-10 and greatest(py, qy) + 2e-10)
+or count(*) filter ((py > lat) <> (qy > lat) and lng < px + (lat - py) * (qx - px) / (qy - py)) % 2 = 1"""
+
+
+def polygons(spark: SparkSession, d: str) -> DataFrame:
+    """A polygon with a reflex corner per nation; neighbours overlap."""
+    k = F.col("n_nationkey")
+    x, y = F.lit(113.0) + (k * 7 % 25) * F.lit(0.035), F.lit(22.5) + (k * 11 % 25) * F.lit(0.033)
+    return t(spark, d, "nation").select(k.cast("bigint").alias("polygon_id"), F.array(*(F.struct((x + a).alias("lng"), (y + b).alias("lat")) for a, b in CORNERS)).alias("polygon"))
 
 
-@query(f"with {PTS}, sq(k, x, y, s) as (values {_SQ}) select id, min(k)::bigint as polygon_id from pts join sq on lng between x - 2e-10 and x + s + 2e-10 and lat between y - 2e-10 and y + s + 2e-10 group by id")
+@query(f"with {PTS}, {EDGE}, held as (select id, pid from pts cross join edge group by id, pid having {_INSIDE}) select id, min(pid)::bigint as polygon_id from held group by id")
 def points_in_polygons(spark, d):
-    shape_ = F.array(*(F.struct((F.col("x") + a * F.col("s")).alias("lng"), (F.col("y") + b * F.col("s")).alias("lat")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1))))
-    polygons = spark.createDataFrame(SQUARES, "polygon_id bigint, x double, y double, s double").select("polygon_id", shape_.alias("polygon"))
-    return grids.points_in_polygons(points(spark, d), polygons).select("id", "polygon_id")
+    return grids.points_in_polygons(points(spark, d).select("id", "lng", "lat"), polygons(spark, d)).select("id", "polygon_id")
 
 
-@query(f"""with {PTS}, q as (select {m('lng')} as x, {m('lat')} as y, cast(round(cnt * 100) as bigint) as c from pts),
+@query(f"""with {PTS}, {EDGE}, q as (select {m('lng')} as x, {m('lat')} as y, cast(round(cnt * 100) as bigint) as c from pts),
 a as (select c, y, unnest(case when x % 10000 = 0 then [x // 10000 - 1, x // 10000] else [x // 10000] end) as i from q),
-b as (select c, i, unnest(case when y % 10000 = 0 then [y // 10000 - 1, y // 10000] else [y // 10000] end) as j from a)
-select i, j, sum(c)::bigint as total, (sum(c) >= 20000)::int + (sum(c) >= 60000)::int as level from b group by i, j""")
+b as (select c, i, unnest(case when y % 10000 = 0 then [y // 10000 - 1, y // 10000] else [y // 10000] end) as j from a),
+s as (select i, j, sum(c)::bigint as total from b group by i, j),
+corner as (select distinct i + p as ci, j + q as cj, (i + p) * 10000 / 1000000::double as lng, (j + q) * 10000 / 1000000::double as lat from s, range(2) u(p), range(2) w(q)),
+held as (select distinct ci, cj from (select ci, cj, pid from corner cross join edge group by ci, cj, pid, lng, lat having {_INSIDE}))
+select i, j, total, (total > 20000)::int + (total > 60000)::int as level from s where exists (select 1 from held where ci between i and i + 1 and cj between j and j + 1)""")
 def count_in_cells(spark, d):
     p = points(spark, d).select(micro(F.col("lng")).alias("x"), micro(F.col("lat")).alias("y"), F.round(F.col("count") * 100).cast("bigint").alias("count"))
-    return grids.count_in_cells(p, (10000, 10000), (20000, 60000)).select("i", "j", "total", "level")
+    return grids.count_in_cells(p, (10000, 10000), (20000, 60000), polygons(spark, d)).select("i", "j", "total", "level")
 
 
 # -- aggregates ----------------------------------------------------------------------------------
@@ -561,9 +609,12 @@ def latest_snapshot(spark, d):
     return aggs.latest_snapshot(e, ["event_type", "user_id"], "day", "2024-02-01", 7).withColumn("latest", F.col("latest").cast("string"))
 
 
-@query("with p as (select distinct p_partkey % 41 - 7 as x, p_partkey % 23 - 5 as y from part) select x::int as x, y::int as y, (x - (select min(x) from p)) // 10 as bx, (y - (select min(y) from p)) // 10 as by from p")
+@query("""with p as (select distinct (p_partkey % 41 - 7)::int as x, (p_partkey % 23 - 5)::int as y from part), e as (select min(x) as x0, min(y) as y0 from p),
+n as (select *, case when x < 0 then 'm' || -x else x::varchar end || '_' || case when y < 0 then 'm' || -y else y::varchar end || '_16.png' as name from p, e)
+select (x - x0) // 10 as bx, (y - y0) // 10 as by, string_agg(name || ':' || x - least(x0, 0) || ':' || y - least(y0, 0), ';' order by name) as tiles from n group by 1, 2""")
 def tile_batches(spark, d):
-    return aggs.tile_batches(tile_names(spark, d).select(aggs.tile_numbers(F.col("name")).alias("t")).select("t.x", "t.y").distinct(), 10)
+    out = aggs.tile_batches(tile_names(spark, d), "name", 10)
+    return out.select("bx", "by", F.array_join(F.transform("tiles", lambda x: F.concat_ws(":", x["name"], x["x"].cast("string"), x["y"].cast("string"))), ";").alias("tiles"))
 
 
 @query("select o_custkey, max(o_orderkey % 500) as total from orders group by 1 having max(o_orderkey % 500) >= 400")

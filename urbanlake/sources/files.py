@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +16,18 @@ GRID = "OBJECTID int, x double, y double, ok0 int, max int, max_timestamp bigint
 MESSAGE = "value string, timestamp timestamp"
 
 
+@cache
+def _local() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="spark-")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share (``spark.checkpoint.dir``; a local one where that is unset)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
+    """A new folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where both are one process."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = _local()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -45,6 +57,22 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def write_responses(df: DataFrame, path: str, name: str, content: str) -> None:
+    """One file a row, named by a column: text in UTF-8, or bytes as they are. Tasks write; a task that runs again overwrites."""
+    rows = df.select(F.url_encode(name).alias("name"), F.col(content).cast("binary").alias("content"))
+
+    def save(part: Iterator) -> None:
+        from pyarrow import fs
+
+        store, folder = fs.FileSystem.from_uri(path)
+        for row in part:
+            store.create_dir(folder, recursive=True)
+            with store.open_output_stream(f"{folder}/{row['name']}") as file:
+                file.write(bytes(row["content"] or b""))
+
+    rows.foreachPartition(save)
+
+
 def read_response_dir(spark: SparkSession, path: str, name_fields: list[str], schema: str, sep: str = "___") -> DataFrame:
     """A folder of JSON responses, one a file; the file's name carries fields. Bad JSON gives null fields."""
     rows = spark.read.text(path, wholetext=True).select("value", F.regexp_replace("_metadata.file_name", r"\.[a-z]+$", "").alias("_n"))
@@ -87,5 +115,7 @@ def messages(df: DataFrame, time_col: str | None = None) -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias("value"), (F.col(time_col) if time_col else F.lit(None)).cast("timestamp").alias("timestamp"))
 
 
-def publish_messages(df: DataFrame, topic: str, time_col: str | None = None, **options) -> None:
-    messages(df, time_col).withColumn("topic", F.lit(topic)).write.format("kafka").options(**options).save()
+def publish_messages(df: DataFrame, topic: str, time_col: str | None = None, fmt: str = "kafka", path: str | None = None, **options) -> None:
+    """Rows as JSON with their event time to a topic, or, with another format, appended to ``path`` in a folder per topic."""
+    out = messages(df, time_col).withColumn("topic", F.lit(topic)).write.format(fmt).options(**options)
+    out.save() if fmt == "kafka" else out.mode("append").partitionBy("topic").save(path)

@@ -6,7 +6,7 @@ re-aim batch steps of the collectors as streams; their watermark of ten minutes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import shape
@@ -35,20 +35,28 @@ def durations(df: DataFrame, delay: str = "10 minutes") -> DataFrame:
 
 
 def seen_max_stream(df: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("center",)):
-    """Running maximum of ``n`` per center, kept under ``path`` (one folder per version) across runs."""
-    spark = df.sparkSession
+    """Running maximum of ``n`` per center, kept across runs: each batch appends the centers whose maximum may have risen.
 
-    def merge(batch: DataFrame, epoch: int) -> None:
-        if epoch:
-            batch = batch.unionByName(spark.read.parquet(f"{path}/v{epoch - 1}"))
-        batch.groupBy(*keys).agg(F.max("n").alias("n")).write.mode("overwrite").parquet(f"{path}/v{epoch}")
+    A batch that runs again overwrites its own folder. ``seen_max`` reads the maxima.
+    """
+
+    def append(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={epoch}")
 
     seen = df.groupBy(*keys).agg(F.max("n").alias("n"))
-    return seen.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(merge).trigger(availableNow=True).start()
+    return seen.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(append).trigger(availableNow=True).start()
+
+
+def seen_max(spark: SparkSession, path: str, schema: str, keys: tuple[str, ...] = ("center",)) -> DataFrame:
+    """The maxima that ``seen_max_stream`` has kept under ``path``."""
+    return spark.read.schema(schema).parquet(path).groupBy(*keys).agg(F.max("n").alias("n"))
+
 
+def poll_rounds(df: DataFrame, minutes: int = 5, delay: str = "10 minutes", ts: str = "timestamp", expected: int | None = None) -> DataFrame:
+    """(start, answered) per poll round, and with the number of requests of a round (expected, missing) too.
 
-def poll_rounds(df: DataFrame, minutes: int = 5, delay: str = "10 minutes", ts: str = "timestamp") -> DataFrame:
-    """(start, answered): answers per poll round."""
+    As a stream a round comes out once the watermark has passed its end.
+    """
     rows = df.withWatermark(ts, delay) if df.isStreaming else df
-    out = rows.groupBy(F.window(ts, f"{minutes} minutes")).agg(F.count(F.lit(1)).alias("answered"))
-    return out.select(F.col("window.start").alias("start"), "answered")
+    out = rows.groupBy(F.window(ts, f"{minutes} minutes")).agg(F.count(F.lit(1)).alias("answered")).select(F.col("window.start").alias("start"), "answered")
+    return out if expected is None else out.withColumns({"expected": F.lit(expected), "missing": F.greatest(F.lit(expected) - F.col("answered"), F.lit(0))})
