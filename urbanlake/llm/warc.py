@@ -218,37 +218,42 @@ class _Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceWriter):
-    """Rows need record_id, record_type, target_uri, date, payload_digest, refers_to, payload_length and payload."""
+    """Rows need record_id, record_type, target_uri, date, payload_digest, refers_to, payload_length and payload.
+
+    Tasks write hidden files of this job; its end names those of the tasks that counted, and deletes all others.
+    """
 
     def __init__(self, options):
-        self.path = options["path"]
+        self.path, self.job = options["path"], uuid.uuid4().hex
 
     def write(self, iterator) -> WriterCommitMessage:
         system, folder = _open(self.path)
         system.create_dir(folder, recursive=True)
-        name, n = f"{uuid.uuid4().hex}.warc.gz", 0
+        name, n = f"{self.job}-{uuid.uuid4().hex}.warc.gz", 0
         stream = system.open_output_stream(f"{folder}/_{name}", compression=None, buffer_size=1 << 20)
         with stream:
             for row in iterator:
                 stream.write(member(record(row)))
                 n += 1
-        return _Written(name if n else "_" + name)
+        return _Written(name if n else "")
+
+    def _clear(self) -> None:
+        from pyarrow import fs
+
+        system, folder = _open(self.path)
+        for file in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+            if file.base_name.startswith(f"_{self.job}-"):
+                system.delete_file(file.path)
 
     def commit(self, messages) -> None:
         system, folder = _open(self.path)
         for m in messages:
-            if m is None:
-                continue
-            if m.name.startswith("_"):
-                system.delete_file(f"{folder}/{m.name}")
-            else:
+            if m is not None and m.name:
                 system.move(f"{folder}/_{m.name}", f"{folder}/{m.name}")
+        self._clear()
 
     def abort(self, messages) -> None:
-        system, folder = _open(self.path)
-        for m in messages:
-            if m is not None:
-                system.delete_file(f"{folder}/_{m.name.lstrip('_')}")
+        self._clear()
 
 
 class WarcSource(DataSource):
@@ -304,12 +309,13 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, read back; the payloads of responses are checked against their digests."""
     path = new_path(spark, "warc")
     write_pages(table(spark, sf_dir, "pages"), path)
     number = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("long")
     rows = read_warc(spark, path)
     size = F.coalesce(F.length("payload").cast("long"), "payload_length")
-    return rows.select(number("record_id").alias("page_id"), size.alias("payload_bytes"), "payload_digest", "record_type", number(F.col("refers_to")).alias("refers_to"), F.coalesce("payload_ok", F.lit(True)).alias("payload_ok"))
+    return rows.select(number("record_id").alias("page_id"), size.alias("payload_bytes"), "payload_digest", "record_type", number(F.col("refers_to")).alias("refers_to"), "payload_ok")
 
 
 ORACLE_OP8 = """
@@ -318,6 +324,6 @@ b as (select sha, (select string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
   from (select sha, from_hex(sha)::bit::varchar as bits from p group by sha)),
 g as (select sha, max(page_id) as owner from p group by sha)
 select page_id, strlen(html)::bigint as payload_bytes, b32 as payload_digest, case when page_id = owner then 'response' else 'revisit' end as record_type,
-  case when page_id <> owner then owner end as refers_to, true as payload_ok
+  case when page_id <> owner then owner end as refers_to, case when page_id = owner then true end as payload_ok
 from p join g using (sha) join b using (sha)
 """
