@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import components
+from .memory import give_back, tidied
 from .store import drop, semi, small_batches, table, written
 from .words import Words, canonical, mix, sequence_hash, slices
 
@@ -134,11 +135,11 @@ def _confirmed(frames: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.Data
 def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of representatives whose full sets are similar enough."""
     sketch = [reps.select(F.col("id").alias(c), F.col("sketch").alias(f"s{c}"), F.col("parity").alias(f"p{c}"), F.col("n_shingles").alias(f"n{c}")) for c in "ab"]
-    likely = written(pairs.join(sketch[0], "a").join(sketch[1], "b").mapInPandas(lambda it: _likely(it, percent), "a long, b long").distinct(), "likely")
+    likely = written(pairs.join(sketch[0], "a").join(sketch[1], "b").mapInPandas(lambda it: tidied(_likely(it, percent)), "a long, b long").distinct(), "likely")
     wanted = written(likely.select(F.col("a").alias("id")).unionAll(likely.select("b")).distinct(), "wanted")
-    sets = written(semi(docs, wanted, "id").mapInPandas(lambda it: _sets(it, size), "id long, hashes binary"), "sets")
+    sets = written(semi(docs, wanted, "id").mapInPandas(lambda it: tidied(_sets(it, size)), "id long, hashes binary"), "sets")
     full = likely.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha")), "a").join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b")
-    links = written(full.mapInPandas(lambda it: _confirmed(it, percent), "a long, b long").distinct(), "links")
+    links = written(full.mapInPandas(lambda it: tidied(_confirmed(it, percent)), "a long, b long").distinct(), "links")
     drop(likely, wanted, sets)
     return links
 
@@ -170,6 +171,8 @@ def _compared(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
         both = np.stack((i[at : at + 64][a], j[b]), axis=1)
         out.append(both if frame["cross"].any() else both[both[:, 0] < both[:, 1]])
     both = np.sort(np.concatenate(out), axis=1)
+    del left, right, x, y, s, t, u, v, out
+    give_back()
     return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
 
 
@@ -198,7 +201,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    described = written(rows.mapInPandas(lambda it: _describe(it, size), _SET), "described")
+    described = written(rows.mapInPandas(lambda it: tidied(_describe(it, size)), _SET), "described")
     sizes = written(described.select("id", "n_shingles"), "sizes")
     usable, own = described.filter("id is not null and n_shingles > 0"), ["low", "high", "n_shingles"]
     equal = written(usable.groupBy(own).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "equal")

@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .memory import tidied
 from .store import small_batches, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -46,7 +47,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITY = float("inf")
 #: Encoded chunks that a worker remembers.
-REMEMBER = 300_000
+REMEMBER = 250_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -198,7 +199,7 @@ class Transducer:
         single = f"[{alone}]|" if alone else ""
         self.chunk = re.compile(r"(?s).+" if crossing else f"{single}{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+")
         self.apart = re.compile(f"({'|'.join(map(re.escape, sorted(self.user, key=len, reverse=True)))})") if self.user and self.kind == BPE else None
-        self.memory: dict[str, tuple[int, ...]] = {}
+        self.memory: dict[str, bytes] = {}
         self.rewritten: dict[str, str] = {}
         self.allowed: defaultdict[str, dict[str, bool]] = defaultdict(dict)
 
@@ -283,8 +284,9 @@ class Transducer:
             self.rewritten.clear()
         for chunk in set(chunks):
             if chunk not in memory:
-                memory[chunk] = (self.ids[chunk],) if self.apart and chunk in self.user else tuple(chain.from_iterable(shortest_path(chunk, self.arcs, self.finite if self.kind == BPE else None)))
-        ids = array("i", chain.from_iterable(map(memory.__getitem__, chunks)))
+                found = [(self.ids[chunk],)] if self.apart and chunk in self.user else shortest_path(chunk, self.arcs, self.finite if self.kind == BPE else None)
+                memory[chunk] = array("i", chain.from_iterable(found)).tobytes()
+        ids = array("i", b"".join(map(memory.__getitem__, chunks)))
         if not self.byte_fallback and self.unknown in ids:  # a run of unknown characters is one
             ids = array("i", [x for i, x in enumerate(ids) if x != self.unknown or not i or ids[i - 1] != x])
         return ids
@@ -325,7 +327,7 @@ def encode_pieces(docs: DataFrame, text: str = "text", model_path: str = MODEL,
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(values, pa.int32()), mask=pa.array([t is None for t in texts]))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(counts), pa.array(same)], names=[*batch.schema.names, ids, n_tokens, round_trip])
 
-    return kept.mapInArrow(encoded, schema)
+    return kept.mapInArrow(lambda it: tidied(encoded(it)), schema)
 
 
 def decode_pieces(rows: DataFrame, ids: str = "ids", text: str = "decoded", model_path: str = MODEL) -> DataFrame:

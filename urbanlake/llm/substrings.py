@@ -25,6 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .memory import give_back, tidied
 from .store import semi, small_batches, table, written
 from .words import Words, canonical, mix, sequence_hash, slices
 
@@ -176,6 +177,12 @@ def _count(frame: pd.DataFrame, k: int) -> pd.DataFrame:
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def _counted(frame: pd.DataFrame, k: int) -> pd.DataFrame:
+    runs = _count(frame, k)
+    give_back()
+    return runs
+
+
 def _without(text: str, gone: np.ndarray) -> str:
     """The text without the words that are marked, and without the white space after them; all else stays as it is."""
     spans = [m.span() for m in _WORD.finditer(text)]
@@ -227,8 +234,8 @@ def repeated_runs(rows: DataFrame, k: int = 13, m: int = 2, most: int = HEAVY) -
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, 3 * size // BUCKET_BYTES)
     heavy = _heavy_keys(rows, k, m, most) if size // 2 > most else []  # a word takes two bytes at least
-    packed = rows.mapInPandas(lambda it: _pack(it, k, m, buckets, heavy), "bucket long, strings binary, which binary, docs binary, places binary")
-    runs = packed.groupBy("bucket").applyInPandas(lambda frame: _count(frame, k), "id long, start long, stop long")
+    packed = rows.mapInPandas(lambda it: tidied(_pack(it, k, m, buckets, heavy)), "bucket long, strings binary, which binary, docs binary, places binary")
+    runs = packed.groupBy("bucket").applyInPandas(lambda frame: _counted(frame, k), "id long, start long, stop long")
     own = F.shiftright("start", PART).alias("part")
     return runs.select("id", own, *(F.col(c).bitwiseAND((1 << PART) - 1).alias(c) for c in ("start", "stop")))
 
@@ -251,7 +258,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     joined = _numbered(whole, numbers, "_row._text").join(runs, ["id", "part"], "left").select("_row.*", "_runs")
     fields = [f for f in rows.schema.fields if f.name != "_text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "n_words long, n_removed long, kept_text string"])
-    return joined.mapInPandas(lambda it: _cut(it, normalise), schema)
+    return joined.mapInPandas(lambda it: tidied(_cut(it, normalise)), schema)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

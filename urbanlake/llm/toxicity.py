@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .memory import tidied
 from .store import crc_part, small_batches, table, written
 
 # Letters that look like a-z (Cyrillic, Greek, Armenian, small capitals, letters with strokes or hooks),
@@ -108,7 +109,7 @@ def _terms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words = set(fold(text).split())
             for term in words | {f"{w[:n]}*" for w in words for n in STEMS if len(w) >= n}:
                 counts.setdefault(term, [0, 0])[int(toxic)] += 1
-        if len(counts) > 1_000_000:
+        if len(counts) > 200_000:
             yield pd.DataFrame([(k, *v) for k, v in counts.items()], columns=["term", "clean", "toxic"])
             counts = {}
     yield pd.DataFrame([(k, *v) for k, v in counts.items()], columns=["term", "clean", "toxic"])
@@ -165,12 +166,12 @@ def learn(rows: DataFrame, exceptions: Sequence[str] = ()) -> Model:
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return Model(Matcher([], exceptions), 0.0, -4.0)
-    counted = rows.mapInPandas(_terms, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counted = rows.mapInPandas(lambda it: tidied(_terms(it)), "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     ratio = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     strong = counted.filter("toxic >= 4 and toxic > clean").withColumn("z", ratio / error).filter("z >= 3")
     terms = frozenset(r["term"] for r in strong.collect())
-    hits = written(rows.mapInPandas(lambda it: _hits(it, terms), "term string, word string, before string, after string, toxic int, n long"), "hits")
+    hits = written(rows.mapInPandas(lambda it: tidied(_hits(it, terms)), "term string, word string, before string, after string, toxic int, n long"), "hits")
     context = hits.groupBy("term", "word", "before", "after").agg(F.max("toxic").alias("toxic"), F.min("toxic").alias("least"))
     stats = context.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("least")).alias("clean"), F.countDistinct("word").alias("words"))
     found = {r["term"]: r for r in stats.collect()}
