@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embeddings, language_id, language_model, near_dup, pieces, substrings, toxicity, warc, wrappers
+from . import conversations, decontaminate, embeddings, language_id, language_model, near_dup, pieces, substrings, toxicity, warc, wrappers
 
 QUERIES = {
     "op1_html_extraction": wrappers.op1_html_extraction,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_substring_dedup": substrings.op9_substring_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_conversation_trie": conversations.op11_conversation_trie,
 }
 ORACLES = {
     "op5_embedding_near_dedup": embeddings.ORACLE_OP5,
@@ -22,4 +23,5 @@ ORACLES = {
     "op7_decontamination": decontaminate.ORACLE_OP7,
     "op8_warc": warc.ORACLE_OP8,
     "op9_substring_dedup": substrings.ORACLE_OP9,
+    "op11_conversation_trie": conversations.ORACLE_OP11,
 }
