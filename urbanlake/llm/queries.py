@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import conversations, decontaminate, embeddings, language_id, language_model, near_dup, pieces, substrings, toxicity, warc, wrappers
+from . import byte_pairs, conversations, decontaminate, embeddings, language_id, language_model, near_dup, pieces, substrings, toxicity, vector_codes, warc, wrappers
 
 QUERIES = {
     "op1_html_extraction": wrappers.op1_html_extraction,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_substring_dedup": substrings.op9_substring_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_conversation_trie": conversations.op11_conversation_trie,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_byte_bpe": byte_pairs.op13_byte_bpe,
 }
 ORACLES = {
     "op5_embedding_near_dedup": embeddings.ORACLE_OP5,
@@ -24,4 +26,5 @@ ORACLES = {
     "op8_warc": warc.ORACLE_OP8,
     "op9_substring_dedup": substrings.ORACLE_OP9,
     "op11_conversation_trie": conversations.ORACLE_OP11,
+    "op12_vector_codes": vector_codes.ORACLE_OP12,
 }
