@@ -50,6 +50,12 @@ def test_kinds_of_spaces_letters_and_digits_are_the_librarys(vocabulary, library
         assert np.frombuffer(vocabulary.encode(vocabulary.split(t)), np.int32).tolist() == library.encode_ordinary(t), hex(code)
 
 
+def test_both_ways_of_merging_are_equal(vocabulary):
+    for _ in range(400):
+        piece = "".join(R.choice("abcdeé漢0'") for _ in range(R.randrange(1, 60))).encode()
+        assert byte_pairs._merged_words(piece, vocabulary.ranks) == byte_pairs._merged_runs(piece, vocabulary.ranks)
+
+
 def test_long_pre_tokens(vocabulary, library):
     for t in ("ab" * 4000, "=" * 3000, "".join(R.choice("abcdefghijklmnop") for _ in range(5000)), "z" * 200 + "é" * 300):
         assert np.frombuffer(vocabulary.encode(vocabulary.split(t)), np.int32).tolist() == library.encode_ordinary(t)

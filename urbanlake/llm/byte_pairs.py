@@ -14,6 +14,7 @@ ones. Workers remember pre-tokens, a bounded number of them. Decoding concatenat
 from __future__ import annotations
 
 import base64
+from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
@@ -35,14 +36,34 @@ RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokeniz
 CHUNK, OVERLAP = 1 << 15, 1 << 10
 #: Characters before a cut end in which a boundary isn't trusted; a contraction looks at three.
 MARGIN = 4
-#: Pre-tokens that a worker remembers, and the longest of them in characters.
-REMEMBERED, SHORT = 1 << 17, 64
+#: Pre-tokens that a worker remembers in each of two generations, and the longest of them in characters.
+REMEMBERED, SHORT = 1 << 18, 64
 
 
 def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: neighbours whose union has the lowest rank are merged, the leftmost of equal ones, until none has."""
     if piece in ranks:
         return [ranks[piece]]
+    return _merged_words(piece, ranks) if len(piece) <= 4 * SHORT else _merged_runs(piece, ranks)
+
+
+def _merged_words(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Short pieces: a list of parts, and of the ranks of neighbours, of which the minimum is looked for at each step."""
+    none, parts = len(ranks) << 1, [piece[i : i + 1] for i in range(len(piece))]
+    unions = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+    while unions and (low := min(unions)) != none:
+        i = unions.index(low)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del unions[i]
+        if i:
+            unions[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+        if i < len(unions):
+            unions[i] = ranks.get(parts[i] + parts[i + 1], none)
+    return [ranks[p] for p in parts]
+
+
+def _merged_runs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Long pieces: linked parts, and a heap of neighbours by rank and place."""
     n = len(piece)
     after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
 
@@ -80,11 +101,15 @@ class Vocabulary(dict):
         for token, rank in self.ranks.items():
             self.bytes[rank] = token
         self.pattern = regex.compile(pattern)
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merged(piece.encode(), self.ranks), np.int32).tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("i", merged(piece.encode(), self.ranks)).tobytes()
         if len(piece) <= SHORT:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED:  # pieces that are met again move to the new generation
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
