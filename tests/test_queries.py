@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from urbanlake.plans import columns, queries  # noqa: F401
+from urbanlake.plans import columns, queries, state  # noqa: F401
 
 DIR = "/root/testdata/sf0.001"
 

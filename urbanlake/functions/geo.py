@@ -151,21 +151,29 @@ def in_polygon(x: Column, y: Column, edges: Column, tolerance: float = 2e-10) ->
     return F.exists(edges, on) | (F.size(F.filter(edges, east)) % 2 == 1)
 
 
+TAU = 2 * math.pi
+
+
 def polygon_area_m2(points: Column) -> Column:
-    """Area of a spherical polygon by its angle excess; fewer than three points give 0."""
-    import numpy as np
-    import pandas as pd
-
-    def area(rows) -> float:
-        if rows is None or len(rows) < 3:
-            return 0.0
-        lng, lat = (np.radians([r[k] for r in rows]) for k in ("lng", "lat"))
-        xyz = np.stack((np.cos(lat) * np.cos(lng), np.cos(lat) * np.sin(lng), np.sin(lat)), axis=1)
-        before, after = np.roll(xyz, 1, axis=0), np.roll(xyz, -1, axis=0)
-        left, right = np.cross(before, xyz), np.cross(after, xyz)
-        angle = np.arctan2(np.einsum("ij,ij->i", np.cross(right, left), xyz), np.einsum("ij,ij->i", left, right)) % (2 * np.pi)
-        n = len(rows)
-        excess = min(angle.sum() - (n - 2) * np.pi, (2 * np.pi * n - angle.sum()) - (n - 2) * np.pi)
-        return float(abs(excess) * EARTH_M**2)
-
-    return F.pandas_udf(lambda s: pd.Series([area(r) for r in s], dtype=float), "double")(points)
+    """Area of a spherical polygon by its angle excess; null and fewer than three points give 0.
+
+    The angle at a corner is that between the planes through it and its neighbours; the smaller of both sides counts.
+    """
+    dot = lambda a, b: a["x"] * b["x"] + a["y"] * b["y"] + a["z"] * b["z"]
+    cross = lambda a, b: F.struct((a["y"] * b["z"] - a["z"] * b["y"]).alias("x"), (a["z"] * b["x"] - a["x"] * b["z"]).alias("y"), (a["x"] * b["y"] - a["y"] * b["x"]).alias("z"))
+
+    def unit(p: Column) -> Column:
+        lng, lat = F.radians(p["lng"]), F.radians(p["lat"])
+        return F.struct((F.cos(lat) * F.cos(lng)).alias("x"), (F.cos(lat) * F.sin(lng)).alias("y"), F.sin(lat).alias("z"))
+
+    def angle(c: Column) -> Column:
+        return F.pmod(F.atan2(dot(cross(c["right"], c["left"]), c["at"]), dot(c["left"], c["right"])), F.lit(TAU))
+
+    at, n = F.transform(points, unit), F.size(points)
+    before = F.concat(F.slice(at, n, 1), F.slice(at, 1, F.greatest(n - 1, F.lit(0))))
+    after = F.concat(F.slice(at, 2, F.greatest(n - 1, F.lit(0))), F.slice(at, 1, 1))
+    left = F.zip_with(before, at, lambda b, p: F.struct(p.alias("at"), cross(b, p).alias("left")))
+    corners = F.zip_with(left, after, lambda c, a: F.struct(c["at"].alias("at"), c["left"].alias("left"), cross(a, c["at"]).alias("right")))
+    total = F.aggregate(F.transform(corners, angle), F.lit(0.0), lambda s, v: s + v)
+    flat = (n - 2) * math.pi
+    return F.when(n >= 3, F.abs(F.least(total - flat, TAU * n - total - flat)) * EARTH_M**2).otherwise(0.0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -89,27 +89,88 @@ def calibrate_tiles(points: DataFrame) -> DataFrame:
     return points.withColumns({"dx": dx, "dy": dy, "lng0": F.col("alng") - px("a", "x") * dx, "lat0": F.col("alat") - px("a", "y") * dy})
 
 
+def calibrate_pairs(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``calibrate_tiles`` of every two neighbouring known points (keys, id, x, y: tile; px, py: pixel; lng, lat) in order of id.
+
+    A point of a key is joined with the one after it, so a key of n points gives n - 1 calibrations.
+    """
+    after = F.lead(F.struct("id", "x", "y", "px", "py", "lng", "lat")).over(Window.partitionBy(*keys).orderBy("id"))
+    pairs = points.withColumn("_b", after).filter("_b is not null")
+    names = ("id", "x", "y", "px", "py", "lng", "lat")
+    return calibrate_tiles(pairs.select(*keys, *(F.col(n).alias(f"a{n}") for n in names), *(F.col(f"_b.{n}").alias(f"b{n}") for n in names)))
+
+
 def point_to_tile(lng: Column, lat: Column, dx: Column, dy: Column, lng0: Column, lat0: Column) -> Column:
     """struct(x, y, px, py): tile and pixel within it; y grows north."""
     gx, gy = F.floor((lng - lng0) / dx), F.floor((lat - lat0) / dy)
     return F.struct(F.floor(gx / TILE).alias("x"), F.floor(gy / TILE).alias("y"), F.pmod(gx, F.lit(TILE)).alias("px"), F.pmod(gy, F.lit(TILE)).alias("py"))
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float = 0.05, tolerance: float = 2e-10) -> DataFrame:
+#: Degrees of a cell of level 0; a level halves them. Powers of two, so that keys are exact.
+SPAN, DEEPEST = 512.0, 40
+
+
+def _level(polygon: Column, refine: int) -> Column:
+    """The finest level whose cells are as wide as a polygon's box, which so touches four of them at most."""
+    width = F.greatest(*(F.array_max(polygon.getField(c)) - F.array_min(polygon.getField(c)) for c in ("lng", "lat")), F.lit(1e-9))
+    return F.greatest(F.lit(0), F.least(F.floor(F.log2(F.lit(SPAN) / width)).cast("int"), F.lit(DEEPEST - refine)))
+
+
+def cell_cover(polygons: DataFrame, refine: int = 5, tolerance: float = 2e-10) -> DataFrame:
+    """(polygon_id, level, cx, cy, edges): cells that hold every point of a polygon; cells wholly inside have null edges.
+
+    A polygon starts with the cells of its own size that its box touches. Cells that an edge touches are cut into
+    four, ``refine`` times; those without an edge are inside or outside as a whole. So the number of cells depends on a
+    polygon's shape, not on its extent: 4 ** (refine + 1) at most, and about a hundred for a simple one.
+    """
+    edges, side = F.col("edges"), lambda level: F.lit(SPAN) / F.pow(F.lit(2.0), level)
+
+    def touched(level: Column, cx: Column, cy: Column) -> Column:
+        """Whether an edge comes within the tolerance of a cell: boxes meet, and the corners aren't all on one side of it."""
+        x0, x1 = cx * side(level) - tolerance, (cx + 1) * side(level) + tolerance
+        y0, y1 = cy * side(level) - tolerance, (cy + 1) * side(level) + tolerance
+
+        def meets(e: Column) -> Column:
+            cross = [(e["qx"] - e["px"]) * (y - e["py"]) - (x - e["px"]) * (e["qy"] - e["py"]) for x in (x0, x1) for y in (y0, y1)]
+            boxes = (F.least(e["px"], e["qx"]) <= x1) & (F.greatest(e["px"], e["qx"]) >= x0) & (F.least(e["py"], e["qy"]) <= y1) & (F.greatest(e["py"], e["qy"]) >= y0)
+            return boxes & (F.least(*cross) <= tolerance) & (F.greatest(*cross) >= -tolerance)
+
+        return F.exists(edges, meets)
+
+    def cell(level: Column, cx: Column, cy: Column) -> Column:
+        """kind: 2 at the border, 1 inside, 0 outside."""
+        middle = geo.in_polygon((cx + 0.5) * side(level), (cy + 0.5) * side(level), edges, tolerance)
+        return F.struct(level.cast("int").alias("level"), cx.cast("bigint").alias("cx"), cy.cast("bigint").alias("cy"), F.when(touched(level, cx, cy), 2).when(middle, 1).otherwise(0).alias("kind"))
+
+    def span(c: str) -> Column:
+        low, high = F.array_min(f"polygon.{c}") - tolerance, F.array_max(f"polygon.{c}") + tolerance
+        return F.sequence(*(F.floor(v / side(F.col("level"))).cast("bigint") for v in (low, high)))
+
+    rows = polygons.filter(F.size("polygon") >= 3).select("polygon_id", "polygon", geo.polygon_edges(F.col("polygon")).alias("edges"), _level(F.col("polygon"), refine).alias("level"))
+    rows = rows.withColumns({"xs": span("lng"), "ys": span("lat")})
+    rows = rows.select("polygon_id", "edges", F.flatten(F.transform("xs", lambda x: F.transform("ys", lambda y: cell(F.col("level"), x, y)))).alias("cells"))
+    quarters = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)))
+    for _ in range(refine):
+        cut = lambda c: F.transform(quarters, lambda q: cell(c["level"] + 1, c["cx"] * 2 + q["i"], c["cy"] * 2 + q["j"]))
+        rows = rows.select("polygon_id", "edges", F.flatten(F.transform("cells", lambda c: F.when(c["kind"] == 2, cut(c)).otherwise(F.array(c)))).alias("cells"))
+    found = rows.select("polygon_id", "edges", F.explode(F.filter("cells", lambda c: c["kind"] > 0)).alias("c"))
+    return found.select("polygon_id", "c.level", "c.cx", "c.cy", F.when(F.col("c.kind") == 2, F.col("edges")).alias("edges"))
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, refine: int = 5, tolerance: float = 2e-10) -> DataFrame:
     """(point columns, polygon_id): the first polygon, by id, that holds each point; borders count as inside.
 
-    Both sides are keyed by grid cell, so it is an equi-join; rays are cast only for pairs of a cell whose box fits.
-    ``points`` has lng, lat and columns that identify a point (equal rows are one); ``polygons`` polygon_id, polygon
-    array<struct(lng, lat)>, of three points at least.
+    Polygons are covered by cells of several levels (``cell_cover``) and a point is looked up once for each level in
+    use, so it is an equi-join; rays are cast only in cells that a border touches. ``points`` has lng, lat and columns
+    that identify a point (equal rows are one); ``polygons`` polygon_id, polygon array<struct(lng, lat)>, of three
+    points at least.
     """
-    key = lambda c: F.floor(c / cell).cast("bigint")
-    box = polygons.filter(F.size("polygon") >= 3).withColumns({f"{c}_{n}": f(F.col(f"polygon.{c}")) for c in ("lng", "lat") for n, f in (("min", F.array_min), ("max", F.array_max))})
-    box = box.select("polygon_id", geo.polygon_edges(F.col("polygon")).alias("edges"), "lng_min", "lng_max", "lat_min", "lat_max")
-    box = box.withColumn("cx", F.explode(F.sequence(key(F.col("lng_min") - tolerance), key(F.col("lng_max") + tolerance))))
-    box = box.withColumn("cy", F.explode(F.sequence(key(F.col("lat_min") - tolerance), key(F.col("lat_max") + tolerance))))
-    near = points.withColumns({"cx": key(F.col("lng")), "cy": key(F.col("lat"))}).join(box, ["cx", "cy"])
-    near = near.filter(F.col("lng").between(F.col("lng_min") - tolerance, F.col("lng_max") + tolerance) & F.col("lat").between(F.col("lat_min") - tolerance, F.col("lat_max") + tolerance))
-    hits = near.filter(geo.in_polygon(F.col("lng"), F.col("lat"), F.col("edges"), tolerance))
+    starts = polygons.filter(F.size("polygon") >= 3).select(_level(F.col("polygon"), refine).alias("level")).distinct().collect()  # DEEPEST at most
+    levels = sorted({r.level + k for r in starts for k in range(refine + 1)})
+    key = lambda c: F.floor(F.col(c) / (F.lit(SPAN) / F.pow(F.lit(2.0), F.col("level")))).cast("bigint")
+    near = points.withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumns({"cx": key("lng"), "cy": key("lat")})
+    near = near.join(cell_cover(polygons, refine, tolerance), ["level", "cx", "cy"])
+    hits = near.filter(F.col("edges").isNull() | geo.in_polygon(F.col("lng"), F.col("lat"), F.col("edges"), tolerance))
     return hits.groupBy(*points.columns).agg(F.min("polygon_id").alias("polygon_id"))
 
 

@@ -133,13 +133,37 @@ def drop_keys(m: Column, keys: Sequence[str] = SNAPSHOT_KEYS, response_time: Col
     return F.map_concat(kept, F.create_map(F.lit("response_time"), response_time if isinstance(response_time, Column) else F.lit(response_time)))
 
 
-def time_range(df: DataFrame, city: str, start: str, end: str, ts: str = "ts", name: str = "city") -> DataFrame:
-    """Records of one city from one hour to another, both included."""
-    hour = F.date_trunc("hour", ts)
-    return df.filter((F.col(name) == city) & (hour >= F.lit(start).cast("timestamp")) & (hour <= F.lit(end).cast("timestamp")))
+def time_range(df: DataFrame, city: str, start: str, end: str, ts: str = "ts", name: str = "city", date: str | None = None) -> DataFrame:
+    """Records of one city from one hour to another, both included.
+
+    The column stays bare and the ends are constants of its type, so the filter reaches the files; with ``date``, a
+    column that the table's folders are named by, only the folders of those days are read.
+    """
+    kind = df.schema[ts].dataType
+    hour = lambda text: F.date_trunc("hour", F.lit(text).cast("timestamp"))
+    first = F.when(hour(start) == F.lit(start).cast("timestamp"), hour(start)).otherwise(hour(start) + F.expr("interval 1 hour"))
+    rows = df.filter((F.col(name) == city) & (F.col(ts) >= first.cast(kind)) & (F.col(ts) < (hour(end) + F.expr("interval 1 hour")).cast(kind)))
+    return rows if date is None else rows.filter(F.col(date).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+
+
+def in_ranges(df: DataFrame, ranges: DataFrame, ts: str = "ts", name: str = "city", date: str = "date") -> DataFrame:
+    """Records (of a table in folders by date and city) in any of the ranges (city, start, end), both ends included.
+
+    The ranges become a row per city and day, so the join is on the folders' names, and Spark reads only the folders
+    that the ranges name (dynamic partition pruning, where the ranges are few or filtered).
+    """
+    days = F.explode(F.sequence(F.col("start").cast("date"), F.col("end").cast("date")))
+    wanted = ranges.filter("start <= end").select(F.col("city").alias("_city"), "start", "end", days.alias("_date"))
+    inside = (F.col(name) == F.col("_city")) & (F.col(date) == F.col("_date")) & (F.col(ts) >= F.col("start")) & (F.col(ts) <= F.col("end"))
+    return df.join(wanted, inside, "left_semi")
 
 
 def drop_blank_rows(df: DataFrame, cells: str, n: int = 7) -> tuple[DataFrame, DataFrame]:
     """Rows of n cells of which one is not blank, and rows of other widths."""
     size = F.coalesce(F.size(cells), F.lit(-1))
     return df.filter((size == n) & F.exists(cells, lambda x: F.coalesce(F.trim(x), F.lit("")) != "")), df.filter(size != n)
+
+
+def register_functions(spark) -> None:
+    """``parse_path(path)`` for SQL texts of the session: "x,y;x,y" to an array of arrays of texts."""
+    spark.sql("create or replace temporary function parse_path(path string) returns array<array<string>> return transform(split(path, ';'), p -> split(p, ','))")

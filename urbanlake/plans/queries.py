@@ -500,7 +500,7 @@ def backfill_mapping(spark, d):
 
 @query("with e as (select *, floor(epoch(ts))::bigint as s from events), r as (select distinct s // 300 * 300 as start from e), k as (select distinct event_type as key from events) select start, key from r cross join k where not exists (select 1 from e where e.event_type = k.key and s // 300 * 300 = r.start and s - r.start <= 240)")
 def late_responses(spark, d):
-    e = t(spark, d, "events").select(F.col("event_type").alias("key"), "ts")
+    e = t(spark, d, "events").select(F.col("event_type").alias("key"), F.date_trunc("second", "ts").alias("ts"))
     start = F.timestamp_seconds((F.floor(F.unix_timestamp("ts") / 300) * 300).cast("bigint"))
     return joins.late_responses(e.select(start.alias("start")).distinct(), e, e).select(F.unix_timestamp("start").alias("start"), "key")
 
@@ -509,7 +509,7 @@ def late_responses(spark, d):
 CORNERS = ((0.0, 0.0), (0.18, 0.0), (0.18, 0.18), (0.09, 0.054), (0.0, 0.18))
 _EDGES = ", ".join(f"({a!r}::double, {b!r}::double, {c!r}::double, {e!r}::double)" for (a, b), (c, e) in zip(CORNERS, (*CORNERS[1:], CORNERS[0]), strict=True))
 EDGE = f"edge as (select n_nationkey as pid, ox + a as px, oy + b as py, ox + c as qx, oy + e as qy from (select n_nationkey, 113::double + (n_nationkey * 7 % 25) * 0.035::double as ox, 22.5::double + (n_nationkey * 11 % 25) * 0.033::double as oy from nation), (values {_EDGES}) v(a, b, c, e))"
-_INSIDE = """bool_or(abs((qx - px) * (lat - py) - (lng - px) * (qy - py)) <= 2e-10 and lng between least(px, qx) - 2e-10 and greatest(px, qx) + 2e-10 and lat between least(py, qy) - 2e-10 and greatest(py, qy) + 2e-10)
+INSIDE = """bool_or(abs((qx - px) * (lat - py) - (lng - px) * (qy - py)) <= 2e-10 and lng between least(px, qx) - 2e-10 and greatest(px, qx) + 2e-10 and lat between least(py, qy) - 2e-10 and greatest(py, qy) + 2e-10)
 or count(*) filter ((py > lat) <> (qy > lat) and lng < px + (lat - py) * (qx - px) / (qy - py)) % 2 = 1"""
 
 
@@ -520,7 +520,7 @@ def polygons(spark: SparkSession, d: str) -> DataFrame:
     return t(spark, d, "nation").select(k.cast("bigint").alias("polygon_id"), F.array(*(F.struct((x + a).alias("lng"), (y + b).alias("lat")) for a, b in CORNERS)).alias("polygon"))
 
 
-@query(f"with {PTS}, {EDGE}, held as (select id, pid from pts cross join edge group by id, pid having {_INSIDE}) select id, min(pid)::bigint as polygon_id from held group by id")
+@query(f"with {PTS}, {EDGE}, held as (select id, pid from pts cross join edge group by id, pid having {INSIDE}) select id, min(pid)::bigint as polygon_id from held group by id")
 def points_in_polygons(spark, d):
     return grids.points_in_polygons(points(spark, d).select("id", "lng", "lat"), polygons(spark, d)).select("id", "polygon_id")
 
@@ -530,7 +530,7 @@ a as (select c, y, unnest(case when x % 10000 = 0 then [x // 10000 - 1, x // 100
 b as (select c, i, unnest(case when y % 10000 = 0 then [y // 10000 - 1, y // 10000] else [y // 10000] end) as j from a),
 s as (select i, j, sum(c)::bigint as total from b group by i, j),
 corner as (select distinct i + p as ci, j + q as cj, (i + p) * 10000 / 1000000::double as lng, (j + q) * 10000 / 1000000::double as lat from s, range(2) u(p), range(2) w(q)),
-held as (select distinct ci, cj from (select ci, cj, pid from corner cross join edge group by ci, cj, pid, lng, lat having {_INSIDE}))
+held as (select distinct ci, cj from (select ci, cj, pid from corner cross join edge group by ci, cj, pid, lng, lat having {INSIDE}))
 select i, j, total, (total > 20000)::int + (total > 60000)::int as level from s where exists (select 1 from held where ci between i and i + 1 and cj between j and j + 1)""")
 def count_in_cells(spark, d):
     p = points(spark, d).select(micro(F.col("lng")).alias("x"), micro(F.col("lat")).alias("y"), F.round(F.col("count") * 100).cast("bigint").alias("count"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 GRID = "OBJECTID int, x double, y double, ok0 int, max int, max_timestamp bigint"
@@ -103,11 +103,116 @@ def read_categories(df: DataFrame, c: str) -> DataFrame:
     return df.select(F.when(F.size(parts) == 2, parts).otherwise(bad).alias("p")).select(F.col("p")[0].alias("level1"), F.explode(F.split(F.col("p")[1], "、")).alias("level2"))
 
 
-def write_daily(df: DataFrame, path: str, date: str) -> None:
-    """Append the rows to the day's JSON lines and CSV."""
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no, value) of text files: line numbers from 0 as in the file, however Spark splits it.
+
+    Lines of a split are counted first; a line's number is that of the lines before its split, plus its own place in
+    it. Only the counts, a row for each split, are joined, so no line is sorted or shuffled.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"), "value")
+    splits = lines.groupBy("file", "_at").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("file", "_at", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_before"))
+    return lines.join(splits, ["file", "_at"]).select("file", (F.col("_id") + F.col("_before")).alias("line_no"), "value")
+
+
+def _put(rows: DataFrame, path: str, parts: Sequence[str], fmt: str = "parquet") -> None:
+    """Replace the partitions that ``rows`` has, and no others."""
+    options = {"header": True} if fmt == "csv" else {}
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).options(**options).format(fmt).save(path)
+
+
+def write_daily(df: DataFrame, path: str, date: str, run: str | None = None) -> None:
+    """Append the rows to the day's JSON lines and CSV; a named run that is repeated replaces its own rows instead."""
     rows = df.withColumn("dt", F.lit(date))
-    rows.write.mode("append").partitionBy("dt").json(f"{path}/json")
-    rows.write.mode("append").partitionBy("dt").option("header", True).csv(f"{path}/csv")
+    for fmt in ("json", "csv"):
+        if run is None:
+            rows.write.mode("append").partitionBy("dt").options(**({"header": True} if fmt == "csv" else {})).format(fmt).save(f"{path}/{fmt}")
+        else:
+            _put(rows.withColumn("run", F.lit(run)), f"{path}/{fmt}", ("dt", "run"), fmt)
+
+
+def write_daily_batch(batch: DataFrame, epoch: int, path: str, ts: str) -> None:
+    """A stream's batch to the JSON lines and CSV of its rows' days; a batch that comes again replaces what it wrote before."""
+    rows = batch.withColumns({"dt": F.date_format(ts, "yyyy-MM-dd"), "run": F.lit(f"batch-{epoch}")})
+    rows.persist()
+    try:
+        for fmt in ("json", "csv"):
+            _put(rows, f"{path}/{fmt}", ("dt", "run"), fmt)
+    finally:
+        rows.unpersist()
+
+
+def daily_stream(df: DataFrame, path: str, checkpoint: str, ts: str):
+    """Write what has arrived with ``write_daily_batch`` and stop; a second run continues from the checkpoint."""
+    return df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, epoch: write_daily_batch(batch, epoch, path, ts)).trigger(availableNow=True).start()
+
+
+def read_daily(spark: SparkSession, path: str, schema: str, fmt: str) -> DataFrame:
+    """The rows of all days and runs, with ``dt``."""
+    return spark.read.schema(f"{schema}, dt string, run string").options(**({"header": True} if fmt == "csv" else {})).format(fmt).load(f"{path}/{fmt}").drop("run")
+
+
+def write_records(df: DataFrame, path: str, ts: str = "ts", city: str = "city") -> None:
+    """A table of records in folders by date and city; the days and cities of ``df`` are replaced.
+
+    Rows are dealt by folder with Spark's rebalancing, which puts small folders together and splits large ones.
+    """
+    rows = df.withColumn("date", F.to_date(ts))
+    _put(rows.hint("rebalance", "date", city), path, ("date", city))
+
+
+def read_records(spark: SparkSession, path: str, schema: str, city: str = "city") -> DataFrame:
+    return spark.read.schema(f"{schema}, date date, {city} string").parquet(path)
+
+
+#: Folders of a grid's table; centers are dealt by hash, so each has about as many.
+GRID_PARTS = 32
+
+
+def grid_part(x: str = "x", y: str = "y"):
+    return F.pmod(F.xxhash64(x, y), F.lit(GRID_PARTS)).cast("int")
+
+
+def write_grid(grid: DataFrame, path: str) -> None:
+    """The grid (x, y, ok0, max, max_timestamp) as a table in folders of centers."""
+    _put(grid.withColumn("part", grid_part()).repartition("part"), path, ("part",))
+
+
+def read_grid(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("x double, y double, ok0 int, max int, max_timestamp bigint, part int").parquet(path)
+
+
+def update_grid(spark: SparkSession, path: str, checks: DataFrame, update) -> list[int]:
+    """Apply ``update(grid, checks)`` to the folders whose centers the checks have seen, and replace those that changed.
+
+    Folders are written new and take the place of the old ones when all tasks are done (Spark's dynamic partition
+    overwrite). Folders without a change stay as they are, so the same checks a second time write nothing. Gives the
+    folders replaced.
+    """
+    seen = checks.select(grid_part().alias("part")).distinct()
+    touched = [r.part for r in seen.collect()]  # GRID_PARTS at most
+    old = read_grid(spark, path).filter(F.col("part").isin(touched))
+    new = update(old.drop("part"), checks).withColumn("part", grid_part())
+    same = ["x", "y", "ok0", "max", "max_timestamp", "part"]
+    changed = sorted(r.part for r in new.select(*same).exceptAll(old.select(*same)).select("part").distinct().collect())
+    if changed:
+        _put(new.select(*same).filter(F.col("part").isin(changed)).repartition("part"), path, ("part",))
+    return changed
+
+
+def split_and_count(df: DataFrame, good: Column, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Rows that hold ``good`` and the rest (null counts as not), and how many: {all, good, bad}.
+
+    One pass writes both, in a folder each, and Spark observes the numbers on the way.
+    """
+    seen = Observation()
+    rows = df.withColumn("_good", F.coalesce(good, F.lit(False)))
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("all"), F.count_if("_good").alias("good"))
+    rows.write.mode("overwrite").partitionBy("_good").parquet(path)
+    back = df.sparkSession.read.schema(rows.schema).parquet(path)
+    n = seen.get
+    return back.filter("_good").drop("_good"), back.filter("not _good").drop("_good"), {"all": n["all"], "good": n["good"], "bad": n["all"] - n["good"]}
 
 
 def messages(df: DataFrame, time_col: str | None = None) -> DataFrame:
