@@ -6,6 +6,7 @@ words (attribute None: any node of the tag).
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -52,19 +53,23 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.top = _Node("", ())
         self.open = [self.top]
+        self.count = Counter()  # open elements by tag, so that a stray end tag costs nothing
 
     def handle_starttag(self, tag, attrs):
         if tag in _ENDED_BY_SELF and self.open[-1].tag == tag:
             self.open.pop()
+            self.count[tag] -= 1
         node = _Node(tag, attrs)
         self.open[-1].parts.append(node)
-        if tag not in _VOID and len(self.open) < 200:
+        if tag not in _VOID:
             self.open.append(node)
+            self.count[tag] += 1
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
+        while self.count[tag]:
+            ended = self.open.pop().tag
+            self.count[ended] -= 1
+            if ended == tag:
                 break
 
     def handle_data(self, data):
