@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from urbanlake.llm import language_model
 
-STEP = language_model.STEP
+STEP, R = language_model.STEP, random.Random(8)
 
 
 def brute(rows, train, order):
@@ -40,10 +40,11 @@ def brute(rows, train, order):
             for n in range(1, order + 1):
                 c, h = counts[n][token[n]] - 1, max(1, history(token[n]) - 1)
                 p.append(2 ** ((math.floor(STEP * math.log2(c / h)) + 0.5) / STEP) if c else 0.0)
-            bins.setdefault(bucket(token), []).append([1 / (distinct + 1), *p])
+            for seen in range(order):  # where longer contexts are unseen, the weights are those of a shorter model
+                bins.setdefault(bucket(token)[:seen], []).append([1 / (distinct + 1), *p[: seen + 1]])
     start, weights = np.array([0.1] + [0.9 / order] * order), {}
     for k, p in bins.items():
-        w = start
+        w = start[: len(k) + 2] / start[: len(k) + 2].sum()
         for _ in range(200):
             share = np.array(p) * w
             new = (share / share.sum(axis=1, keepdims=True)).sum(axis=0) + 1e-3
@@ -52,13 +53,19 @@ def brute(rows, train, order):
             if done:
                 break
         weights[k] = w
+
+    def probability(t):
+        known = tuple(x for x in bucket(t) if x)
+        w = weights[known]
+        return w[0] / (distinct + 1) + sum(w[n] * counts[n].get(t[n], 0) / history(t[n]) for n in range(1, len(known) + 2))
+
+    vocabulary = [k for (k,) in counts[1]] + ["never seen"]
+    for own in R.sample([t for own in grams for t in own], 40):
+        assert sum(probability([own[n][:-1] + (v,) if n else () for n in range(order + 1)]) for v in vocabulary) == pytest.approx(1)
     out = []
     for own in grams:
         c1 = [counts[1].get(t[1], 0) for t in own]
-        score = 0.0
-        for t in own:
-            w = weights.get(bucket(t), start)
-            score += math.log10(w[0] / (distinct + 1) + sum(w[n] * counts[n].get(t[n], 0) / max(1, history(t[n])) for n in range(1, order + 1)))
+        score = sum(math.log10(probability(t)) for t in own)
         out.append((len(own), sum(c > 0 for c in c1), sum(math.log10((c + 1) / (total + distinct + 1)) for c in c1), score))
     return out, total
 
@@ -94,3 +101,18 @@ def test_no_rows_and_no_training(spark):
     assert language_model.score_texts(docs.limit(0), F.lit(True)).count() == 0
     got = language_model.score_texts(docs, F.lit(None).cast("boolean")).collect()
     assert all(x.n_known == 0 and x.train_tokens == 0 and x.score < 0 for x in got)
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_probabilities_sum_to_one(order):
+    """The model's own probabilities over all words and an unknown one, after frequent, rare and unseen contexts."""
+    model = language_model.Model(1000, 50, 30, order)
+    r = np.random.default_rng(order)
+    contexts = [np.full(400, 1000)] + [r.integers(1, 40, 400) for _ in range(order - 1)]
+    counts = [np.minimum(c, r.integers(1, 9, 400)) for c in contexts]
+    model.learn_weights(*model.histogram(counts, contexts, np.ones(400, bool)))
+    for seen in ([0] * (order - 1), [7] + [0] * (order - 2), [39] * (order - 1), [1] * (order - 1)):
+        shares = [r.multinomial(1000, np.ones(50) / 50), *(r.multinomial(h, np.ones(50) / 50) for h in seen)]
+        given = [np.append(x, 0) for x in shares]  # the last word is unknown
+        total = (10 ** model.log_p(given, [np.full(51, 1000), *(np.full(51, h) for h in seen)])).sum()
+        assert total == pytest.approx(1), seen

@@ -82,6 +82,25 @@ def test_heavy_minimisers_are_dealt_out(docs):
     assert n.sum() == len(at) and count.max() > 5000 > 500 > np.bincount(np.unique(dealt, return_inverse=True)[1], weights=n).max()
 
 
+def test_decontaminate_finds_every_allowed_number_of_substitutions(spark):
+    """Planted windows of all lengths from 5 tokens with every number of replaced tokens that 80 percent allow, and one more."""
+    r, items, texts, held = random.Random(2), [], [], {}
+    fresh = lambda n: [f"w{r.randrange(6000)}" for _ in range(n)]
+    for n in range(3, 24):
+        w = min(16, n)
+        for k in range(w - math.ceil(0.8 * w) + 2):
+            for _ in range(25):
+                item, at = fresh(n), r.randrange(n - w + 1)
+                part = item[at : at + w]
+                for j in r.sample(range(w), k):
+                    part[j] = "other" + part[j]
+                held[len(items)] = n >= 5 and k <= w - math.ceil(0.8 * w)
+                texts.append((len(items), " ".join(fresh(r.randrange(20)) + part + ["end"] + fresh(r.randrange(20)))))
+                items.append((len(items), " ".join(item)))
+    got = decontaminate.contaminated(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: r["items"] for r in got} == {i: [i] for i, ok in held.items() if ok}
+
+
 def test_decontaminate(spark, docs, empty, monkeypatch):
     t = {r.doc_id: r.text for r in docs.collect() if r.text}
     item = t[5].split()[20:60]
@@ -91,7 +110,7 @@ def test_decontaminate(spark, docs, empty, monkeypatch):
     found = lambda b: {r.doc_id: r["items"] for r in decontaminate.contaminated(docs, b).collect()}
     assert found(bench) == {5: [1], 6: [1]}
     short = bench.unionAll(spark.createDataFrame([(7, " ".join(t[4].split()[3:10])), (8, " ".join(t[5].split()[:5])), (9, "a b"), (10, " ".join(t[4].split()[3:9]) + " other")], bench.schema))
-    want = {4: [7], 5: [1, 8], 6: [1]}
+    want = {4: [7, 10], 5: [1, 8], 6: [1]}  # item 10 has six of seven tokens
     assert found(short) == want
     monkeypatch.setattr(decontaminate, "MAX_SEEDS", 0)  # seeds are shuffled
     assert found(short) == want

@@ -178,6 +178,9 @@ class Model:
     def log_p(self, counts: list[np.ndarray], contexts: list[np.ndarray]) -> np.ndarray:
         keys, at = np.unique(self.bucket(contexts), return_inverse=True)
         weights = np.stack([self.weights.get(int(k), self.default) for k in keys])[at]
+        for n, h in enumerate(contexts[1:], 2):
+            weights[h == 0, n] = 0  # an unseen context has no estimates: what is left shares its weight
+        weights = weights / weights.sum(axis=1, keepdims=True)
         p = weights[:, 0] / (self.distinct + 1)
         for n, (c, h) in enumerate(zip(counts, contexts, strict=True), 1):
             p = p + weights[:, n] * c / np.maximum(h, 1)
@@ -201,16 +204,24 @@ class Model:
             parts.insert(1, np.where(b > -511, 2.0 ** ((b + 0.5) / STEP), 0))
             rest = rest // 512
         p = np.stack(parts, axis=1)
-        for k in np.unique(rest):
-            mine, m, own = p[rest == k], n[rest == k].astype(float), self.default.copy()
-            for _ in range(200):
-                share = mine * own
-                share = (m[:, None] * share / share.sum(axis=1, keepdims=True)).sum(axis=0) + 1e-3
-                new = share / share.sum()
-                done, own = np.abs(new - own).max() < 1e-7, new
-                if done:
-                    break
-            self.weights[int(k)] = own
+        for seen in range(self.order):  # contexts of so many words have been seen, longer ones have not
+            zeros = 64 ** (self.order - 1 - seen)
+            bucket = rest // zeros * zeros
+            for k in np.unique(bucket):
+                mine = bucket == k
+                self.weights[int(k)] = np.append(self._mixed(p[mine, : seen + 2], n[mine].astype(float)), np.zeros(self.order - 1 - seen))
+
+    def _mixed(self, p: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Mixture weights of the estimates ``p`` for ``n`` held-out tokens each."""
+        own = self.default[: p.shape[1]] / self.default[: p.shape[1]].sum()
+        for _ in range(200):
+            share = p * own
+            share = (n[:, None] * share / share.sum(axis=1, keepdims=True)).sum(axis=0) + 1e-3
+            new = share / share.sum()
+            done, own = np.abs(new - own).max() < 1e-7, new
+            if done:
+                break
+        return own
 
 
 def _opened(row, model: Model):
