@@ -148,3 +148,14 @@ def test_components_and_dealt_buckets_of_embeddings(spark, monkeypatch):
     assert want >= found >= want - 2 * math.ceil(embeddings.MISS * want)
     assert [got[i].component_id for i in range(len(v))] == least.tolist() and all(r.kept == (r.vec_id == r.component_id) for r in got.values())
     assert len({r.component_id for r in got.values()}) < len(v) - 100
+
+
+def test_an_exception_that_equals_a_term_wins():
+    matcher = toxicity.Matcher([("hello", 2.0), ("bad", 1.0), ("bad", 3.0)], ["hello"])
+    assert matcher.weight(toxicity.fold("hello")) == 0.0 and matcher.weight(toxicity.fold("hello bad")) == 3.0
+
+
+def test_a_column_named_like_the_helpers_stays(spark):
+    rows = spark.createDataFrame([(1, "der die das", "de", 7, 8)], "doc_id long, text string, lang string, _found int, _found_ int")
+    got = language_id.identify(rows, language_id.learn(rows.select("doc_id", "text", "lang"), key="doc_id")).collect()
+    assert [(r._found, r._found_, r.lang_pred) for r in got] == [(7, 8, "de")]

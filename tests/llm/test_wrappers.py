@@ -97,3 +97,30 @@ def test_extra_columns_and_no_rows(spark):
     pages = spark.createDataFrame([(1, "http://h/1", "<p>a</p>", "x", "y", "z"), (1, "http://h/1", "<p>a</p>", "x", "y", "z"), (None, None, None, "", "", "")], "page_id long, url string, html string, host string, wrapper string, text string")
     assert sorted((r.page_id or 0, r.text) for r in wrappers.extract_pages(pages).collect()) == [(0, ""), (1, "a"), (1, "a")]
     assert wrappers.extract_pages(pages.filter(F.lit(False))).count() == 0
+
+
+def texts(spark, pages):
+    rows = spark.createDataFrame([(i, "http://made.example/p", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in wrappers.extract_pages(rows).collect()}
+
+
+def test_the_wrapper_decides_what_stays(spark):
+    """Every page's text is another one without the wrapper: slots before the article stay, constants around it go."""
+    body = "<p>First words of story %d.</p><p>More of it, %d times, and longer than all the rest of the page together, so that no share of the text would tell.</p>"
+    page = "<div class=x>Our paper</div><div class=y>Headline %d</div><article>" + body + "</article><div class=z>Copyright 2020 All rights reserved by us.</div>"
+    pages = [page % (k, k, k) for k in range(6)]
+    found = texts(spark, pages)
+    for k in range(6):
+        assert found[k] == f"Headline {k}\n\nFirst words of story {k}.\n\n" + "More of it, %d times, and longer than all the rest of the page together, so that no share of the text would tell." % k
+    changed = [k for k in range(6) if wrappers.main_text(wrappers.parse(pages[k]), None) != found[k]]
+    assert changed == list(range(6))
+
+
+def test_one_page_of_a_host_keeps_its_article(spark):
+    assert texts(spark, ["<div>Our paper</div><article><p>Story.</p></article>"]) == {0: "Story."}
+    assert texts(spark, ["<div>Only this</div>"]) == {0: "Only this"}
+
+
+def test_articles_of_comments_and_adverts_go(spark):
+    page = '<main class="page with-sidebar"><article class="post"><p>Story %d.</p></article><article class="comment"><p>I %d agree.</p></article><article class="ad sponsored"><p>Buy %d.</p></article></main>'
+    assert texts(spark, [page % (k, k, k) for k in range(4)]) == {k: f"Story {k}." for k in range(4)}

@@ -152,8 +152,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text", lang: str = "lan
         found, scores = shared.value.predict(s)
         return pd.DataFrame({"lang": found, "score": scores})
 
-    found = docs.withColumn("_found", F.pandas_udf(predicted, "lang string, score double")(F.col(text)))
-    return found.withColumn(lang, F.col("_found.lang")).withColumn(score, F.col("_found.score")).drop("_found")
+    both = "_found"
+    while both in docs.columns:
+        both += "_"
+    found = docs.withColumn(both, F.pandas_udf(predicted, "lang string, score double")(F.col(text)))
+    return found.withColumn(lang, F.col(f"{both}.lang")).withColumn(score, F.col(f"{both}.score")).drop(both)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

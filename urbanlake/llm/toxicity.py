@@ -65,11 +65,13 @@ class Matcher:
     def _built(self):
         if self.automaton is None and (self.entries or self.exceptions):
             self.automaton = ahocorasick.Automaton()
-            for phrase in self.exceptions:
-                self.automaton.add_word(phrase, (phrase, None))
+            found: dict[str, list] = {phrase: [phrase, None, True] for phrase in self.exceptions}  # pattern, weight, exception
             for term, weight in self.entries:
                 pattern = f" {term[:-1]}" if term.endswith("*") else f" {term} "
-                self.automaton.add_word(pattern, (pattern, weight))
+                known = found.setdefault(pattern, [pattern, None, False])
+                known[1] = weight if known[1] is None else max(known[1], weight)
+            for pattern, known in found.items():
+                self.automaton.add_word(pattern, tuple(known))
             self.automaton.make_automaton()
         return self.automaton
 
@@ -80,11 +82,11 @@ class Matcher:
             return 0.0
         best: dict[int, float] = {}
         begins, ends = [], []  # stretches of exception phrases, ascending and apart
-        for end, (pattern, weight) in automaton.iter(folded):
+        for end, (pattern, weight, exception) in automaton.iter(folded):
             at = end - len(pattern) + 1
             if weight is not None:
                 best[at] = max(best.get(at, 0.0), weight)
-            else:
+            if exception:
                 while begins and begins[-1] >= at:
                     begins.pop(), ends.pop()
                 if begins and ends[-1] >= at:

@@ -12,10 +12,9 @@ host, and no task holds a host's pages.
 A page is read with its host's wrapper: its items are matched with the wrapper's, stream by stream, and its
 main text is the text of the content items. Menus, headers, footers, sidebars, notices, adverts, forms, reader
 comments and code never are. Slots, optional and repeated groups of blocks whose text is mostly outside links
-are, except constants that all of several different pages repeat (a constant keeps the hashes of up to three
-different pages, so copies of one page count once). Where article (or main) elements hold at
-least as much text as the content items outside them, their whole inside is the main text; articles that hold
-less (teasers) are blocks like others.
+are, except constants that all of several different pages repeat (a text keeps the hashes of up to three
+different pages, so copies of one page count once). Article (or main) elements are blocks that keep their constants;
+beside them only slots of several pages are content.
 """
 
 from __future__ import annotations
@@ -61,7 +60,7 @@ class Item:
         self.role = key.split("|")[1] if "|" in key else ""
         self.optional = self.repeated = False
         self.size = len(text) if text else 0
-        self.pages = ()  # of a constant: hashes of different pages that have it, SEVERAL at most
+        self.pages = ()  # of a text: hashes of different pages that have it, SEVERAL at most
 
 
 def parse(html: str) -> Item:
@@ -147,8 +146,10 @@ def parse(html: str) -> Item:
             kind = " ".join(re.sub(r"[\d|]+", "", values.get("class", "").lower()).split())
             if "hidden" in values or values.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", values.get("style", "")):
                 named = "hidden"
-            elif tag not in ("article", "main", "body", "html"):
-                role = ROLES.search(" ".join(values.get(k, "") for k in ("class", "id", "role")))
+            elif tag not in ("body", "html"):
+                names = " ".join(values.get(k, "") for k in ("class", "id", "role"))
+                # Of an article a whole name tells its role, as others speak of its surroundings ("with-sidebar").
+                role = next(filter(None, map(ROLES.fullmatch, names.split())), None) if tag in ("article", "main") else ROLES.search(names)
                 named = role[1].lower() if role else ""
         block = Item(f"{tag}|{named}|{kind}" if named or kind else tag)
         stack[-1].items.append(block)
@@ -207,8 +208,7 @@ def _merge(a: Item, b: Item) -> Item:
     new.optional, new.repeated = a.optional or b.optional, a.repeated or b.repeated
     new.size, new.links = a.size + b.size, a.links + b.links
     new.text = a.text if a.text == b.text else None
-    if new.text is not None:
-        new.pages = tuple(sorted({*a.pages, *b.pages})[:SEVERAL])
+    new.pages = tuple(sorted({*a.pages, *b.pages})[:SEVERAL])
     new.items = align(a.items, b.items)
     return new
 
@@ -345,8 +345,14 @@ def matched(items: list[Item], own: list[Item]) -> list[Item | None]:
 
 
 def main_text(page: Item, wrapper: Item | None) -> str:
-    """Texts of the content items, in page order, joined by empty lines."""
-    found: list[tuple[str, bool, bool]] = []  # text, in an article, content by the wrapper
+    """Texts of the content items, in page order, joined by empty lines.
+
+    The page is matched with its host's wrapper, which decides: constants of several different pages go, groups that
+    are mostly links go, and slots that several pages fill with texts of their own stay, also where they stand before
+    or after an article. An article's constants stay, as near copies of an article share most of its text. What the
+    wrapper has met on too few pages to tell is content in an article, or where the page has none.
+    """
+    found: list[tuple[str, bool, bool]] = []  # text, in an article, a slot of several pages
 
     def has_article_inside(item: Item) -> bool:
         todo = [item]
@@ -358,22 +364,23 @@ def main_text(page: Item, wrapper: Item | None) -> str:
                     todo.append(x)
         return False
 
-    def walk(item: Item, own: Item | None, article: bool, content: bool):
+    def walk(item: Item, own: Item | None, article: bool):
         for x, model in zip(item.items, matched(item.items, own.items if own else []), strict=True):
             if x.key == TEXT:
-                constant = model is not None and model.text == text_hash(x.text) and len(model.pages) >= SEVERAL and not model.optional
-                found.append((x.text, article, content and not constant and 2 * x.links <= len(x.text)))
+                several = model is not None and len(model.pages) >= SEVERAL
+                constant = several and model.text == text_hash(x.text) and not model.optional
+                if (article or not constant) and 2 * x.links <= len(x.text):
+                    found.append((x.text, article, several and model.text is None))
             elif not boilerplate(x):
                 told = model or x
                 named = is_a(x, "article") or not article and is_a(x, "main") and not has_article_inside(x)
-                walk(x, model, article or named, content and 2 * told.links <= told.size)
+                if 2 * told.links <= told.size:
+                    walk(x, model, article or named)
 
     measured(page)
-    walk(page, wrapper, False, True)
-    inside = sum(len(text) for text, article, _ in found if article)
-    outside = sum(len(text) for text, article, content in found if content and not article)
-    whole = inside > 0 and inside >= outside
-    return "\n\n".join(text for text, article, content in found if (article if whole else content))
+    walk(page, wrapper, False)
+    articles = any(article for _, article, _ in found)
+    return "\n\n".join(text for text, article, slot in found if article or slot or not articles)
 
 
 def host_of(url):
