@@ -116,12 +116,13 @@ def _level(polygon: Column, refine: int) -> Column:
     return F.greatest(F.lit(0), F.least(F.floor(F.log2(F.lit(SPAN) / width)).cast("int"), F.lit(DEEPEST - refine)))
 
 
-def cell_cover(polygons: DataFrame, refine: int = 5, tolerance: float = 2e-10) -> DataFrame:
+def cell_cover(polygons: DataFrame, refine: int = 5, tolerance: float = 2e-10, cell: float = 0.0) -> DataFrame:
     """(polygon_id, level, cx, cy, edges): cells that hold every point of a polygon; cells wholly inside have null edges.
 
     A polygon starts with the cells of its own size that its box touches. Cells that an edge touches are cut into
     four, ``refine`` times; those without an edge are inside or outside as a whole. So the number of cells depends on a
-    polygon's shape, not on its extent: 4 ** (refine + 1) at most, and about a hundred for a simple one.
+    polygon's shape, not on its extent: 4 ** (refine + 1) at most, and about a hundred for a simple one. Cells no wider
+    than ``cell`` are not cut.
     """
     edges, side = F.col("edges"), lambda level: F.lit(SPAN) / F.pow(F.lit(2.0), level)
 
@@ -137,7 +138,7 @@ def cell_cover(polygons: DataFrame, refine: int = 5, tolerance: float = 2e-10) -
 
         return F.exists(edges, meets)
 
-    def cell(level: Column, cx: Column, cy: Column) -> Column:
+    def placed(level: Column, cx: Column, cy: Column) -> Column:
         """kind: 2 at the border, 1 inside, 0 outside."""
         middle = geo.in_polygon((cx + 0.5) * side(level), (cy + 0.5) * side(level), edges, tolerance)
         return F.struct(level.cast("int").alias("level"), cx.cast("bigint").alias("cx"), cy.cast("bigint").alias("cy"), F.when(touched(level, cx, cy), 2).when(middle, 1).otherwise(0).alias("kind"))
@@ -148,16 +149,16 @@ def cell_cover(polygons: DataFrame, refine: int = 5, tolerance: float = 2e-10) -
 
     rows = polygons.filter(F.size("polygon") >= 3).select("polygon_id", "polygon", geo.polygon_edges(F.col("polygon")).alias("edges"), _level(F.col("polygon"), refine).alias("level"))
     rows = rows.withColumns({"xs": span("lng"), "ys": span("lat")})
-    rows = rows.select("polygon_id", "edges", F.flatten(F.transform("xs", lambda x: F.transform("ys", lambda y: cell(F.col("level"), x, y)))).alias("cells"))
+    rows = rows.select("polygon_id", "edges", F.flatten(F.transform("xs", lambda x: F.transform("ys", lambda y: placed(F.col("level"), x, y)))).alias("cells"))
     quarters = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)))
     for _ in range(refine):
-        cut = lambda c: F.transform(quarters, lambda q: cell(c["level"] + 1, c["cx"] * 2 + q["i"], c["cy"] * 2 + q["j"]))
-        rows = rows.select("polygon_id", "edges", F.flatten(F.transform("cells", lambda c: F.when(c["kind"] == 2, cut(c)).otherwise(F.array(c)))).alias("cells"))
+        cut = lambda c: F.transform(quarters, lambda q: placed(c["level"] + 1, c["cx"] * 2 + q["i"], c["cy"] * 2 + q["j"]))
+        rows = rows.select("polygon_id", "edges", F.flatten(F.transform("cells", lambda c: F.when((c["kind"] == 2) & (side(c["level"]) > cell), cut(c)).otherwise(F.array(c)))).alias("cells"))
     found = rows.select("polygon_id", "edges", F.explode(F.filter("cells", lambda c: c["kind"] > 0)).alias("c"))
     return found.select("polygon_id", "c.level", "c.cx", "c.cy", F.when(F.col("c.kind") == 2, F.col("edges")).alias("edges"))
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, refine: int = 5, tolerance: float = 2e-10) -> DataFrame:
+def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float = 0.0, tolerance: float = 2e-10, refine: int = 5) -> DataFrame:
     """(point columns, polygon_id): the first polygon, by id, that holds each point; borders count as inside.
 
     Polygons are covered by cells of several levels (``cell_cover``) and a point is looked up once for each level in
@@ -169,7 +170,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, refine: int = 5,
     levels = sorted({r.level + k for r in starts for k in range(refine + 1)})
     key = lambda c: F.floor(F.col(c) / (F.lit(SPAN) / F.pow(F.lit(2.0), F.col("level")))).cast("bigint")
     near = points.withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumns({"cx": key("lng"), "cy": key("lat")})
-    near = near.join(cell_cover(polygons, refine, tolerance), ["level", "cx", "cy"])
+    near = near.join(cell_cover(polygons, refine, tolerance, cell), ["level", "cx", "cy"])
     hits = near.filter(F.col("edges").isNull() | geo.in_polygon(F.col("lng"), F.col("lat"), F.col("edges"), tolerance))
     return hits.groupBy(*points.columns).agg(F.min("polygon_id").alias("polygon_id"))
 
