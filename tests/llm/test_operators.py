@@ -164,7 +164,7 @@ def test_embeddings(spark):
     assert embeddings.linked_vectors(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("parts, pairs", [(2, 250), (3, 100)])
+@pytest.mark.parametrize("parts, pairs", [(2, 250), (3, 100), (4, 30)])
 def test_embeddings_with_long_codes(spark, monkeypatch, parts, pairs):
     monkeypatch.setattr(embeddings, "BUCKET_ROWS", 2 * pairs / 128**parts * 1.01)
     g = np.random.default_rng(parts)

@@ -112,12 +112,17 @@ def _unit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _coded(frames: Iterator[pd.DataFrame], parts: int, by_bits: dict[int, int]) -> Iterator[pd.DataFrame]:
-    """Add the vectors' length, their stored and probed codes of all tables, and all of these as bytes."""
+    """Add the vectors' length, their stored and probed codes of all tables, and all of these as bytes, table by table.
+
+    The bytes take four a code where that holds every code, else eight.
+    """
     for frame in frames:
         for length, own in frame.groupby(frame["q"].map(len)):
             x = np.frombuffer(b"".join(own["q"]), np.int16).reshape(len(own), -1) * own["scale"].to_numpy()[:, None]
-            stored, probed = codes(x, by_bits[max(1, int(x.shape[1] - 1).bit_length())], parts)
-            where = [stored[i].tobytes() + probed[i].tobytes() for i in range(len(own))]
+            bits = max(1, int(x.shape[1] - 1).bit_length())
+            stored, probed = codes(x, by_bits[bits], parts)
+            pairs = np.stack((stored, probed), axis=2).astype(np.uint32 if (bits + 1) * parts <= 32 else np.int64)
+            where = [pairs[i].tobytes() for i in range(len(own))]
             yield own.assign(length=length, stored=list(stored), probed=list(probed), codes=where)
 
 
@@ -130,7 +135,8 @@ def _block_links(frame: pd.DataFrame, least: float) -> pd.DataFrame:
 
     def part(own):
         x = np.frombuffer(b"".join(own["q"]), np.int16).reshape(len(own), -1) * own["scale"].to_numpy()[:, None]
-        c = np.frombuffer(b"".join(own["codes"]), np.int64).reshape(len(own), 2, -1)
+        wide = len(own) and len(own["codes"].iloc[0]) > 8 * (t + 1)
+        c = np.frombuffer(b"".join(own["codes"]), np.int64 if wide else np.uint32).reshape(len(own), t + 1, 2)
         return x, c, own["error"].to_numpy(), own["id"].to_numpy(np.int64), own["n"].to_numpy(np.int64), own["stored"].to_numpy(bool)
 
     left = part(frame[frame["side"] == 0])
@@ -158,7 +164,7 @@ def _block_links(frame: pd.DataFrame, least: float) -> pd.DataFrame:
             keep &= ix[i] < iy[j]
         i, j = i[keep], j[keep]
         # not where an earlier table has found the pair already, and once where it meets twice in this one
-        px, qx, py, qy = cx[i, 0], cx[i, 1], cy[j, 0], cy[j, 1]
+        px, qx, py, qy = cx[i, :, 0], cx[i, :, 1], cy[j, :, 0], cy[j, :, 1]
         met = (px == py) | (px == qy) | (qx == py)
         twice = ~(sx[i] & sy[j]) & ((px[:, t] == py[:, t]) | (px[:, t] == qy[:, t]) & (qx[:, t] == py[:, t]) & (sx[i] == (ix[i] < iy[j])))
         fresh = ~met[:, :t].any(axis=1) & ~twice
@@ -235,8 +241,9 @@ def linked_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embed
     coded = written(reps.select("label", "id", "n", "q", "scale", "error").mapInPandas(lambda it: _coded(it, parts, by_bits), kept), "coded")
 
     def entries(*columns: str) -> DataFrame:
-        """A row for every table and stored code, and one for every probed code that differs."""
-        own = coded.select("*", F.posexplode(F.arrays_zip("stored", "probed")).alias("t", "code")).select("label", "length", "t", "code", *columns)
+        """A row for every table and stored code, and one for every probed code that differs; ``codes`` are those up to this table."""
+        own = coded.select("*", F.posexplode(F.arrays_zip("stored", "probed")).alias("t", "code"))
+        own = own.withColumn("codes", F.expr("substring(codes, 1, (t + 1) * int(length(codes) div size(stored)))")).select("label", "length", "t", "code", *columns)
         both = F.explode(F.array(F.struct(F.col("code.stored").alias("code"), F.lit(True).alias("stored")), F.struct(F.col("code.probed").alias("code"), F.lit(False).alias("stored"))))
         found = own.withColumn("at", both).filter("at.stored or code.stored <> code.probed")
         return found.select("label", "length", "t", "at.code", "at.stored", *columns)
