@@ -64,6 +64,16 @@ def test_languages_of_repeated_texts_are_learned(spark):
     assert language_id.learn(same, max_rows=1, key="doc_id").languages == ["de"]
 
 
+def test_characters_of_the_sample_are_bounded(spark):
+    rows = [(i, f"eins zwei drei {i:04d}", "de") for i in range(2000)] + [(5000 + i, "one two " * (1 + 5000 * (i == 3)), "en") for i in range(50)] + [(9000, "uno " * 9000, "es")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for limit in (300, 6000, 60_000):
+        got = [(r.text, r.lang) for r in language_id.sampled(docs, 10_000, "doc_id", limit).collect()]
+        chars = {x: sum(len(t) for t, y in got if y == x) for x in ("de", "en", "es")}
+        assert 0 < chars["de"] < 1.5 * limit / 3 and 0 < chars["en"] < 1.5 * limit / 3 and chars["es"] == 36_000  # its only text
+    assert language_id.learn(docs, key="doc_id", max_chars=6000).predict(["zwei drei", "two one", "uno"])[0] == ["de", "en", "es"]
+
+
 def test_language_scores_equal_brute_force(spark):
     rows = [(" ".join(R.choices(VOCAB[k * 20 : k * 20 + 60], k=30)), f"l{k}") for k in range(3) for _ in range(12)]
     model = language_id.learn(spark.createDataFrame(rows, "text string, lang string"))

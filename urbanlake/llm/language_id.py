@@ -4,9 +4,12 @@ A known word adds the logarithm of its frequency in each language. An unseen wor
 ``<word>`` through its character n-grams: of the longest length, down from 5, at which any n-gram is
 known, the mean of the known ones' logarithms is added. The score is the posterior of the best language.
 
-The tables are a classifier fitted on a bounded sample of labelled rows: about ``max_rows`` texts a language, chosen
-by a hash of key and text, and one at least. All that the sample holds twice is known;
-what it holds once is unseen and backs off (n-grams of up to three letters are known from one occurrence).
+The tables are a classifier fitted on a bounded sample of labelled rows: about ``max_rows`` texts a language and
+``max_chars`` characters in all, chosen by a hash of key and text, and one text a language at least. All that the
+sample holds twice is known; what it holds once is unseen and backs off (n-grams of up to three letters are known from
+one occurrence). A sample of c characters has at most c words and c + 2 n-grams of a length and word, so the
+tables that go to the driver and to every task are bounded by ``max_chars``, whatever the texts' lengths and the number
+of languages; texts chosen as the only one of a language come on top of it.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pyspark.sql import functions as F
 from .store import crc_part, small_batches, table, written
 
 LONGEST = 5
+#: Characters of the texts that a model is learned from.
+MAX_CHARS = 32_000_000
 #: A run of letters of one word.
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -105,19 +110,25 @@ def _cut_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["lang", "term", "n"])
 
 
-def sampled(rows: DataFrame, max_rows: int, key: str | None = None) -> DataFrame:
-    """(text, lang) of about ``max_rows`` rows a language, chosen by a hash of key and text, and of one row at least."""
+def sampled(rows: DataFrame, max_rows: int, key: str | None = None, max_chars: int = MAX_CHARS) -> DataFrame:
+    """(text, lang) of about ``max_rows`` rows a language, chosen by a hash of key and text, and of one row at least.
+
+    Each language has an equal part of ``max_chars`` characters; one whose rows would exceed it gets fewer rows, and
+    texts longer than its part are not drawn.
+    """
     hashed = rows.withColumn("h", F.xxhash64(key, "text") if key else F.xxhash64("text")).filter("lang is not null and text is not null").select("text", "lang", "h")
-    sizes = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(F.pmod("h", F.lit(1 << 30))).alias("least"))
-    share = F.least(F.lit(1.0), F.lit(max_rows) / F.col("n")) * (1 << 30)
-    chosen = hashed.join(sizes, "lang").filter(F.pmod("h", F.lit(1 << 30)) < share).select("text", "lang")
-    missing = hashed.join(sizes.filter(F.col("least") >= share).select("lang"), "lang").groupBy("lang").agg(F.min_by("text", "h").alias("text"))
+    part = max_chars / max(1, rows.select("lang").distinct().count())
+    fits = F.length("text") <= F.lit(part)
+    sizes = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"), F.min(F.when(fits, F.pmod("h", F.lit(1 << 30)))).alias("least"))
+    share = F.least(F.lit(1.0), F.lit(max_rows) / F.col("n"), F.lit(part) / F.greatest("chars", F.lit(1))) * (1 << 30)
+    chosen = hashed.join(sizes, "lang").filter((F.pmod("h", F.lit(1 << 30)) < share) & fits).select("text", "lang")
+    missing = hashed.join(sizes.filter(F.coalesce(F.col("least") >= share, F.lit(True))).select("lang"), "lang").groupBy("lang").agg(F.min_by("text", F.struct(~fits, "h")).alias("text"))
     return chosen.unionByName(missing)
 
 
-def learn(rows: DataFrame, max_rows: int = 2_000, key: str | None = None) -> Model:
+def learn(rows: DataFrame, max_rows: int = 2_000, key: str | None = None, max_chars: int = MAX_CHARS) -> Model:
     """Learn from (text, lang) rows; rows without either are ignored. ``key`` names a column that tells equal texts apart in sampling."""
-    chosen = sampled(rows, max_rows, key)
+    chosen = sampled(rows, max_rows, key, max_chars)
     words = written(chosen.select("lang", "text").mapInPandas(_counted, "lang string, term string, n long").groupBy("lang", "term").agg(F.sum("n").alias("n")), "words")
     spread = words.repartition(1 + words.count() // 50_000)
     parts = spread.mapInPandas(_cut_up, "lang string, term string, n long").groupBy("lang", "term").agg(F.sum("n").alias("n")).withColumn("kind", F.length("term"))
