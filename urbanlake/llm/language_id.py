@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import crc_part, small_batches, table, written
+from .store import BROADCAST_ROWS, crc_part, small_batches, table, written
 
 LONGEST = 5
 #: Characters of the texts that a model is learned from.
@@ -121,9 +121,12 @@ def sampled(rows: DataFrame, max_rows: int, key: str | None = None, max_chars: i
     fits = F.length("text") <= F.lit(part)
     sizes = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"), F.min(F.when(fits, F.pmod("h", F.lit(1 << 30)))).alias("least"))
     share = F.least(F.lit(1.0), F.lit(max_rows) / F.col("n"), F.lit(part) / F.greatest("chars", F.lit(1))) * (1 << 30)
-    chosen = hashed.join(sizes, "lang").filter((F.pmod("h", F.lit(1 << 30)) < share) & fits).select("text", "lang")
-    missing = hashed.join(sizes.filter(F.coalesce(F.col("least") >= share, F.lit(True))).select("lang"), "lang").groupBy("lang").agg(F.min_by("text", F.struct(~fits, "h")).alias("text"))
-    return chosen.unionByName(missing)
+    sizes = written(sizes.select("lang", "least", share.alias("share")), "sizes")
+    few = sizes.count() <= BROADCAST_ROWS  # a row a language: the texts needn't be shuffled
+    of = lambda languages: hashed.join(F.broadcast(languages) if few else languages, "lang")
+    chosen = of(sizes).filter((F.pmod("h", F.lit(1 << 30)) < F.col("share")) & fits).select("text", "lang")
+    missing = of(sizes.filter("coalesce(least >= share, true)").select("lang")).groupBy("lang").agg(F.min_by("text", F.struct(~fits, "h")).alias("text"))
+    return chosen.unionByName(missing).repartition(8)
 
 
 def learn(rows: DataFrame, max_rows: int = 2_000, key: str | None = None, max_chars: int = MAX_CHARS) -> Model:
