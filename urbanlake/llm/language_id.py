@@ -7,7 +7,7 @@ known, the mean of the known ones' logarithms is added. The score is the posteri
 The tables are a classifier fitted on a bounded sample of labelled rows: about ``max_rows`` texts a language and
 ``max_chars`` characters in all, chosen by a hash of key and text, and one text a language at least. All that the
 sample holds twice is known; what it holds once is unseen and backs off (n-grams of up to three letters are known from
-one occurrence). A sample of c characters has at most c words and c + 2 n-grams of a length and word, so the
+one occurrence). A sample of c characters has at most c words and 3 c n-grams of a length (a word is marked at both ends), so the
 tables that go to the driver and to every task are bounded by ``max_chars``, whatever the texts' lengths and the number
 of languages; texts chosen as the only one of a language come on top of it.
 """
