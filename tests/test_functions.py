@@ -107,6 +107,25 @@ def test_geometry(spark):
     assert abs(area / side**2 - 1) < 1e-3
 
 
+def test_cut_polyline_of_long_paths(spark):
+    """Paths of thousands of segments, null paths and conditions, counts that are no numbers: against brute force."""
+    n = 4000
+    rows = [(";".join(f"{i}.5,{i}.25" for i in range(2 * n)), [("s", str(i % 4)) for i in range(n)]), (None, [("a", "1")]), ("1,2", None), ("1,2;3,4;5,6", [("a", "x"), ("b", None), ("c", "2")]), ("", [])]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, path string, tc array<struct<status:string, geo_cnt:string>>")
+
+    def cut(path, conditions):
+        at, out = 0, []
+        for status, count in conditions:
+            k = int(count) if (count or "").isdigit() else 0
+            out.append((status, None if path is None else ";".join(path.split(";")[at : at + k + 1])))
+            at += k
+        return out
+
+    got = {r.id: r.x for r in df.select("id", shape.cut_polyline(F.col("path"), F.col("tc")).alias("x")).collect()}
+    assert got[2] is None
+    assert all([tuple(s) for s in got[i]] == cut(*rows[i]) for i in (0, 1, 3, 4))
+
+
 def test_cut_polyline_overruns(spark):
     row = "path string, tc array<struct<status:string, geo_cnt:string>>"
     df = spark.createDataFrame([("a;b;c", [("1", "1"), ("2", "5")]), ("a", []), ("a;b", [("1", None)])], row)

@@ -43,6 +43,7 @@ def _waves(v: Column, terms: tuple) -> Column:
     return sum((a * F.sin(v * (math.pi * f)) for a, f in terms), F.lit(0.0)) * 2.0 / 3.0
 
 
+# The published coefficients of the offset (amplitude and frequency of each wave; terms of the polynomials).
 def _offset(lng: Column, lat: Column) -> tuple[Column, Column]:
     x, y = lng - 105.0, lat - 35.0
     fast = _waves(x, ((20.0, 6.0), (20.0, 2.0)))
@@ -85,7 +86,7 @@ def square_around(x: Column, y: Column, edge: float) -> Column:
 
 def traffic_square(x: Column, y: Column) -> Column:
     """The fixed box of the traffic requests."""
-    dx, dy = 0.0292768, 0.027027027
+    dx, dy = 0.0292768, 0.027027027  # fixed values
     return F.struct((x - dx).alias("lng_min"), (y - dy).alias("lat_min"), (x + dx).alias("lng_max"), (y + dy).alias("lat_max"))
 
 

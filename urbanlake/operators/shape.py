@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,10 +10,12 @@ from pyspark.sql import types as T
 
 from ..functions import geo
 
-# Field names of the messages of provider A and provider B, and bulky keys of an air quality snapshot.
+# Field names of the messages of provider A and provider B, bulky keys of an air quality snapshot,
+# and words that mark a row of headings or totals.
 ROUTE_A = "preset_route string, duration string, selected_path_steps array<struct<duration:string, tmcs:array<struct<status:string, polyline:string>>>>, url string"
 ROUTE_B = "preset_route string, duration string, selected_path_steps array<struct<duration:string, path:string, traffic_condition:array<struct<status:string, geo_cnt:string>>>>, url string"
 SNAPSHOT_KEYS = ("localCityAir", "airDataTotal", "waterRealTimeList", "waterWeekList", "waterDataTotal")
+TOTAL_WORDS = ("日期", "合计", "", "名称", "--")
 
 
 def flatten_message(df: DataFrame, schema: str, value: str = "value", drop: Sequence[str] = ("url",), rename: Mapping[str, str] | None = None) -> DataFrame:
@@ -76,7 +78,7 @@ def reject_malformed(df: DataFrame, c: str, sep: str, n: int) -> tuple[DataFrame
     return df.filter(good), df.filter(~good)
 
 
-def drop_total_rows(df: DataFrame, columns: Sequence[str], words: Sequence[str] = ("日期", "合计", "", "名称", "--")) -> DataFrame:
+def drop_total_rows(df: DataFrame, columns: Sequence[str], words: Sequence[str] = TOTAL_WORDS) -> DataFrame:
     for c in columns:
         df = df.filter(~F.coalesce(F.col(c), F.lit("")).isin(list(words)))
     return df
@@ -103,17 +105,27 @@ def explode_steps(df: DataFrame, segments: str) -> DataFrame:
     return steps.withColumn("segment", F.explode(f"step.{segments}"))
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also where the use is inside a function over an array."""
+    return F.transform(F.array(value), use)[0]
+
+
 def cut_polyline(path: Column, conditions: Column) -> Column:
-    """array<struct(status, polyline)>: segment i has geo_cnt + 1 points and shares its ends with its neighbours."""
-    points = F.split(path, ";")
+    """array<struct(status, polyline)>: segment i has geo_cnt + 1 points and shares its ends with its neighbours.
+
+    The path is split once and only the numbers of the first points are summed along the segments.
+    """
+    counts = F.transform(conditions, lambda x: F.coalesce(x["geo_cnt"].try_cast("int"), F.lit(0)))
+    starts = F.aggregate(counts, F.array(F.lit(0)), lambda s, n: F.array_append(s, F.element_at(s, -1) + n))
+
+    def cut(points: Column, at: Column) -> Column:
+        def piece(x: Column, i: Column) -> Column:
+            own = F.slice(points, F.get(at, i) + 1, F.get(at, i + 1) - F.get(at, i) + 1)
+            return F.struct(x["status"].alias("status"), F.array_join(own, ";").alias("polyline"))
 
-    def add(state: Column, x: Column) -> Column:
-        n = F.coalesce(x["geo_cnt"].try_cast("int"), F.lit(0))
-        piece = F.struct(x["status"].alias("status"), F.array_join(F.slice(points, state["at"] + 1, n + 1), ";").alias("polyline"))
-        return F.struct((state["at"] + n).alias("at"), F.array_append(state["out"], piece).alias("out"))
+        return F.transform(conditions, piece)
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<status:string, polyline:string>>").alias("out"))
-    return F.aggregate(conditions, start, add, lambda state: state["out"])
+    return _with(F.split(path, ";"), lambda points: _with(starts, lambda at: cut(points, at)))
 
 
 def heat_points(df: DataFrame, box: Sequence[float] | None = None) -> DataFrame:
