@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from urbanlake.llm import embeddings, language_id, near_dup, substrings, toxicity
+from urbanlake.llm import embeddings, language_id, near_dup, substrings, toxicity, warc
 
 R = random.Random(11)
 VOCAB = [f"v{i}" for i in range(900)]
@@ -169,3 +169,31 @@ def test_a_column_named_like_the_helpers_stays(spark):
     rows = spark.createDataFrame([(1, "der die das", "de", 7, 8)], "doc_id long, text string, lang string, _found int, _found_ int")
     got = language_id.identify(rows, language_id.learn(rows.select("doc_id", "text", "lang"), key="doc_id")).collect()
     assert [(r._found, r._found_, r.lang_pred) for r in got] == [(7, 8, "de")]
+
+
+def test_embeddings_of_null_and_repeated_ids(spark):
+    a, b, c = [1.0, 0.0, 0.1, 0.0], [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
+    rows = [(1, a), (2, b), (2, b), (3, c), (None, a), (None, c), (4, c), (4, a)]
+    df = spark.createDataFrame([(i, v, "x", "y", 1) for i, v in rows], "vec_id long, embedding array<double>, label string, id string, n int")
+    got = sorted(((r.vec_id or 0), r.n_links, r.component_id or 0, r.kept) for r in embeddings.linked_vectors(df).collect())
+    # 1, 2 and 4's second vector link; 3 and 4's first vector link; id 4 has the most links that one of its vectors has
+    assert got == [(0, 0, 0, True)] * 2 + [(1, 2, 1, True), (2, 2, 1, False), (2, 2, 1, False), (3, 1, 3, True), (4, 2, 1, False), (4, 2, 1, False)]
+
+
+def test_warc_of_null_ids_equal_rows_and_clashing_columns(spark, tmp_path):
+    rows = [(1, "http://a", "same"), (1, "http://a", "same"), (None, "http://b", "same"), (None, "http://c", "own"), (2, None, None), (3, "u" * 5000, "x" * 3_000_000), (4, "http://d", "sam")]
+    df = spark.createDataFrame([(*r, "s", 9, "o", b"p") for r in rows], "page_id long, url string, html string, sha string, payload_length int, owner string, payload binary")
+    warc.write_pages(df, f"file://{tmp_path}/w")
+    got = sorted((r.record_id, r.record_type, r.refers_to or "", r.payload_length, r.payload_ok) for r in warc.read_warc(spark, f"file://{tmp_path}/w").collect())
+    assert got == sorted([
+        ("urn:page:1", "response", "", 4, True), ("urn:page:1", "response", "", 4, True), ("urn:page:null", "revisit", "urn:page:1", 4, None), ("urn:page:null", "response", "", 3, True),
+        ("urn:page:2", "response", "", 0, True), ("urn:page:3", "response", "", 3_000_000, True), ("urn:page:4", "response", "", 3, True),
+    ], key=lambda r: r[:4])
+    long = [r.target_uri for r in warc.read_warc(spark, f"file://{tmp_path}/w").filter("record_id = 'urn:page:3'").collect()]
+    assert long == ["u" * 5000]
+
+
+def test_warc_of_an_empty_table(spark, tmp_path):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    warc.write_pages(none, f"file://{tmp_path}/w")
+    assert warc.read_warc(spark, f"file://{tmp_path}/w").count() == 0

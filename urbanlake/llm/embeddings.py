@@ -219,7 +219,7 @@ def linked_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embed
     non-finite components and null labels link with nothing; vectors of different lengths don't link.
     Rows with a null id are left out of linking; rows that repeat an id and its vector count as one, with other
     vectors the id has the most links that any has. Vectors of any length are taken whole; no rows give none. Other columns
-    are ignored, whatever their names.
+    are ignored, whatever their names. Ids are whole numbers, or texts of them; any other id is an error under ANSI mode.
     """
     small_batches(rows.sparkSession, 2000)
     base = rows.select(F.col(vec_id).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vector).alias("v"))

@@ -256,7 +256,8 @@ def score_texts(docs: DataFrame, train, doc_id: str = "doc_id", text: str = "tex
     are an end alone. A null condition is no training row; a null id stays null; rows that repeat an id or a
     text count and are scored one by one. Texts of any length stay whole (a text longer than a block is one
     block). No rows give none; without training rows every token is unknown. Other columns are ignored.
-    ``order`` is the length of the longest n-gram.
+    ``order`` is the length of the longest n-gram. Ids are whole numbers, or texts of them; any other id is an
+    error under ANSI mode.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     buckets = 1 + int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES

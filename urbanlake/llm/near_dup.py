@@ -197,7 +197,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links, kept marks it. Null, empty and wordless texts have an empty set and are linked with nothing.
     A row with a null id keeps its size, has a null component and is kept. Rows that repeat an id count
     as one document with the links of each of its texts; all carry its component. Texts of any length are
-    taken whole, no rows give none. Other columns are ignored.
+    taken whole, no rows give none. Other columns are ignored. Ids are whole numbers, or texts of them; any
+    other id is an error under ANSI mode.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))

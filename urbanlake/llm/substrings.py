@@ -248,6 +248,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     judged on the input. Null and empty texts have no words; texts under ``k`` words lose none; a row with
     a null id loses none and counts for none; rows that repeat one id are texts of one document, each with its
     own words. Texts are taken whole, no rows give none. Other columns are ignored, whatever their names.
+    Ids are whole numbers, or texts of them; any other id is an error under ANSI mode.
     """
     small_batches(docs.sparkSession)
     usable = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null")

@@ -279,7 +279,8 @@ def register(spark: SparkSession) -> None:
 def page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Records of pages: of equal payloads of at least ``least_bytes`` the one with the largest id is the
     response, the others revisit it. A null html is an empty payload; a null url has no target; a page with
-    a null id revisits its response but is never revisited. Equal rows are records of their own.
+    a null id revisits its response but is never revisited. Equal rows are records of their own. No rows give
+    no records. Ids are whole numbers, or texts of them; any other id is an error under ANSI mode. Other columns are ignored.
     """
     rows = pages.select(F.col(page_id).cast("long").alias("id"), F.col(url).alias("target_uri"), F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload")).withColumn("payload_length", F.length("payload").cast("long"))
