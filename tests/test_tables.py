@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,26 @@ def test_streams_of_requests_and_answers_over_three_runs(spark, tmp_path):
     assert found == [x for x in late if x[1] + 240 < end] and len(found) > 20
 
 
+@pytest.mark.parametrize("seconds", [1, 240])
+def test_streams_of_answers_join_by_bins_of_time(spark, tmp_path, seconds):
+    """Answers at and beside the ends of bins count once, as often as they did; the join of streams has the bin in its key."""
+    edge = 4 * seconds
+    asked = [("a", edge * 1_000 + d) for d in (0, 1, edge - seconds, edge - 1, edge, 9 * edge)] + [("b", edge * 1_000), ("b", edge * 4_000)]
+    answers = [("a", edge * 1_000 + d) for d in (0, seconds, edge - 1, edge, edge + seconds, 2 * edge)] + [("b", edge * 1_000 + seconds + 1), ("c", edge * 4_000)]
+    for rows, c, at in ((asked, "start", "q"), (answers, "ts", "r")):
+        spark.createDataFrame(rows, "key string, s long").select("key", F.timestamp_seconds("s").alias(c)).write.parquet(f"{tmp_path}/{at}")
+    q, r = (spark.readStream.schema(f"key string, {c} timestamp").parquet(f"{tmp_path}/{at}") for c, at in (("start", "q"), ("ts", "r")))
+    out = streams._answers(q, r, seconds, "0 seconds").select("key", F.unix_timestamp("start").alias("s"), F.unix_timestamp("_ts").alias("t"))
+    run = files.stream_to_table(out, f"{tmp_path}/t", f"{tmp_path}/c")
+    run.awaitTermination()
+    join = re.search(r"StreamingSymmetricHashJoin \[([^]]*)\], \[([^]]*)\]", run._jsq.explainInternal(False))
+    assert join and "_in" in join[1] and "_bin" in join[2]
+    found = [tuple(x) for x in spark.read.schema(out.schema).parquet(f"{tmp_path}/t").collect()]
+    pairs = [(k, s, t) for k, s in asked for a, t in answers if a == k and s <= t <= s + seconds]
+    assert sorted(x for x in found if x[2] is not None) == sorted(pairs) and len(pairs) > 4
+    assert {x[:2] for x in found if x[2] is None} == {x for x in asked if x[1] + seconds < edge * 4_000} - {x[:2] for x in pairs}
+
+
 def test_versions_of_maxima(spark, tmp_path):
     path = f"{tmp_path}/v"
     batch = lambda *rows: spark.createDataFrame(rows, "center long, n long")

@@ -83,7 +83,7 @@ def late_requests(requests: DataFrame, responses: DataFrame, seconds: int = 240,
 
     As streams, both sides have a watermark, and the join's time bounds let Spark drop a request once no answer can
     come in time any more; then it comes out, unanswered. State is the requests and answers of about ``delay`` plus
-    ``seconds``. An answer of which the watermark says that it is too late is not waited for. As batches it is the
+    ``seconds``, by key and bin of time, so a row meets the rows near it and not all of its key. An answer of which the watermark says that it is too late is not waited for. As batches it is the
     same join by bins of time.
     """
     if not requests.isStreaming:
@@ -92,9 +92,18 @@ def late_requests(requests: DataFrame, responses: DataFrame, seconds: int = 240,
 
 
 def _answers(requests: DataFrame, responses: DataFrame, seconds: int, delay: str) -> DataFrame:
-    asked = requests.select("key", "start").withWatermark("start", delay)
+    """The interval join as an equi-join on (key, bin), as Spark's join of streams compares a row with all kept rows of its join key.
+
+    A bin is four intervals long. A request is in the bin of its start, an answer in those of all starts that it may
+    answer: one, or two near a bin's start, so a pair meets in one bin only.
+    """
+    width = 4 * max(1, seconds) * 1_000_000
+    bin_ = lambda c, back=0: F.floor((F.unix_micros(c) - back) / width).cast("bigint")
+    ts = F.col("_ts").cast("timestamp")
+    asked = requests.select("key", "start").withWatermark("start", delay).withColumn("_in", bin_(F.col("start").cast("timestamp")))
     seen = responses.select(F.col("key").alias("_key"), F.col("ts").alias("_ts")).withWatermark("_ts", delay)
-    in_time = (F.col("key") == F.col("_key")) & (F.col("_ts") >= F.col("start")) & (F.col("_ts") <= F.col("start") + F.expr(f"interval {seconds} seconds"))
+    seen = seen.withColumn("_bin", F.explode(F.sequence(bin_(ts, max(0, seconds) * 1_000_000), bin_(ts))))
+    in_time = (F.col("key") == F.col("_key")) & (F.col("_in") == F.col("_bin")) & (F.col("_ts") >= F.col("start")) & (F.col("_ts") <= F.col("start") + F.expr(f"interval {seconds} seconds"))
     return asked.join(seen, in_time, "left_outer")
 
 
