@@ -237,3 +237,28 @@ def test_deep_pages_and_orders(spark):
     cells = spark.range(50)
     first, again, other = ([r.id for r in aggs.shuffle_cells(cells, "id", seed).collect()] for seed in (7, 7, 8))
     assert first == again != other and sorted(first) == sorted(other) == list(range(50)) != first
+
+
+def test_dealt_rows_grow_in_parts_not_in_size(spark):
+    """More rows give more parts of the same size, together by key; collecting them needs no second exchange, small tables no deal."""
+    rows = spark.range(10_000).select((F.col("id") % 1_000).alias("k"), "id")
+    for limit, parts in ((1_000, 10), (500, 20)):
+        found = joins.dealt(rows, "k", rows=limit)
+        assert found.rdd.getNumPartitions() == parts
+        assert found.select("k", F.spark_partition_id()).distinct().count() == 1_000
+        assert plan(found.groupBy("k").agg(F.collect_list("id"))).count("Exchange") == 1
+    assert joins.dealt(rows, "k", rows=10_000) is rows and joins.dealt(rows.limit(0), "k").count() == 0
+
+
+def test_durations_of_messages_are_those_of_their_segments(spark, tmp_path):
+    """One row a message enters the state; messages without a segment have none."""
+    seg, step = '{"status": "1", "geo_cnt": "1"}', '{"path": %s, "traffic_condition": %s}'
+    steps = ["null", "[]", f"[{step % ('null', f'[{seg}, {seg}]')}]", f"[{step % ('"0,0;1,1"', '[]')}, {step % ('"0,0"', f'[{seg}]')}]", f"[{step % ('""', 'null')}]", "[null]", "[{}]"]
+    values = [(f'{{"preset_route": "r{i}", "duration": "{i}", "selected_path_steps": {x}}}', i) for i, x in enumerate(steps)] * 2 + [("no json", 99), (None, 100)]
+    rows = spark.createDataFrame(values, "value string, s long").select("value", F.timestamp_seconds(F.col("s") + 86400).alias("timestamp"))
+    wanted = sorted(map(tuple, streams.durations(streams.route_stream_b(rows)).collect()))
+    assert sorted(map(tuple, streams.message_durations(rows).collect())) == wanted and [x[1] for x in wanted] == ["r2", "r3"]
+    rows.write.parquet(f"{tmp_path}/in")
+    out = streams.message_durations(files.read_messages(spark, f"{tmp_path}/in", "parquet"))
+    files.stream_to_table(out, f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
+    assert sorted(map(tuple, spark.read.schema(out.schema).parquet(f"{tmp_path}/t").collect())) == wanted

@@ -11,6 +11,17 @@ from ..functions import geo
 from ..sources import files
 
 
+def dealt(df: DataFrame, *keys: str, rows: int = 250_000) -> DataFrame:
+    """Rows dealt by keys over partitions of about ``rows`` each, so that what a task holds doesn't grow with the table.
+
+    For rows that are collected or sorted by the keys next: Spark joins small partitions again up to a size in compressed
+    bytes, of which a task may need twenty times as much in memory. Fewer rows stay as they are. Rows are counted, which
+    reads no column of a Parquet table without a filter.
+    """
+    n = -(-df.count() // rows)
+    return df if n < 2 else df.repartition(max(n, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
 def missed_ids(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Wanted rows not done; repeated wanted rows stay; null keys are never done."""
     return wanted.join(done.select(key).distinct(), key, "left_anti")

@@ -104,14 +104,23 @@ _ROUTE_SQL = """o as (select o_orderkey, 'r' || (o_custkey % 7) as preset_route,
 s as (select o.*, l_linenumber as ln, l_linenumber % 3 + 1 as g, l_returnflag as f1, l_linestatus as f2 from o join lineitem on l_orderkey = o_orderkey)"""
 
 
-def messages_b(spark: SparkSession, d: str) -> DataFrame:
+def _with_lines(spark: SparkSession, d: str, step: Column, orders: Column | None = None, lines: Column | None = None) -> DataFrame:
+    """Orders (those that a condition holds for) with their lines' steps as ``selected_path_steps``.
+
+    The lines are dealt by order first, so a task collects, sorts and joins a bounded number of them.
+    """
+    o, li = t(spark, d, "orders"), t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus")
+    o, li = (o if orders is None else o.filter(orders)), (li if lines is None else li.filter(lines))
+    steps = joins.dealt(li, "l_orderkey").groupBy("l_orderkey").agg(F.collect_list(step).alias("selected_path_steps"))
+    return o.join(steps, F.col("o_orderkey") == F.col("l_orderkey"))
+
+
+def messages_b(spark: SparkSession, d: str, orders: Column | None = None, lines: Column | None = None) -> DataFrame:
     """Provider B's messages: an order is a message, its lines are steps with a path of five points and two segments."""
-    o, li = t(spark, d, "orders"), t(spark, d, "lineitem")
-    path = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.concat(i.cast("string"), F.lit(","), F.col("l_linenumber").cast("string"))), ";")
+    path = F.concat_ws(";", *(F.concat(F.lit(f"{i},"), F.col("l_linenumber").cast("string")) for i in range(5)))
     seg = lambda s, g: F.struct(F.col(s).alias("status"), g.cast("string").alias("geo_cnt"))
     step = F.struct(F.lit("1").alias("duration"), path.alias("path"), F.array(seg("l_returnflag", F.col("l_linenumber") % 3 + 1), seg("l_linestatus", F.lit(1))).alias("traffic_condition"))
-    steps = li.groupBy("l_orderkey").agg(F.collect_list(step).alias("selected_path_steps"))
-    rows = o.join(steps, F.col("o_orderkey") == F.col("l_orderkey"))
+    rows = _with_lines(spark, d, step, orders, lines)
     body = F.struct(F.concat(F.lit("r"), (F.col("o_custkey") % 7).cast("string")).alias("preset_route"), (F.col("o_orderkey") % 3600).cast("string").alias("duration"), "selected_path_steps", F.lit("u").alias("url"))
     return rows.select(F.to_json(body).alias("value"), F.timestamp_seconds(F.col("o_orderkey")).alias("timestamp"))
 
@@ -166,10 +175,9 @@ def stream_to_table(spark, d):
 
 
 def messages_a(spark: SparkSession, d: str) -> DataFrame:
-    o, li = t(spark, d, "orders"), t(spark, d, "lineitem")
     line = F.concat(F.lit("0,"), F.col("l_linenumber").cast("string"), F.lit(";1,"), F.col("l_suppkey").cast("string"))
     step = F.struct(F.lit("1").alias("duration"), F.array(F.struct(F.col("l_returnflag").alias("status"), line.alias("polyline"))).alias("tmcs"))
-    rows = o.join(li.groupBy("l_orderkey").agg(F.collect_list(step).alias("selected_path_steps")), F.col("o_orderkey") == F.col("l_orderkey"))
+    rows = _with_lines(spark, d, step)
     body = F.struct(F.concat(F.lit("r"), (F.col("o_custkey") % 7).cast("string")).alias("preset_route"), (F.col("o_orderkey") % 3600).cast("string").alias("duration"), "selected_path_steps", F.lit("u").alias("url"))
     return rows.select(F.to_json(body).alias("value"), F.timestamp_seconds(F.col("o_orderkey")).alias("timestamp"))
 
@@ -185,10 +193,10 @@ def durations(spark, d):
 
     Times are moved by a day, as the first second of 1970 would be no later than a stream's first watermark.
     """
-    rows = messages_b(spark, d).withColumn("timestamp", F.timestamp_seconds(F.unix_timestamp("timestamp") + 86400))
     middle = t(spark, d, "orders").agg((F.min("o_orderkey") + F.max("o_orderkey")) / 2).first()[0] or 0
-    early = F.unix_timestamp("timestamp") - 86400 <= middle
-    out = _stream(spark, [rows.filter(early), rows.filter(~early)], lambda s: streams.durations(streams.route_stream_b(s)), "durations")
+    early, lines = F.col("o_orderkey") <= middle, F.col("l_orderkey") <= middle
+    rows = [messages_b(spark, d, *half).withColumn("timestamp", F.timestamp_seconds(F.unix_timestamp("timestamp") + 86400)) for half in ((early, lines), (~early, ~lines))]
+    out = _stream(spark, rows, streams.message_durations, "durations")
     return out.select((F.unix_timestamp("timestamp") - 86400).alias("epoch"), "preset_route", "total_duration")
 
 

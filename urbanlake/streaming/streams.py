@@ -35,6 +35,12 @@ def durations(df: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return rows.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(keys) if df.isStreaming else rows.dropDuplicates(keys)
 
 
+def message_durations(df: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """``durations`` of provider B's messages, as of ``route_stream_b``'s rows: a message with any segment has one key, so it is one row."""
+    rows = shape.flatten_message(df, shape.ROUTE_B)
+    return durations(rows.filter(F.exists("selected_path_steps", lambda step: F.size(step["traffic_condition"]) > 0)), delay)
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the complete versions under ``path``, in order."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
