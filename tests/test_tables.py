@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from urbanlake.functions import geo
 from urbanlake.operators import aggs, crawl_log, grids, joins, pages, shape
+from urbanlake.plans import columns
 from urbanlake.sources import files
 from urbanlake.streaming import streams
 
@@ -262,3 +263,12 @@ def test_durations_of_messages_are_those_of_their_segments(spark, tmp_path):
     out = streams.message_durations(files.read_messages(spark, f"{tmp_path}/in", "parquet"))
     files.stream_to_table(out, f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
     assert sorted(map(tuple, spark.read.schema(out.schema).parquet(f"{tmp_path}/t").collect())) == wanted
+
+
+def test_areas_of_one_file_are_many_tasks(spark, tmp_path):
+    """A file of many centers is a few bytes; their areas come from several tasks and are the same."""
+    k = F.col("id")
+    spark.range(0, 50_000, 1, 1).select(k.alias("c_custkey"), (k % 25).cast("int").alias("c_nationkey"), F.lit("m").alias("c_mktsegment")).write.parquet(f"{tmp_path}/customer.parquet")
+    found = columns.polygon_area_m2(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() > 2
+    assert found.agg(F.count_distinct("k"), F.min("km2") > 89_000, F.max("km2") < 91_000).first() == (50_000, True, True)

@@ -170,11 +170,20 @@ def polygon_area_m2(points: Column) -> Column:
     def angle(c: Column) -> Column:
         return F.pmod(F.atan2(dot(cross(c["right"], c["left"]), c["at"]), dot(c["left"], c["right"])), F.lit(TAU))
 
-    at, n = F.transform(points, unit), F.size(points)
-    before = F.concat(F.slice(at, n, 1), F.slice(at, 1, F.greatest(n - 1, F.lit(0))))
-    after = F.concat(F.slice(at, 2, F.greatest(n - 1, F.lit(0))), F.slice(at, 1, 1))
-    left = F.zip_with(before, at, lambda b, p: F.struct(p.alias("at"), cross(b, p).alias("left")))
-    corners = F.zip_with(left, after, lambda c, a: F.struct(c["at"].alias("at"), c["left"].alias("left"), cross(a, c["at"]).alias("right")))
-    total = F.aggregate(F.transform(corners, angle), F.lit(0.0), lambda s, v: s + v)
-    flat = (n - 2) * math.pi
-    return F.when(n >= 3, F.abs(F.least(total - flat, TAU * n - total - flat)) * EARTH_M**2).otherwise(0.0)
+    n = F.size(points)
+
+    def angles(at: Column) -> Column:
+        before = F.concat(F.slice(at, n, 1), F.slice(at, 1, F.greatest(n - 1, F.lit(0))))
+        after = F.concat(F.slice(at, 2, F.greatest(n - 1, F.lit(0))), F.slice(at, 1, 1))
+        left = F.zip_with(before, at, lambda b, p: F.struct(p.alias("at"), cross(b, p).alias("left")))
+        corners = F.zip_with(left, after, lambda c, a: F.struct(c["at"].alias("at"), c["left"].alias("left"), cross(a, c["at"]).alias("right")))
+        return F.transform(corners, angle)
+
+    def area(total: Column) -> Column:
+        flat = (n - 2) * math.pi
+        return F.abs(F.least(total - flat, TAU * n - total - flat)) * EARTH_M**2
+
+    # Values used more than once are bound as the element of an array, so that they are computed once.
+    once = lambda value, use: F.transform(F.array(value), use)[0]
+    total = F.aggregate(once(F.transform(points, unit), angles), F.lit(0.0), lambda s, v: s + v)
+    return F.when(n >= 3, once(total, area)).otherwise(0.0)

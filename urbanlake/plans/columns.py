@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from ..functions import geo, text, urls
-from ..operators import grids, pages, records
+from ..operators import grids, joins, pages, records
 from ..sources import files
 from .queries import BD_LAT, BD_LNG, CEN, PTS, centers, m, micro, points, query, t
 
@@ -332,8 +332,11 @@ _ANGLES = " + ".join(f"acos(-{_DOT(p, q)} / ({_SIZE(p)} * {_SIZE(q)}))" for p, q
 
 @query(f"with {CEN}, v as (select k, {_VECTORS} from cen), n as (select k, {_PLANES} from v) select k, cast(floor(({_ANGLES} - 2 * pi()) * {geo.EARTH_M!r} * {geo.EARTH_M!r} / 1000000 + 0.5) as bigint) as km2 from n")
 def polygon_area_m2(spark, d):
-    """Areas of boxes of 300 km around all centers, in square kilometres; in SQL by the angles between the sides' planes."""
-    s = centers(spark, d).select("k", geo.square_around(F.col("x"), F.col("y"), 300.0).alias("s"))
+    """Areas of boxes of 300 km around all centers, in square kilometres; in SQL by the angles between the sides' planes.
+
+    Centers are few bytes and much work each, so they are dealt by number: a file of many would be one task.
+    """
+    s = joins.dealt(centers(spark, d), "k", rows=20_000).select("k", geo.square_around(F.col("x"), F.col("y"), 300.0).alias("s"))
     corner = lambda a, b: F.struct(F.col(f"s.lng_{a}").alias("lng"), F.col(f"s.lat_{b}").alias("lat"))
     shape_ = F.array(corner("min", "min"), corner("max", "min"), corner("max", "max"), corner("min", "max"))
     return s.select("k", F.floor(geo.polygon_area_m2(shape_) / 1e6 + 0.5).cast("bigint").alias("km2"))
