@@ -443,7 +443,7 @@ def page_links(spark, d):
 
 def listing_pages(spark, d):
     """A listing page per customer with its orders as cards and rows; some cards lack a field, some pages a layout."""
-    o = t(spark, d, "orders")
+    o = joins.dealt(t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), "o_custkey", rows=100_000)
     card = F.concat(F.lit('<div class="card x"><h3>'), F.col("o_orderkey").cast("string"), F.lit("</h3>"), F.when(F.col("o_orderkey") % 5 != 0, F.concat(F.lit("<b class=st>"), "o_orderstatus", F.lit("</b>"))).otherwise(""), F.lit("</div>"))
     row = F.concat(F.lit("<tr><td>"), F.col("o_orderkey").cast("string"), F.lit("<td> "), "o_orderstatus", F.lit("</tr>"))
     g = o.groupBy(F.col("o_custkey").alias("k")).agg(F.concat_ws("", F.collect_list(card)).alias("cards"), F.concat_ws("", F.collect_list(row)).alias("rows"))
