@@ -294,3 +294,15 @@ def test_plain_markup_is_read_as_the_parser_reads_it(monkeypatch):
     assert 1_500 <= fast < 3_000
     monkeypatch.setattr(pages, "_Tree", None)  # a plain page needs no parser
     assert [n.text() for n in pages.tree('<div class="card x"><h3>7</h3><b class=st>O</b></div>').all(("b", "class", "st"))] == ["O"]
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    """Tasks don't grow with every 32 files, and every file is read whole, once, under its own name."""
+    rows = spark.range(0, 2_000, 1, 4).select(F.concat(F.col("id").cast("string"), F.lit("___a b.html")).alias("file"), F.concat(F.lit('{"v": '), F.col("id").cast("string"), F.lit("}\n")).alias("content"))
+    files.write_responses(rows, f"file://{tmp_path}/t", "file", "content")
+    html = files.read_html_dir(spark, f"file://{tmp_path}/t", "utf-8")
+    assert 4 <= html.rdd.getNumPartitions() <= 16
+    assert html.count() == 2_000 and html.filter(F.regexp_extract("file", "^[0-9]+", 0) == F.regexp_extract("html", "[0-9]+", 0)).select("file").distinct().count() == 2_000
+    found = files.read_response_dir(spark, f"file://{tmp_path}/t", ["k", "name"], "v bigint")
+    assert found.rdd.getNumPartitions() <= 16
+    assert found.filter("k = cast(v as string) and name = 'a b'").select("k").distinct().count() == 2_000
