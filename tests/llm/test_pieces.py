@@ -76,6 +76,41 @@ def test_shortest_path_equals_brute_force():
         assert "".join(n for (n,) in path) == text and sum(names[n] for (n,) in path) == best[-1]
 
 
+def test_marks_are_cut_off_and_neighbours_outlive_a_generation(monkeypatch):
+    """A word is searched once whatever marks follow it; a new generation of chunks asks for no neighbours again."""
+    with open(pieces.MODEL, "rb") as file:
+        model = file.read()
+    machine, library, asked = pieces.Transducer(model), spm.SentencePieceProcessor(model_file=pieces.MODEL), []
+    merged = machine._merged
+    monkeypatch.setattr(machine, "_merged", lambda text: asked.append(text) or merged(text))
+    monkeypatch.setattr(pieces, "REMEMBER", 5)
+    text = "thingble. thingble, (thingble) thingble! города, города 数据获取。"
+    assert list(machine.encode("thingble. thingble, thingble!")) == library.encode("thingble. thingble, thingble!")
+    assert set(machine.memory) == {"▁thingble", ".", ",", "!"}
+    for _ in range(3):
+        for word in (text, *text.split()):
+            assert list(machine.encode(word)) == library.encode(word)
+            assert len(machine.memory) <= 5 and len(machine.memory.older) <= 5
+    assert len(asked) == machine.asked == sum(map(len, machine.allowed.values()))
+
+
+def test_finite_path_leaves_dead_ends():
+    """The furthest arc first; a state that no finite path leads on from is tried once."""
+    names, forbidden, asked = ("a", "aa", "aaa", "b"), {("aaa", "aa"), ("aaa", "a"), ("aa", "aa"), ("a", "aaa"), ("aa", "b"), ("aaa", "b")}, []
+
+    def finite(a, b):
+        asked.append((a, b))
+        known[a][b] = (a, b) not in forbidden
+        return known[a][b]
+
+    def ahead(text, at):
+        return [(len(n), n, (n,)) for n in sorted(names, key=len, reverse=True) if text.startswith(n, at)]
+
+    known = pieces.defaultdict(dict)
+    assert pieces.finite_path("aaaab", ahead, known, finite) == [("aa",), ("a",), ("a",), ("b",)]
+    assert len(asked) == len(set(asked)) and pieces.finite_path("", ahead, known, finite) == []
+
+
 def test_whole_documents_equal_the_library(spark):
     library = spm.SentencePieceProcessor(model_file=pieces.MODEL)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")

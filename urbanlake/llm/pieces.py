@@ -13,10 +13,12 @@ pieces and fallback, and the tropical-semiring shortest path (sum of weights alo
 through the composed machine, found by Dijkstra's search from state to state, is the encoding. Byte-pair models
 compose a fourth machine: its state is the piece read last, and an arc from piece a to piece b weighs infinity
 unless the model's own merges of the text ab give (a, b), else nothing. A sequence of which every neighbouring
-pair is allowed is the one that greedy merging gives, so one path is finite and it is the model's encoding.
+pair is allowed is the one that greedy merging gives, so one path is finite and it is the model's encoding. All
+finite weights there are equal, so the search's queue is a stack.
 
 Where the composed machine is sure to be back at the root (before a U+2581, around characters that no longer
-piece holds) the path is cut, and paths over equal stretches are remembered.
+piece holds, between characters of two classes that no piece mixes) the path is cut, and paths over equal stretches
+are remembered.
 
 Decoding is the inverse transducer: ids to pieces or raw bytes, U+2581 to spaces, without the prefix.
 """
@@ -27,7 +29,7 @@ import re
 import struct
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import chain
@@ -46,8 +48,10 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITY = float("inf")
-#: Encoded chunks that a worker remembers.
-REMEMBER = 250_000
+#: Encoded chunks that a worker remembers in each of two generations, and answers on neighbours.
+REMEMBER, NEIGHBOURS = 125_000, 500_000
+#: Characters of a chunk that may be remembered.
+SHORT = 64
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -121,41 +125,97 @@ def accepting(root: dict, text: str, at: int) -> Iterator[tuple[int, object]]:
             yield end + 1, state[""]
 
 
-def shortest_path(text: str, arcs, finite=None) -> list[tuple[int, ...]]:
+def shortest_path(text: str, arcs) -> list[tuple[int, ...]]:
     """Outputs along the lightest path through a machine that reads ``text``, by Dijkstra's search.
 
     ``arcs(text, place)`` gives lists of (end, (name, output, weight)), the arc that is to be tried first at the end
-    and none lighter before it; an arc is taken up when the one after it has been. With ``finite`` a state is a
-    place and the name of the arc that led there, and two neighbouring arcs of which it is false weigh infinity;
-    it is asked only when the search arrives. Of equally light states the furthest in the text comes first.
+    and none lighter before it; an arc is taken up when the one after it has been. Of equally light places the
+    furthest in the text comes first.
     """
     heap: list = []
     done, order, size = set(), 0, len(text)
-    weight, at, node = 0.0, 0, ("", (), None)  # the start
+    weight, at, node = 0.0, 0, ((), None)  # the start
     while at < size:
         rest, before, base = arcs(text, at), node, weight
         while True:
             if rest:
-                end, (name, output, more) = rest.pop()
+                end, (_, output, more) = rest.pop()
                 order += 1
-                heappush(heap, (base + more, -end, order, name, output, before, base, rest))
-            weight, at, _, name, output, before, base, rest = heappop(heap)
-            state = (at, name) if finite else at
-            if state not in done and (finite is None or finite(before[0], name)):
+                heappush(heap, (base + more, -end, order, output, before, base, rest))
+            weight, at, _, output, before, base, rest = heappop(heap)
+            if at not in done:
                 break
         if rest:
-            end, (own, more_output, more) = rest.pop()
+            end, (_, more_output, more) = rest.pop()
             order += 1
-            heappush(heap, (base + more, -end, order, own, more_output, before, base, rest))
-        done.add(state)
-        at, node = -at, (name, output, before)
+            heappush(heap, (base + more, -end, order, more_output, before, base, rest))
+        done.add(at)
+        at, node = -at, (output, before)
     path = []
-    while node[2] is not None:
-        path.append(node[1])
-        node = node[2]
+    while node[1] is not None:
+        path.append(node[0])
+        node = node[1]
     return path[::-1]
 
 
+def finite_path(text: str, ahead, allowed, finite) -> list[tuple[int, ...]]:
+    """Outputs along a path through a machine whose arcs weigh nothing or infinity: the search with a stack for its queue.
+
+    ``ahead(text, place)`` gives arcs (length, name, output), the one that is to be tried first at the front. A state is
+    a place and the name of the arc that led there; of neighbouring arcs a and b ``allowed[a][b]`` says whether they
+    are finite, or where it is missing ``finite(a, b)``. A state that no finite path leads on from is not tried again.
+    """
+    size, name, at, path, dead = len(text), "", 0, [], set()
+    while at < size:
+        known = allowed[name]
+        for arc in ahead(text, at):
+            after = arc[1]
+            good = known.get(after)
+            if (finite(name, after) if good is None else good) and not (dead and (at + arc[0], after) in dead):
+                path.append(arc)
+                at += arc[0]
+                name = after
+                break
+        else:  # back to the state before
+            dead.add((at, name))
+            at -= path.pop()[0]
+            name = path[-1][1] if path else ""
+    return [arc[2] for arc in path]
+
+
+def _side_by_side(pieces: Iterable[str], most: int = 8) -> list[set[str]]:
+    """Classes of the pieces' characters, the largest first: those of one piece are in one class. Small ones beyond ``most`` are one."""
+    of: dict[str, set[str]] = {}
+    for piece in pieces:
+        into = max((of.get(c, set()) for c in piece), key=len, default=set())
+        for char in piece:
+            own = of.get(char, {char})
+            if own is not into:
+                into |= own
+                of.update(dict.fromkeys(own, into))
+    found = sorted({id(x): x for x in of.values()}.values(), key=len, reverse=True)
+    return [*found[: most - 1], set().union(*found[most - 1 :])] if len(found) > most else found
+
+
+class Met(dict):
+    """Packed ids of chunks; the path over those that are not known yet is searched."""
+
+    def __init__(self, path: Callable[[str], bytes]) -> None:
+        self.path = path
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self.path(chunk)
+        if len(chunk) <= SHORT:
+            if len(self) >= REMEMBER:  # chunks that are met again move to the new generation
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
 class Transducer:
     """A compiled model; ``encode`` and ``decode`` are its two directions."""
 
@@ -188,18 +248,26 @@ class Transducer:
         normal = [self.scores[i] for i, t in enumerate(self.types) if t == NORMAL] or [0.0]
         weight = {p: -(len(p.encode()) * max(normal) - 0.1) if self.types[i] == USER else -self.scores[i] for p, i in self.ids.items()}
         self.far = 10 - min(normal)
-        self.lexicon = compiled({p: (p, (i,), weight[p] if self.kind == UNIGRAM else 0.0) for p, i in self.ids.items()})
+        arc = {p: (len(p), p, (i,), weight[p]) for p, i in self.ids.items()}
+        self.lexicon = compiled({p: self.ordered(p[0], [arc[q] for q in (p[:n] for n in range(1, len(p) + 1)) if q in arc]) for p in arc})
+        self.longest = max(map(len, arc), default=1)
+        todo = [(self.lexicon, None)]
+        while todo:  # a state that accepts nothing gives what the one above gives
+            state, above = todo.pop()
+            above = state.setdefault("", above)
+            todo += ((below, above) for char, below in state.items() if char)
         table = character_map(rules)
         self.rules = compiled(table | {p: p for p in self.user})
         self.spaced = any(" " in x and x != " " for x in (*table, *self.user))
         # where paths can be cut
-        inside = set(chain.from_iterable(p for p in self.ids if len(p) > 1))
         crossing = any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in inside)
-        single = f"[{alone}]|" if alone else ""
-        self.chunk = re.compile(r"(?s).+" if crossing else f"{single}{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+")
+        classes = _side_by_side(p.lstrip(SPACE) for p in self.ids if len(p) > 1)
+        inside = "".join(map(re.escape, chain.from_iterable(classes)))
+        runs = "|".join(f"[{''.join(map(re.escape, sorted(x)))}]+" for x in classes)
+        self.chunk = re.compile(r"(?s).+" if crossing else f"{SPACE}*(?:{runs})|{SPACE}+|[^{SPACE}{inside}]" if runs else f"{SPACE}+|[^{SPACE}]")
         self.apart = re.compile(f"({'|'.join(map(re.escape, sorted(self.user, key=len, reverse=True)))})") if self.user and self.kind == BPE else None
-        self.memory: dict[str, bytes] = {}
+        self.memory = Met(self.path)
+        self.asked = 0
         self.rewritten: dict[str, str] = {}
         self.allowed: defaultdict[str, dict[str, bool]] = defaultdict(dict)
 
@@ -237,20 +305,26 @@ class Transducer:
         data = char.encode("utf-8", "replace")
         return tuple(self.byte_ids[b] for b in data) if self.byte_fallback and all(b in self.byte_ids for b in data) else (self.unknown,)
 
-    def arcs(self, text: str, at: int) -> list[tuple]:
-        """Arcs of pieces and byte fallback that leave the root at a place, the lightest (of equals the longest) last."""
-        out, state = [], self.lexicon
-        for end in range(at, len(text)):
-            state = state.get(text[end])
-            if state is None:
+    def ordered(self, char: str, arcs: Iterable[tuple] = ()) -> list[tuple]:
+        """Arcs (length, name, output, weight) from the root, with byte fallback if no piece is the character alone: the lightest (of equals the longest) first."""
+        arcs = [*arcs]
+        if not arcs or arcs[0][0] > 1:
+            arcs.insert(0, (1, char, self.fallback(char), self.far))
+        return sorted(arcs, key=lambda arc: (arc[3] if self.kind == UNIGRAM else 0.0, -arc[0]))
+
+    def ahead(self, text: str, at: int) -> list[tuple]:
+        """``ordered`` arcs that leave the root at a place: the last state of the lexicon has them all."""
+        state = self.lexicon
+        for char in text[at : at + self.longest]:
+            below = state.get(char)
+            if below is None:
                 break
-            if "" in state:
-                out.append((end + 1, state[""]))
-        if not out or out[0][0] > at + 1:
-            out.insert(0, (at + 1, (text[at], self.fallback(text[at]), self.far if self.kind == UNIGRAM else 0.0)))
-        if self.kind == UNIGRAM:
-            out.sort(key=lambda arc: -arc[1][2])
-        return out
+            state = below
+        return state[""] or self.ordered(text[at])
+
+    def arcs(self, text: str, at: int) -> list[tuple]:
+        """The same with ends, the first last."""
+        return [(at + n, (name, output, weight)) for n, name, output, weight in reversed(self.ahead(text, at))]
 
     def _merged(self, text: str) -> list[str]:
         """Greedy merges of a short text: the best-scored neighbouring pair first, the leftmost of equals."""
@@ -270,23 +344,27 @@ class Transducer:
 
     def finite(self, a: str, b: str) -> bool:
         """Whether the merging machine's arc from piece a to piece b is finite; remembered in the row of ``a``."""
-        known = self.allowed[a].get(b)
-        if known is None:
-            known = self.allowed[a][b] = self._merged(a + b) == ([a, b] if a else [b])
+        self.asked += 1
+        known = self.allowed[a][b] = self._merged(a + b) == ([a, b] if a else [b])
         return known
 
+    def path(self, chunk: str) -> bytes:
+        """Ids along the lightest path over a chunk, which begins and ends at the root."""
+        if self.apart and chunk in self.user:
+            found = [(self.ids[chunk],)]
+        else:
+            found = finite_path(chunk, self.ahead, self.allowed, self.finite) if self.kind == BPE else shortest_path(chunk, self.arcs)
+        return array("i", chain.from_iterable(found)).tobytes()
+
     def encode(self, text: str) -> array:
-        memory, text = self.memory, self.normal(text)
-        chunks = self.chunk.findall(text) if self.apart is None else [y for i, x in enumerate(self.apart.split(text)) for y in ([x] if i % 2 else self.chunk.findall(x))]
-        if len(memory) > REMEMBER:
-            memory.clear()
-            self.allowed.clear()
+        if len(self.rewritten) > REMEMBER:
             self.rewritten.clear()
-        for chunk in set(chunks):
-            if chunk not in memory:
-                found = [(self.ids[chunk],)] if self.apart and chunk in self.user else shortest_path(chunk, self.arcs, self.finite if self.kind == BPE else None)
-                memory[chunk] = array("i", chain.from_iterable(found)).tobytes()
-        ids = array("i", b"".join(map(memory.__getitem__, chunks)))
+        if self.asked > NEIGHBOURS:
+            self.allowed.clear()
+            self.asked = 0
+        text = self.normal(text)
+        chunks = self.chunk.findall(text) if self.apart is None else [y for i, x in enumerate(self.apart.split(text)) for y in ([x] if i % 2 else self.chunk.findall(x))]
+        ids = array("i", b"".join(map(self.memory.__getitem__, chunks)))
         if not self.byte_fallback and self.unknown in ids:  # a run of unknown characters is one
             ids = array("i", [x for i, x in enumerate(ids) if x != self.unknown or not i or ids[i - 1] != x])
         return ids
