@@ -117,6 +117,32 @@ def test_decontaminate(spark, docs, empty, monkeypatch):
     assert decontaminate.contaminated(empty, bench).count() == 0 == decontaminate.contaminated(docs, bench.limit(0)).count()
 
 
+def test_decontaminate_with_a_large_benchmark_shuffles_few_seeds_and_no_hit_carries_a_text(spark, monkeypatch):
+    """Texts of 3,000 words, of which some hold an item; items of one text under 30 ids, null and repeated document ids."""
+    r = random.Random(5)
+    fresh = lambda n: [f"w{r.randrange(3000)}" for _ in range(n)]
+    items = [" ".join(fresh(40)) for _ in range(20)]
+    bench = spark.createDataFrame([(i + 100 * k, x) for k in range(30) for i, x in enumerate(items)], "item_id long, text string")
+    texts = [(k if k % 7 else None, " ".join(fresh(1500) + (items[k].split()[5:30] if k < 20 else []) + fresh(1500))) for k in range(40)] + [(1, items[2] + " end"), (1, items[2] + " end"), (50, ""), (51, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    of = lambda *at: sorted(i + 100 * k for k in range(30) for i in at)
+    want = {k: of(k) for k in range(20) if k % 7} | {None: of(0, 7, 14), 1: of(1, 2)}
+    found = lambda: {x.doc_id: x["items"] for x in decontaminate.contaminated(docs, bench).collect()}
+
+    def stages():
+        context, jvm = spark.sparkContext, spark.sparkContext._gateway
+        context._jsc.sc().listenerBus().waitUntilEmpty()
+        listed = context._jsc.sc().statusStore().stageList(None, False, False, jvm.new_array(jvm.jvm.double, 0), jvm.jvm.java.util.ArrayList())
+        return {x.stageId(): (x.shuffleWriteRecords(), x.shuffleWriteBytes()) for x in (listed.apply(i) for i in range(listed.size()))}
+
+    assert found() == want
+    monkeypatch.setattr(decontaminate, "MAX_SEEDS", 0)
+    before = max(stages())
+    assert found() == want
+    rows, size = map(sum, zip(*(x for k, x in stages().items() if k > before), strict=True))
+    assert rows < 120_000 and size < 3e6  # the texts have 120,000 tokens, four seeds each
+
+
 def test_sentencepiece_matches_the_library():
     sp = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=pieces.MODEL)
     with open(pieces.MODEL, "rb") as f:
